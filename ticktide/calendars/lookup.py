@@ -46,6 +46,19 @@ def day_table(spark: SparkSession, names: list[str], start, end, **schedule_opti
     return dense_days(spark, names, schedule, start, end)
 
 
+_kept: dict[tuple, DayTable] = {}
+
+
+def shared_day_table(spark: SparkSession, names: tuple[str, ...], start: str, end: str) -> DayTable:
+    """A day table kept for the session: every lookup of a market reads the same
+    few thousand rows. Lost blocks are computed again from the rules."""
+    key = (spark.sparkContext.applicationId, names, start, end)
+    if key not in _kept:
+        table = day_table(spark, list(names), start, end)
+        _kept[key] = DayTable(table.frame.persist(), table.rows)
+    return _kept[key]
+
+
 def dense_days(spark: SparkSession, names: list[str], schedule: DataFrame, start, end) -> DayTable:
     by_date = Window.partitionBy("calendar").orderBy("session_date")
     seconds = F.unix_seconds("market_close") - F.unix_seconds("market_open")
