@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("equity_queries",)
+MODULES = ("equity_queries", "option_queries", "scalar_queries")
 
 
 def _load():
