@@ -38,8 +38,8 @@ def feed_price(value: Column, scale: int = PRICE_SCALE) -> Column:
 
 def truncate(value: Column, scale: int) -> Column:
     """Round toward zero. A plain cast would round half up."""
-    cut = F.floor(F.abs(value), F.lit(scale))
-    return F.when(value < 0, -cut).otherwise(cut)
+    places = F.lit(scale)
+    return F.when(value < 0, F.ceil(value, places)).otherwise(F.floor(value, places))
 
 
 def coerce_down(value: Column, precision: int, scale: int) -> Column:

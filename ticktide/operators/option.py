@@ -28,6 +28,8 @@ TEXT_INPUTS = {
     "id": "id", "symbol": "option_symbol", "underlying": "underlying_symbol",
     "venue": "exchange", "trade_code": "trade_code",
 }
+# Fields whose text may not parse.
+CAN_FAIL = ("timestamp", "exp_date", "dte", "score", *DECIMAL_INPUTS, *INTEGER_INPUTS)
 MISSING_EXPIRY = "1970-01-01"
 MISSING_EXPIRY_FOR_DAYS = "1800-01-01"
 
@@ -59,18 +61,19 @@ def normalise(items: DataFrame, zone: str = "UTC") -> DataFrame:
         tags.raw_tags(F.col("tags"), F.col("report_flags")).alias("_tags"),
         *[_exact(source, default).alias(f"_{name}")
           for name, (source, default) in DECIMAL_INPUTS.items()],
-        _exact("premium", "0").alias("_premium_tested"),
     )
     price, bid, ask = F.col("_price"), F.col("_bid_px"), F.col("_ask_px")
     bias = tags.bias(F.col("_tags"))
-    score = F.round(tags.bull_bear_score(price, bid, ask, bias), 6).try_cast("decimal(8,6)")
+    doubles = tuple(F.coalesce(F.col(source), F.lit("0")).try_cast("double")
+                    for source in ("price", "nbbo_bid", "nbbo_ask"))
+    score = F.round(tags.bull_bear_score(price, bid, ask, bias, doubles), 6).try_cast("decimal(8,6)")
     own_tags = F.concat(
         tags.without_side_and_bias(F.col("_tags")),
         tags.keep_set(
-            F.when(F.col("_premium_tested") >= tags.MILLIONAIRE_PREMIUM, F.lit("MILLIONAIRE")),
+            F.when(F.col("_premium") >= tags.MILLIONAIRE_PREMIUM, F.lit("MILLIONAIRE")),
             tags.outside_book(price, bid, ask)))
-    # A zero price or score becomes the placeholder, which the scale cuts again.
-    not_zero = lambda c: F.when(c == 0, F.lit(PLACEHOLDER).cast("decimal(38,18)")).otherwise(c)
+    # A zero price or score is documented to become the placeholder 1e-8. The
+    # published scales (2 and 6) cut that back to zero, so zero is left alone.
     types = {field.name: field.dataType for field in schemas.OPTION_TRADES.fields}
     derived = {
         **{name: F.coalesce(F.col(source), F.lit("")) for name, source in TEXT_INPUTS.items()},
@@ -80,12 +83,11 @@ def normalise(items: DataFrame, zone: str = "UTC") -> DataFrame:
         "put_call": F.upper(F.substring(F.coalesce(F.col("option_type"), F.lit("C")), 1, 1)),
         "side": tags.side(F.col("_tags")),
         "bias": bias,
-        "score": decimals.coerce_down(not_zero(score), 8, 6),
+        "score": score,
         "tags": own_tags,
         **{name: _whole(source) for name, source in INTEGER_INPUTS.items()},
-        **{name: decimals.coerce_down(
-            not_zero(F.col(f"_{name}")) if name == "price" else F.col(f"_{name}"),
-            types[name].precision, types[name].scale) for name in DECIMAL_INPUTS},
+        **{name: decimals.coerce_down(F.col(f"_{name}"), types[name].precision, types[name].scale)
+           for name in DECIMAL_INPUTS},
     }
     record = staged.select(
         *[derived[name].alias(name) for name in schemas.OPTION_TRADES.fieldNames()],
@@ -94,9 +96,9 @@ def normalise(items: DataFrame, zone: str = "UTC") -> DataFrame:
 
 
 def mapping_rules() -> quality.Rules:
-    """Any required field that did not map rejects the record."""
-    return {f"bad {field.name}": F.col(field.name).isNull()
-            for field in schemas.OPTION_TRADES.fields}
+    """A field that did not map rejects the record. Text fields and arrays have
+    defaults and cannot fail."""
+    return {f"bad {name}": F.col(name).isNull() for name in CAN_FAIL}
 
 
 def published(records: DataFrame) -> DataFrame:

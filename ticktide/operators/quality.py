@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 Rules = dict[str, Column]
@@ -11,12 +13,31 @@ def with_reasons(records: DataFrame, rules: Rules, column: str = "reason") -> Da
     """Add the array of failed rules. ``rules`` maps a reason to the column that
     is true when the record fails; null counts as not failed."""
     marks = [F.when(failed, F.lit(reason)) for reason, failed in rules.items()]
-    return records.withColumn(column, F.filter(F.array(*marks), lambda r: r.isNotNull()))
+    any_failed = reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in rules.values()])
+    # The array is built for failing records only; most records have no reason.
+    reasons = F.when(any_failed, F.filter(F.array(*marks), lambda r: r.isNotNull())).otherwise(
+        F.array().cast("array<string>"))
+    return records.withColumn(column, reasons)
+
+
+def _settled(records: DataFrame) -> DataFrame:
+    """The records as the output of a generator, which a filter does not cross.
+
+    A filter on the reasons would otherwise move below the projection and take a
+    second copy of every parsing expression with it.
+    """
+    return records.select(F.inline(F.array(F.struct(*records.columns))))
 
 
 def valid(records: DataFrame, column: str = "reason") -> DataFrame:
-    return records.where(F.size(column) == 0).drop(column)
+    return _settled(records).where(F.size(column) == 0).drop(column)
 
 
 def quarantine(records: DataFrame, column: str = "reason") -> DataFrame:
-    return records.where(F.size(column) > 0)
+    return _settled(records).where(F.size(column) > 0)
+
+
+def write_routed(records: DataFrame, path: str, column: str = "reason", mode: str = "append") -> None:
+    """Both outputs in one pass: folders ``status=valid`` and ``status=quarantine``."""
+    status = F.when(F.size(column) == 0, "valid").otherwise("quarantine")
+    records.withColumn("status", status).write.mode(mode).partitionBy("status").parquet(path)

@@ -42,7 +42,7 @@ def bounded_replay(spark, sf_dir):
 
 @query("s16_retention", f"""
 SELECT event_type, count(*) AS kept FROM events
-WHERE epoch_ms(ts) > epoch_ms(TIMESTAMP '{AS_OF}') - 604800000 GROUP BY event_type""")
+WHERE epoch_us(ts) // 1000 > epoch_ms(TIMESTAMP '{AS_OF}') - 604800000 GROUP BY event_type""")
 def retention(spark, sf_dir):
     events = views.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     kept = landing.retained(events, F.col("ts"), F.lit(AS_OF).cast("timestamp"), 604_800_000)

@@ -243,7 +243,7 @@ def entitlements(spark, sf_dir):
 # --- symbols --------------------------------------------------------------
 
 @query("g01_symbol_parse", o.OPTION + """
-SELECT id, underlying, exp_full::VARCHAR AS expiration_date,
+SELECT id, underlying, strptime('20' || strftime(exp_full, '%y%m%d'), '%Y%m%d')::DATE::VARCHAR AS expiration_date,
   put_call, CAST(strike AS DECIMAL(22,9))::VARCHAR AS strike FROM opt""")
 def symbol_parse(spark, sf_dir):
     parts = symbols.parse(F.col("option_symbol"))
@@ -259,7 +259,7 @@ def symbol_format(spark, sf_dir):
 
 
 @query("g03_symbol_struct", o.OPTION + """
-SELECT id, '{"underlying":"' || underlying || '","expiration_date":"' || strftime(exp_full, '%Y%m%d')
+SELECT id, '{"underlying":"' || underlying || '","expiration_date":"20' || strftime(exp_full, '%y%m%d')
   || '","put_call":"' || put_call || '","strike":' || strike::DOUBLE || ',"symbol":"' || symbol || '"}'
   AS document FROM opt""")
 def symbol_struct(spark, sf_dir):

@@ -236,7 +236,7 @@ COERCED = T.StructType([
 
 @query("d12_coerce_record", MICROS + """
 SELECT event_id::VARCHAR AS id, CAST((CASE WHEN micros < 0 THEN -1 ELSE 1 END) * (abs(micros) // 10000) * 0.01
-  AS DECIMAL(12,2))::VARCHAR AS amount, epoch_ms(ts) AS at, event_type AS label FROM m JOIN events USING (event_id)""")
+  AS DECIMAL(12,2))::VARCHAR AS amount, epoch_us(ts) // 1000 AS at, event_type AS label FROM m JOIN events USING (event_id)""")
 def coerce_record(spark, sf_dir):
     events = views.table(spark, sf_dir, "events")
     record = amounts(spark, sf_dir).join(events, "event_id").select(
@@ -296,7 +296,7 @@ def detected_resolution(spark, sf_dir):
 
 
 @query("e04_text_and_date", """
-SELECT event_id, epoch_ms(ts) AS from_text, epoch_ms(CAST(CAST(ts AS DATE) AS TIMESTAMP)) AS from_date
+SELECT event_id, epoch_us(ts) // 1000 AS from_text, epoch_ms(CAST(CAST(ts AS DATE) AS TIMESTAMP)) AS from_date
 FROM events""")
 def text_and_date(spark, sf_dir):
     text = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -317,7 +317,7 @@ def scaled_seconds(spark, sf_dir):
 
 
 @query("e06_units_since_epoch", """
-SELECT event_id, epoch_us(ts) // 1000000 AS s, epoch_ms(ts) AS ms, epoch_us(ts) AS us FROM events""")
+SELECT event_id, epoch_us(ts) // 1000000 AS s, epoch_us(ts) // 1000 AS ms, epoch_us(ts) AS us FROM events""")
 def units_since_epoch(spark, sf_dir):
     ts = F.col("ts").cast("timestamp")
     return views.table(spark, sf_dir, "events").select(
@@ -327,7 +327,7 @@ def units_since_epoch(spark, sf_dir):
 
 
 @query("e07_friendly_delta", """
-WITH d AS (SELECT event_id, CAST((epoch_ms(TIMESTAMP '2024-01-30 23:58:00') - epoch_ms(ts))
+WITH d AS (SELECT event_id, CAST((epoch_ms(TIMESTAMP '2024-01-30 23:58:00') - epoch_us(ts) // 1000)
     // (CASE WHEN event_id % 2 = 0 THEN 1000 ELSE 50000 END) AS BIGINT) AS s FROM events)
 SELECT event_id, CASE WHEN s < 180 THEN 'just now' WHEN s // 86400 = 1 THEN 'yesterday'
   WHEN s // 86400 > 1 THEN (s // 86400) || ' days ago' WHEN s // 3600 >= 12 THEN (s // 3600) || ' hours ago'
