@@ -142,10 +142,11 @@ def is_covered(t: Column, only_rth: bool = False) -> Column:
                                                         F.lit(False)))
 
 
-def session_of(t: Column) -> Column:
-    """Session date whose regular hours contain the timestamp, else null."""
+def in_session(t: Column, name: str) -> Column:
+    """A column of the session whose regular hours contain the timestamp: its
+    date (``session``), ``open``, ``close`` and so on; null outside."""
     inside = lambda side: (t >= F.col(f"{side}_open")) & (t < F.col(f"{side}_close"))
-    return F.when(inside("next"), F.col("next_session")).when(inside("at"), F.col("at_session"))
+    return F.when(inside("next"), F.col(f"next_{name}")).when(inside("at"), F.col(f"at_{name}"))
 
 
 def is_regular_hours(t: Column) -> Column:

@@ -6,8 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ticktide.calendars.lookup import DayTable, attach, in_session
 from ticktide.functions import times
-from ticktide.operators.lookups import lookup
 
 # Bar pipelines that the platform declares: input, output, width; fixed names.
 BAR_PIPELINES = {
@@ -28,25 +28,29 @@ def arrival_order(ts: str = "timestamp", sequence: str = "sequence") -> Column:
     return high + F.col(sequence).cast("decimal(10,0)")
 
 
-def bar_measures(order: Column, open_interest: str | None = None) -> dict[str, Column]:
+def bar_measures(order: Column, open_interest: str | None = None,
+                 interest_order: Column | None = None) -> dict[str, Column]:
     measures = {
         "open": F.min_by("price", order), "high": F.max("price"), "low": F.min("price"),
         "price": F.max_by("price", order), "volume": F.sum("qty"), "trades": F.count("*"),
     }
     if open_interest:
-        measures["oi"] = F.max_by(open_interest, order)
+        measures["oi"] = F.max_by(
+            open_interest, interest_order if interest_order is not None else order)
     return measures
 
 
 def clock_bars(trades: DataFrame, width_ms: int, symbol: str = "symbol", ts: str = "timestamp",
-               order: Column | None = None, open_interest: str | None = None) -> DataFrame:
+               order: Column | None = None, open_interest: str | None = None,
+               interest_order: Column | None = None) -> DataFrame:
     """Bars of ``width_ms`` milliseconds. ``timestamp`` is the start of the bar.
 
     One shuffle on (symbol, bar). Partial aggregation on the map side reduces a
     hot symbol to one row per bar and task before anything moves.
     """
     start = F.col(ts) - F.pmod(F.col(ts), F.lit(width_ms).cast("bigint"))
-    measures = bar_measures(order if order is not None else arrival_order(ts), open_interest)
+    measures = bar_measures(order if order is not None else arrival_order(ts), open_interest,
+                            interest_order)
     return (trades.groupBy(F.col(symbol).alias("symbol"), start.alias("bar_start"))
             .agg(*[column.alias(name) for name, column in measures.items()])
             .withColumnRenamed("bar_start", "timestamp"))
@@ -83,31 +87,23 @@ def _windowed(trades: DataFrame, window: Column, symbol: str, order: Column | No
                     F.col("bar.end").alias("bar_end"), *measures))
 
 
-def session_bars(trades: DataFrame, day_table: DataFrame, calendar: str, zone: str, width_ms: int,
+def session_bars(trades: DataFrame, days: DayTable, calendar: str, width_ms: int,
                  closed: str = "right", symbol: str = "symbol",
                  ts: str = "timestamp") -> DataFrame:
     """Bars that start at the market open instead of the epoch.
 
-    ``day_table`` is the dense day table of ``ticktide.calendars.lookup``; trades
-    meet it on the local date, so the join is an equi-join and no session is
-    scanned per trade. Left labels carry the start of a bar, right labels its
-    end, the last one cut at the close.
+    Trades meet the day table on the market's local date, an equality join, so
+    no session is searched per trade. Left labels carry the start of a bar,
+    right labels its end, the last one cut at the close.
     """
-    instant = F.timestamp_millis(F.col(ts))
-    keyed = trades.withColumn("local_date", times.market_date(instant, zone))
-    days = day_table.where(F.col("calendar") == calendar).select(
-        F.col("day").alias("local_date"),
-        *[F.unix_millis(F.col(f"{which}_{event}")).alias(f"{which}_{event}")
-          for which in ("at", "next") for event in ("open", "close")],
-        "at_session", "next_session")
-    joined = lookup(keyed, days, ["local_date"], "inner")
-    t = F.col(ts)
-    inside = lambda which: t.between(F.col(f"{which}_open"), F.col(f"{which}_close") - 1)
-    pick = lambda suffix: (F.when(inside("next"), F.col(f"next_{suffix}"))
-                           .when(inside("at"), F.col(f"at_{suffix}")))
-    placed = (joined.withColumn("session_date", pick("session"))
-              .withColumn("_open", pick("open")).withColumn("_close", pick("close"))
-              .where(F.col("session_date").isNotNull()))
+    joined = attach(trades.withColumn("_instant", F.timestamp_millis(F.col(ts))), days, "_instant",
+                    calendar)
+    t, instant = F.col(ts), F.col("_instant")
+    edge = lambda event: F.unix_millis(in_session(instant, event))
+    placed = joined.select(symbol, ts, "sequence", "price", "qty",
+                           in_session(instant, "session").alias("session_date"),
+                           edge("open").alias("_open"), edge("close").alias("_close"))
+    placed = placed.where(F.col("session_date").isNotNull())
     ordinal = times.floor_div(t - F.col("_open"), width_ms)
     start = F.col("_open") + ordinal * F.lit(width_ms).cast("bigint")
     label = start if closed == "left" else F.least(start + width_ms, F.col("_close"))

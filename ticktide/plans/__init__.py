@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("equity_queries", "option_queries", "scalar_queries")
+MODULES = ("equity_queries", "option_queries", "scalar_queries", "bar_queries", "calendar_queries",
+           "stream_queries")
 
 
 def _load():

@@ -10,6 +10,7 @@ from datetime import date
 
 from ticktide import dims
 from ticktide.calendars import registry
+from ticktide.calendars.model import Rule
 
 
 def literal(value) -> str:
@@ -189,7 +190,8 @@ LUNAR_DATES = {
                       "2019-03-21 2020-03-20 2021-03-20 2022-03-21 2023-03-21 2024-03-20 "
                       "2025-03-20 2026-03-20",
     "autumn_equinox": "1994-09-23 1995-09-23 1996-09-23 1997-09-23 1998-09-23 1999-09-23 "
-                      "2000-09-23 2001-09-23 2002-09-23 2003-09-23 2017-09-23 2018-09-23 "
+                      "2000-09-23 2001-09-23 2002-09-23 2003-09-23 2006-09-23 2007-09-23 "
+                      "2008-09-23 2009-09-23 2010-09-23 2011-09-23 2012-09-22 2013-09-23 2017-09-23 2018-09-23 "
                       "2019-09-23 2020-09-22 2021-09-23 2022-09-23 2023-09-23 2024-09-22 "
                       "2025-09-23 2026-09-23",
 }
@@ -220,16 +222,16 @@ EXPANDED = """placed AS (
       WHEN 'fixed' THEN make_date(y.year, r.month, r.day)
       WHEN 'weekday' THEN CASE WHEN nth > 0
         THEN make_date(y.year, r.month, r.day)
-          + ((weekday - (isodow(make_date(y.year, r.month, r.day)) - 1) + 7) % 7 + (nth - 1) * 7)
+          + CAST((weekday - (isodow(make_date(y.year, r.month, r.day)) - 1) + 7) % 7 + (nth - 1) * 7 AS INTEGER)
         ELSE make_date(y.year, r.month, r.day)
-          - (((isodow(make_date(y.year, r.month, r.day)) - 1) - weekday + 7) % 7 - (nth + 1) * 7) END
-      ELSE m.day END) + shift AS raw_day
+          - CAST(((isodow(make_date(y.year, r.month, r.day)) - 1) - weekday + 7) % 7 - (nth + 1) * 7 AS INTEGER) END
+      ELSE m.day END) + CAST(shift AS INTEGER) AS raw_day
   FROM rules r CROSS JOIN years y
   LEFT JOIN movable m ON m.festival = r.festival AND m.year = y.year
   WHERE (len(years) = 0 OR list_contains(years, y.year))
     AND NOT list_contains(not_years, y.year) AND y.year % every = 0),
 observed AS (
-  SELECT *, CAST(raw_day + moves[isodow(raw_day)] AS DATE) AS day_off FROM placed
+  SELECT *, CAST(raw_day + CAST(moves[isodow(raw_day)] AS INTEGER) AS DATE) AS day_off FROM placed
   WHERE raw_day IS NOT NULL AND CASE condition
     WHEN 'unless_first_friday' THEN day(raw_day) > 7
     WHEN 'only_first_friday' THEN day(raw_day) <= 7
@@ -246,8 +248,12 @@ RULE_COLUMNS = ("calendar, event, minutes, name, anchor, month, day, weekday, nt
                 "moves, condition, weekdays, since, until, years, not_years, every")
 
 
+# Stands in for a calendar without rules; it has no day in any year.
+NO_RULE = registry.rule_row("", "holiday", None, Rule("none", "festival", festival="none"))
+
+
 def rules_block(rows: list[tuple]) -> str:
-    return values("rules", RULE_COLUMNS, rows)
+    return values("rules", RULE_COLUMNS, rows or [NO_RULE])
 
 
 def holiday_blocks(rows: list[tuple], first: int, last: int) -> list[str]:
