@@ -60,15 +60,10 @@ def without_side_and_bias(tags: Column) -> Column:
     return F.filter(tags, lambda tag: ~tag.isin(*SIDE_AND_BIAS_WORDS))
 
 
-def bull_bear_score(price: Column, bid: Column, ask: Column, bias_code: Column,
-                    approximate: tuple[Column, Column, Column] | None = None) -> Column:
+def bull_bear_score(price: Column, bid: Column, ask: Column, bias_code: Column) -> Column:
     """-1 below the bid, 1 above the ask, else a sigmoid of the distance from
-    the mid price whose sign follows the bias.
-
-    Comparisons are exact. ``approximate`` gives the three prices as doubles
-    where the caller has them cheaper than by converting wide decimals.
-    """
-    p, b, a = approximate or tuple(c.cast("double") for c in (price, bid, ask))
+    the mid price whose sign follows the bias. Comparisons are exact."""
+    p, b, a = (c.cast("double") for c in (price, bid, ask))
     half_range = F.nullif((a - b) / 2, F.lit(0.0))
     x = (p - (b + a) / 2) / half_range
     magnitude = F.abs(F.lit(2.0) / (F.lit(1.0) + F.exp(-x)) - 1)

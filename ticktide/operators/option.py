@@ -29,7 +29,7 @@ TEXT_INPUTS = {
     "venue": "exchange", "trade_code": "trade_code",
 }
 # Fields whose text may not parse.
-CAN_FAIL = ("timestamp", "exp_date", "dte", "score", *DECIMAL_INPUTS, *INTEGER_INPUTS)
+CAN_FAIL = ("timestamp", "exp_date", "dte", *DECIMAL_INPUTS, *INTEGER_INPUTS)
 MISSING_EXPIRY = "1970-01-01"
 MISSING_EXPIRY_FOR_DAYS = "1800-01-01"
 
@@ -51,47 +51,55 @@ def trade_date(executed_ms: Column, zone: str) -> Column:
     return times.market_date(F.timestamp_millis(executed_ms), zone)
 
 
-def normalise(items: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Typed records with the array ``reason``; days to expiry count from the
-    trade date in ``zone``."""
-    executed = F.coalesce(F.col("executed_at"), F.lit("0")).try_cast("bigint")
-    staged = items.select(
-        "*",
-        executed.alias("_executed"),
-        tags.raw_tags(F.col("tags"), F.col("report_flags")).alias("_tags"),
+def parse(items: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Text fields to typed columns, null where a text does not parse. The exact
+    prices stay beside the published ones, for the comparisons."""
+    types = {field.name: field.dataType for field in schemas.OPTION_TRADES.fields}
+    texts = {source for source in TEXT_INPUTS.values()} | {"option_type", "tags", "report_flags"}
+    wide = items.select(
+        *sorted(texts), F.coalesce(F.col("executed_at"), F.lit("0")).try_cast("bigint").alias("timestamp"),
+        _expiry(MISSING_EXPIRY).alias("exp_date"), _expiry(MISSING_EXPIRY_FOR_DAYS).alias("_expiry"),
         *[_exact(source, default).alias(f"_{name}")
           for name, (source, default) in DECIMAL_INPUTS.items()],
-    )
-    price, bid, ask = F.col("_price"), F.col("_bid_px"), F.col("_ask_px")
-    bias = tags.bias(F.col("_tags"))
-    doubles = tuple(F.coalesce(F.col(source), F.lit("0")).try_cast("double")
-                    for source in ("price", "nbbo_bid", "nbbo_ask"))
-    score = F.round(tags.bull_bear_score(price, bid, ask, bias, doubles), 6).try_cast("decimal(8,6)")
-    own_tags = F.concat(
-        tags.without_side_and_bias(F.col("_tags")),
-        tags.keep_set(
-            F.when(F.col("_premium") >= tags.MILLIONAIRE_PREMIUM, F.lit("MILLIONAIRE")),
-            tags.outside_book(price, bid, ask)))
+        *[_whole(source).alias(name) for name, source in INTEGER_INPUTS.items()])
+    typed = wide.select(
+        *sorted(texts), "timestamp", "exp_date", *INTEGER_INPUTS,
+        F.datediff("_expiry", trade_date(F.col("timestamp"), zone)).alias("dte"),
+        *[decimals.coerce_down(F.col(f"_{name}"), types[name].precision, types[name].scale).alias(name)
+          for name in DECIMAL_INPUTS],
+        *[F.col(f"_{name}") for name in ("price", "bid_px", "ask_px")])
+    return quality.settled(typed)
+
+
+def normalise(items: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Typed records with the array ``reason``; days to expiry count from the
+    trade date in ``zone``.
+
+    Rejection looks at parsed columns only, so a query that reads few fields of
+    the valid records computes no tags and no scores.
+    """
+    typed = parse(items, zone)
+    exact = [F.col(f"_{name}") for name in ("price", "bid_px", "ask_px")]
+    words = tags.raw_tags(F.col("tags"), F.col("report_flags"))
+    marked = typed.select("*", words.alias("_words"))
+    words, bias = F.col("_words"), tags.bias(F.col("_words"))
     # A zero price or score is documented to become the placeholder 1e-8. The
     # published scales (2 and 6) cut that back to zero, so zero is left alone.
-    types = {field.name: field.dataType for field in schemas.OPTION_TRADES.fields}
     derived = {
         **{name: F.coalesce(F.col(source), F.lit("")) for name, source in TEXT_INPUTS.items()},
-        "timestamp": F.col("_executed"),
-        "exp_date": _expiry(MISSING_EXPIRY),
-        "dte": F.datediff(_expiry(MISSING_EXPIRY_FOR_DAYS), trade_date(F.col("_executed"), zone)),
         "put_call": F.upper(F.substring(F.coalesce(F.col("option_type"), F.lit("C")), 1, 1)),
-        "side": tags.side(F.col("_tags")),
+        "side": tags.side(words),
         "bias": bias,
-        "score": score,
-        "tags": own_tags,
-        **{name: _whole(source) for name, source in INTEGER_INPUTS.items()},
-        **{name: decimals.coerce_down(F.col(f"_{name}"), types[name].precision, types[name].scale)
-           for name in DECIMAL_INPUTS},
+        "score": F.round(tags.bull_bear_score(*exact, bias), 6).try_cast("decimal(8,6)"),
+        "tags": F.concat(
+            tags.without_side_and_bias(words),
+            tags.keep_set(
+                F.when(F.col("premium") >= tags.MILLIONAIRE_PREMIUM, F.lit("MILLIONAIRE")),
+                tags.outside_book(*exact))),
     }
-    record = staged.select(
-        *[derived[name].alias(name) for name in schemas.OPTION_TRADES.fieldNames()],
-        times.event_millis(F.col("_executed")).alias("event_ms"))
+    record = marked.select(
+        *[derived.get(name, F.col(name)).alias(name) for name in schemas.OPTION_TRADES.fieldNames()],
+        times.event_millis(F.col("timestamp")).alias("event_ms"))
     return quality.with_reasons(record, mapping_rules())
 
 

@@ -20,21 +20,21 @@ def with_reasons(records: DataFrame, rules: Rules, column: str = "reason") -> Da
     return records.withColumn(column, reasons)
 
 
-def _settled(records: DataFrame) -> DataFrame:
+def settled(records: DataFrame) -> DataFrame:
     """The records as the output of a generator, which a filter does not cross.
 
-    A filter on the reasons would otherwise move below the projection and take a
-    second copy of every parsing expression with it.
+    A filter on parsed values would otherwise move below the projection that
+    parses them and take a second copy of every parsing expression with it.
     """
-    return records.select(F.inline(F.array(F.struct(*records.columns))))
+    return records.select(F.inline_outer(F.array(F.struct(*records.columns))))
 
 
 def valid(records: DataFrame, column: str = "reason") -> DataFrame:
-    return _settled(records).where(F.size(column) == 0).drop(column)
+    return records.where(F.size(column) == 0).drop(column)
 
 
 def quarantine(records: DataFrame, column: str = "reason") -> DataFrame:
-    return _settled(records).where(F.size(column) > 0)
+    return records.where(F.size(column) > 0)
 
 
 def write_routed(records: DataFrame, path: str, column: str = "reason", mode: str = "append") -> None:

@@ -126,8 +126,10 @@ def streamed_compaction(spark, sf_dir):
     root = shared_folder(spark, "compaction")
     stream = views.event_stream(spark, sf_dir).select("user_id", "event_id", "event_type")
     sink = jobs.compacted_table(f"{root}/table", ["user_id"], "event_id")
-    jobs.write_batches(stream, sink, f"{root}/checkpoint").awaitTermination()
-    return jobs.latest_generation(spark, f"{root}/table").select("user_id", "event_id", "event_type")
+    done = jobs.write_batches(stream, sink, f"{root}/checkpoint")
+    done.awaitTermination()
+    return jobs.generation(spark, f"{root}/table", jobs.last_batch(done)).select(
+        "user_id", "event_id", "event_type")
 
 
 @query("a12_x09_batch_statistics", o.EQUITY + """

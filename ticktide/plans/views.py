@@ -15,7 +15,7 @@ from ticktide import dims
 from ticktide.calendars import lookup
 from ticktide.functions.decimals import UNDEF_PRICE
 from ticktide.operators import equity, option
-from ticktide.session import use_utc
+from ticktide.session import spread, use_utc
 from ticktide.sources import frames
 
 # Days around the timestamps of ``events`` and of ``orders``/``lineitem``.
@@ -99,7 +99,7 @@ def _cents_text(cents) -> object:
 
 def option_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Option trade items as the feed sends them: scalars as text."""
-    joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    joined = spread(lineitem).join(part, F.col("l_partkey") == F.col("p_partkey"))
     big = lambda c: F.round(F.col(c) * 100).cast("bigint")
     qty = F.col("l_quantity").cast("bigint")
     line, order = F.col("l_linenumber").cast("bigint"), F.col("l_orderkey")
@@ -159,7 +159,10 @@ def option_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def option_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return option_items(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    return option_items(lines, table(spark, sf_dir, "part"))
 
 
 def option_frames(spark: SparkSession, sf_dir: str) -> DataFrame:

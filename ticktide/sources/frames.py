@@ -24,13 +24,14 @@ def option_items(frames: DataFrame, text: str = "value",
                  schema: T.StructType = schemas.OPTION_ITEM) -> DataFrame:
     """Items of all well-formed frames, flattened to columns.
 
-    The first element names the channel. Parsing, slicing and exploding stay in
-    one stage; nothing is shuffled.
+    The first element names the channel. Nothing is shuffled. The generators are
+    outer ones: for the others the optimizer adds a filter on the size of the
+    array, which would parse the JSON once more. And as generators they stop a
+    filter on an item's field from moving below the parsing.
     """
-    parts = frame_array(F.col(text))
-    items = frames.select(
-        F.explode(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))).alias("item"))
-    parsed = items.select("item", F.from_json("item", schema).alias("fields")).select("item", "fields.*")
+    items = (frames.select(F.posexplode_outer(frame_array(F.col(text))).alias("position", "item"))
+             .where(F.col("position") > 0))
+    parsed = items.select("item", F.inline_outer(F.array(F.from_json("item", schema))))
     # A JSON number zero is no price, the text "0" is one. Reading both as text
     # would lose that difference.
     price = F.when(~F.col("item").rlike(NUMERIC_ZERO_PRICE), F.col("price"))
