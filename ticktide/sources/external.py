@@ -12,15 +12,12 @@ FILE_FORMATS = ("parquet", "json", "csv", "orc", "text")
 
 
 def has_source(spark: SparkSession, name: str) -> bool:
-    """Whether a data source package is on the class path."""
-    classes = {
-        "kafka": "org.apache.spark.sql.kafka010.KafkaSourceProvider",
-        "avro": "org.apache.spark.sql.avro.AvroFileFormat",
-    }
+    """Whether a data source of this name can be resolved in the session."""
+    sources = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource
     try:
-        spark._jvm.java.lang.Class.forName(classes[name])
+        sources.lookupDataSource(name, spark._jsparkSession.sessionState().conf())
         return True
-    except Exception:  # noqa: BLE001 - py4j wraps ClassNotFoundException
+    except Exception:  # noqa: BLE001 - an unknown source is reported as a Java exception
         return False
 
 
