@@ -32,7 +32,8 @@ def test_lookup_broadcasts_only_below_the_limit(spark):
     assert "strategy=broadcast" not in plan(lookups.lookup(facts, dim, ["k"], limit=0))
 
 
-def test_asof_matches_brute_force_with_a_hot_key(spark):
+@pytest.mark.parametrize("limit", [4_000_000, 7])
+def test_asof_matches_brute_force_with_a_hot_key(spark, limit):
     rng = random.Random(9)
     key = lambda: 0 if rng.random() < 0.5 else rng.randrange(5)
     right = sorted({(key(), rng.randrange(5000)) for _ in range(200)})
@@ -40,7 +41,7 @@ def test_asof_matches_brute_force_with_a_hot_key(spark):
     rdf = spark.createDataFrame([(k, t, f"v{t}") for k, t in right], "k int, rt bigint, v string")
     ldf = spark.createDataFrame(left, "id int, k int, lt bigint")
     got = {r.id: (r.v, r.matched_ts) for r in lookups.asof_backward(
-        ldf, rdf, ["k"], "lt", "rt", ["v"], 400).collect()}
+        ldf, rdf, ["k"], "lt", "rt", ["v"], 400, limit).collect()}
     for i, k, t in left:
         times = [x for kk, x in right if kk == k]
         at = bisect_right(times, t)
@@ -155,6 +156,13 @@ def test_schema_resolution(spark):
         tables.resolve_schema(written, T.StructType([T.StructField("missing", T.IntegerType(), False)]))
 
 
+def test_coercion_hooks_run_before_the_rule(spark):
+    df = spark.createDataFrame([("  1.239 ",)], "amount string")
+    schema = T.StructType([T.StructField("amount", T.DecimalType(6, 2))])
+    row = tables.coerce_record(df, schema, {"amount": lambda c: F.trim(c).cast("decimal(20,6)")}).first()
+    assert row.amount == Decimal("1.23")
+
+
 def test_throughput_running_total_crosses_days(spark):
     df = spark.range(0, 200).select(F.timestamp_seconds(F.col("id") * 3600).alias("ts"))
     rows = bars.throughput(df, "ts", 7200).orderBy("interval_us").collect()

@@ -132,8 +132,21 @@ def months(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
         F.coalesce(F.col("position") == F.col("leap_position"), F.lit(False)).alias("leap"))
 
 
+_kept: dict[tuple, DataFrame] = {}
+
+
 def festivals(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Festival dates: festival, (Gregorian) year, festival_date."""
+    """Festival dates: festival, (Gregorian) year, festival_date.
+
+    A handful of rows a year from long formulas, so they are kept for the session.
+    """
+    key = (spark.sparkContext.applicationId, first_year, last_year)
+    if key not in _kept:
+        _kept[key] = _festivals(spark, first_year, last_year).persist()
+    return _kept[key]
+
+
+def _festivals(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     names = local_table(spark, list(FESTIVALS), "festival string, month int, day int")
     day = F.date_add(F.col("first_day"), F.col("day") - 1)
     return (months(spark, first_year, last_year).where(~F.col("leap"))

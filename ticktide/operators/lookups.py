@@ -25,6 +25,9 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
 
 def salted_lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
                   salts: int = SALTS) -> DataFrame:
+    """The shuffled form of ``lookup``. The salt is a hash of the row, not a
+    random number: a task that runs again after a lost executor sends every row
+    to the same place. Exact copies share a salt, so de-duplicate before."""
     spread = F.pmod(F.xxhash64(*[facts[c] for c in facts.columns if c not in on] or [F.lit(0)]),
                     F.lit(salts)).cast("int")
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -38,44 +41,55 @@ def last_id_by_symbol(providers: DataFrame) -> DataFrame:
 
 
 def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str,
-                  values: list[str], bucket: int) -> DataFrame:
+                  values: list[str], bucket: int, limit: int = 4_000_000) -> DataFrame:
     """For each left row the latest right row with the same key at or before it.
 
-    Both sides are cut into (key, time bucket) groups, so a hot key is shared by
-    as many tasks as it has buckets. The value a bucket starts with is carried
-    in from the latest earlier bucket of the key that has a right row; that step
-    works on one row per key and bucket. ``bucket`` is in units of the (integer)
-    time columns. Columns ``values`` come from the right; ``matched_ts`` is the
-    right row's time.
+    Both sides are cut into (key, time bucket) cells, so a hot key is shared by
+    as many tasks as it has buckets. The value a cell starts with is carried in
+    from the latest earlier cell of the key that has a right row; that step
+    works on one row per key and cell. A cell with more than ``limit`` left rows
+    is split further: its left rows are spread over several groups, each with
+    its own copy of the cell's right rows.
+
+    ``bucket`` is in units of the (integer) time columns. Columns ``values`` come
+    from the right; ``matched_ts`` is the right row's time.
     """
-    payload = F.struct(F.col(right_ts).alias("matched_ts"), *values)
-    left_cols = left.columns
+    cell_key = [*by, "_cell"]
     cell = lambda ts: F.call_function("div", F.col(ts), F.lit(bucket).cast("bigint"))
-
+    payload = F.struct(F.col(right_ts).alias("matched_ts"), *values)
+    rows = left.select(*by, cell(left_ts).alias("_cell"), F.col(left_ts).alias("_ts"),
+                       F.lit(2).alias("_rank"), F.struct(*left.columns).alias("_left"))
     points = right.select(*by, cell(right_ts).alias("_cell"), F.col(right_ts).alias("_ts"),
                           F.lit(0).alias("_rank"), payload.alias("_right"))
+
     # Last right row of every cell, then the last one of any earlier cell.
-    closing = points.groupBy(*by, "_cell").agg(F.max_by("_right", "_ts").alias("_closing"))
-    cells = left.select(*by, cell(left_ts).alias("_cell")).distinct()
-    history = Window.partitionBy(*by).orderBy("_cell")
-    carried = (cells.join(closing, [*by, "_cell"], "full")
-               .withColumn("_carry", F.last("_closing", ignorenulls=True).over(
-                   history.rowsBetween(Window.unboundedPreceding, -1)))
-               .select(*by, "_cell", "_carry").where(F.col("_carry").isNotNull()))
+    closing = points.groupBy(*cell_key).agg(F.max_by("_right", "_ts").alias("_closing"))
+    cells = rows.groupBy(*cell_key).agg(F.count("*").alias("_n")).select(
+        *cell_key, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_groups"))
+    history = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (cells.join(closing, cell_key, "full")
+              .withColumn("_right", F.last("_closing", ignorenulls=True).over(history))
+              .where(F.col("_right").isNotNull())
+              .select(*cell_key, F.col("_right.matched_ts").alias("_ts"), F.lit(1).alias("_rank"),
+                      "_right"))
+
+    # Crowded cells are few: at most the number of left rows over the limit.
+    crowded = cells.where(F.col("_groups") > 1)
+    groups = F.coalesce("_groups", F.lit(1))
+    known = points.unionByName(starts)
+    copies = lookup(known, crowded, cell_key).withColumn(
+        "_group", F.explode(F.sequence(F.lit(0), groups - 1))).drop("_groups")
+    dealt = lookup(rows, crowded, cell_key).withColumn(
+        "_group", F.pmod(F.xxhash64("_left"), groups).cast("int")).drop("_groups")
 
-    rows = left.select(*by, cell(left_ts).alias("_cell"), F.col(left_ts).alias("_ts"),
-                       F.lit(2).alias("_rank"), F.struct(*left_cols).alias("_left"))
-    starts = carried.select(*by, "_cell", F.col("_carry.matched_ts").alias("_ts"),
-                            F.lit(1).alias("_rank"), F.col("_carry").alias("_right"))
-    stream = (points.unionByName(starts)
-              .unionByName(rows, allowMissingColumns=True))
     # A carried row is older than anything in its cell, so time order places it first.
-    order = Window.partitionBy(*by, "_cell").orderBy("_ts", "_rank")
-    seen = stream.withColumn("_match", F.last("_right", ignorenulls=True).over(
-        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    matched = seen.where(F.col("_rank") == 2)
-    return matched.select("_left.*", *[F.col(f"_match.{v}").alias(v) for v in values],
-                          F.col("_match.matched_ts").alias("matched_ts"))
+    order = Window.partitionBy(*cell_key, "_group").orderBy("_ts", "_rank")
+    seen = copies.unionByName(dealt, allowMissingColumns=True).withColumn(
+        "_match", F.last("_right", ignorenulls=True).over(
+            order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return seen.where(F.col("_rank") == 2).select(
+        "_left.*", *[F.col(f"_match.{v}").alias(v) for v in values],
+        F.col("_match.matched_ts").alias("matched_ts"))
 
 
 def entitled(records: DataFrame, levels: DataFrame, user_level: int | Column) -> DataFrame:

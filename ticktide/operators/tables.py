@@ -3,6 +3,8 @@ schema-driven coercion."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ticktide.functions import checks, decimals, messages, times
@@ -96,14 +98,18 @@ def resolve_schema(rows: DataFrame, reader: T.StructType) -> DataFrame:
 
 # --- schema-driven coercion -----------------------------------------------
 
-def coerce_record(rows: DataFrame, schema: T.StructType) -> DataFrame:
+def coerce_record(rows: DataFrame, schema: T.StructType,
+                  hooks: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Bring every column to its schema type with the rule of that type:
-    decimals are cut toward zero, text is trimmed, times become integers."""
-    columns = []
+    decimals are cut toward zero, text is trimmed, times become integers.
+    ``hooks`` are functions per field that run before the rule."""
+    columns, hooks = [], hooks or {}
     for field in schema.fields:
         if field.name not in rows.columns:
             continue
         value, given = F.col(field.name), rows.schema[field.name].dataType
+        if field.name in hooks:
+            value = hooks[field.name](value)
         logical = field.metadata.get("logicalType", "")
         if isinstance(field.dataType, T.DecimalType):
             value = decimals.coerce_down(value, field.dataType.precision, field.dataType.scale)

@@ -13,6 +13,7 @@ from ticktide.plans.registry import query
 from ticktide.sources.external import latest_schemas
 
 HALF_HOUR, DAY = 1_800_000, 86_400_000
+HOUR_US = 3_600_000_000
 
 _OHLC = """CAST(arg_min(price, ord) AS {d})::VARCHAR AS open, max(price)::VARCHAR AS high,
   min(price)::VARCHAR AS low, CAST(arg_max(price, ord) AS {d})::VARCHAR AS price,
@@ -213,7 +214,7 @@ def asof_last_quote(spark, sf_dir):
     trades = events.where(F.col("event_type") == "purchase").select(
         "event_id", "user_id", micros.alias("traded"))
     return lookups.asof_backward(trades, quotes, ["user_id"], "traded", "quoted", ["quote"],
-                                 86_400_000_000)
+                                 HOUR_US)
 
 
 @query("x05_symbology_as_of", """
@@ -234,7 +235,7 @@ def symbology_as_of(spark, sf_dir):
     trades = events.where(F.col("event_type") != "signup").select(
         "event_id", instrument, micros.alias("traded"))
     return lookups.asof_backward(trades, changes, ["instrument_id"], "traded", "valid_from",
-                                 ["symbol"], 86_400_000_000).select("event_id", "symbol")
+                                 ["symbol"], HOUR_US).select("event_id", "symbol")
 
 
 # --- schema evolution -----------------------------------------------------

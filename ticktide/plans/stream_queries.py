@@ -87,12 +87,21 @@ def streamed_sliding_bars(spark, sf_dir):
         timed_stream(spark, sf_dir), "2 hours", "10 minutes", slide="1 hour"), "sliding")
 
 
-@query("x06_gap_bars", o.EQUITY + """, w AS (
+_GAPS = o.EQUITY + """, w AS (
   SELECT *, "timestamp" * 1000 AS us, "timestamp"::HUGEINT * 2147483648 + sequence AS ord FROM eqv),
 b AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY symbol ORDER BY us) < 7200000000 THEN 0 ELSE 1 END AS fresh FROM w),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY us, ord) AS grp FROM b)
 SELECT symbol, min(us) AS bar_start, max(us) + 7200000000 AS bar_end, count(*) AS trades,
-  CAST(sum(qty) AS BIGINT) AS volume FROM g GROUP BY symbol, grp""")
+  CAST(sum(qty) AS BIGINT) AS volume FROM g GROUP BY symbol, grp"""
+
+
+@query("x06_streamed_gap_bars", _GAPS + f" HAVING max(us) + 7200000000 <= (SELECT max(us) - {DELAY_US} FROM w)")
+def streamed_gap_bars(spark, sf_dir):
+    bars = jobs.gap_bars(timed_stream(spark, sf_dir), "2 hours", "10 minutes")
+    return jobs.run_to_files(bars, "gaps").select("symbol", "bar_start", "bar_end", "trades", "volume")
+
+
+@query("x06_gap_bars", _GAPS)
 def gap_bars(spark, sf_dir):
     """Session windows over the whole table, in batch."""
     from ticktide.operators.bars import gap_bars as bars_by_gap

@@ -14,12 +14,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # against Catalyst's own size estimate before any hint is given.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
+SESSION_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    # Session windows of a hot symbol are merged before they are shuffled.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
 
 def local_session(app: str = "ticktide", cores: str = "8", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     settings = {
         "spark.sql.shuffle.partitions": "8",
-        "spark.sql.session.timeZone": "UTC",
+        **SESSION_SETTINGS,
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
@@ -35,8 +41,9 @@ def local_session(app: str = "ticktide", cores: str = "8", **conf: str) -> Spark
 
 def use_utc(spark: SparkSession) -> SparkSession:
     """Instants are stored in UTC; naive source timestamps are read as UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, value in SESSION_SETTINGS.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
