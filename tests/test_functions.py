@@ -53,11 +53,21 @@ def test_fixed_point_and_byte_forms_round_trip(spark):
     raw = decimals.to_signed_bytes(x, 6)
     rows = df.select("n", decimals.to_fixed(x, 6).alias("back"), raw.alias("raw"),
                      decimals.from_signed_bytes(raw, 6).alias("decoded"), x.alias("x"),
-                     decimals.from_wide_signed_bytes(6)(raw).alias("wide")).collect()
+                     decimals.from_wide_signed_bytes(6)(raw).alias("wide"),
+                     decimals.to_wide_signed_bytes(6)(x).alias("wide_raw")).collect()
     for r in rows:
         width = (abs(r.n).bit_length() + 8) // 8
         assert r.back == r.n and bytes(r.raw) == r.n.to_bytes(width, "big", signed=True)
-        assert r.decoded == r.x == r.wide
+        assert r.decoded == r.x == r.wide and r.wide_raw == r.raw
+
+
+def test_bytes_beyond_eight_round_trip(spark):
+    numbers = [10 ** 25, -(10 ** 25), 2 ** 80 - 1, -(2 ** 80)]
+    df = spark.createDataFrame([(Decimal(n).scaleb(-6),) for n in numbers], "x decimal(38,6)")
+    raw = decimals.to_wide_signed_bytes(6)(c("x"))
+    rows = df.select("x", decimals.from_wide_signed_bytes(6)(raw).alias("y"),
+                     decimals.from_signed_bytes(raw, 6).alias("narrow")).collect()
+    assert all(r.x == r.y and r.narrow is None for r in rows)
 
 
 def test_detected_resolutions_agree(one):

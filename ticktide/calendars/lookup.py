@@ -134,6 +134,16 @@ def is_open(t: Column, include_close: bool = False, only_rth: bool = False) -> C
             | _state("next", t, include_close, only_rth, True))
 
 
+def is_interrupted(t: Column, at_most: int) -> Column:
+    """Inside one of the numbered interruptions of the session; trading stands
+    still then, whatever ``is_open`` says."""
+    inside = F.lit(False)
+    for k in range(1, at_most + 1):
+        start, end = F.col(f"interruption_start_{k}"), F.col(f"interruption_end_{k}")
+        inside = inside | F.coalesce((t >= start) & (t < end), F.lit(False))
+    return inside
+
+
 def is_covered(t: Column, only_rth: bool = False) -> Column:
     """Whether the day table reaches far enough to answer."""
     low = F.col("at_open") if only_rth else F.coalesce("at_pre", "at_open")

@@ -116,3 +116,16 @@ def from_wide_signed_bytes(scale: int):
                              for n in numbers], dtype=object)
 
     return decode
+
+
+def to_wide_signed_bytes(scale: int):
+    """Column function from decimal(38, scale) to two's-complement bytes of any length."""
+
+    @F.pandas_udf("binary")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            numbers = [None if x is None else int(x.scaleb(scale)) for x in batch]
+            yield pd.Series([None if n is None else n.to_bytes((n.bit_length() + 8) // 8, "big", signed=True)
+                             for n in numbers], dtype=object)
+
+    return encode

@@ -9,14 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ticktide.calendars.lookup import DayTable, attach, in_session
 from ticktide.functions import times
 
-# Bar pipelines that the platform declares: input, output, width; fixed names.
-BAR_PIPELINES = {
-    "option_trade_volume_bars": ("option_trades", "option_trades_aggs"),
-    "stock_trade_volume_bars": ("stock_trades", "stock_trades_aggs"),
-    "futures_trade_volume_bars": ("futures_trades", "futures_trades_aggs"),
-    "crypto_trade_volume_bars": ("crypto_trades", "crypto_trades_aggs"),
-}
-
 
 def arrival_order(ts: str = "timestamp", sequence: str = "sequence") -> Column:
     """One decimal that sorts like (time, sequence).

@@ -356,6 +356,19 @@ def interruptions(spark, sf_dir):
                                          for side in ("start", "end")])
 
 
+@query("c08_c09_halted_events", _join(o.sessions(["NYSE"], *views.EVENT_DAYS), HALTS_SQL,
+                                      "t AS (SELECT event_id, ts, epoch_us(ts) AS us FROM events)") + """
+SELECT event_id, coalesce(bool_or(us >= s AND us < e), FALSE) AS halted
+FROM t JOIN sess ON session_date = CAST(ts AS DATE) LEFT JOIN halts h ON h.session_date = sess.session_date AND n <= 2
+GROUP BY event_id""")
+def halted_events(spark, sf_dir):
+    """Events on session dates that fall into one of the first two halts."""
+    schedule = S.with_interruptions(S.sessions(spark, ["NYSE"], *views.EVENT_DAYS), halts(spark, sf_dir), 2)
+    events = instants(spark, sf_dir).withColumn("session_date", times.utc_date(F.col("ts")))
+    return events.join(schedule, "session_date").select(
+        "event_id", lookup.is_interrupted(F.col("ts"), 2).alias("halted"))
+
+
 # --- questions about timestamps -------------------------------------------
 
 def instants(spark, sf_dir) -> DataFrame:

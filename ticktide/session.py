@@ -28,7 +28,7 @@ def local_session(app: str = "ticktide", cores: str = "8", **conf: str) -> Spark
         **SESSION_SETTINGS,
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
-        "spark.driver.memory": "8g",
+        "spark.driver.memory": "6g",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
