@@ -68,17 +68,19 @@ def parse(items: DataFrame, zone: str = "UTC") -> DataFrame:
         *[decimals.coerce_down(F.col(f"_{name}"), types[name].precision, types[name].scale).alias(name)
           for name in DECIMAL_INPUTS],
         *[F.col(f"_{name}") for name in ("price", "bid_px", "ask_px")])
-    return quality.settled(typed)
+    return typed
 
 
-def normalise(items: DataFrame, zone: str = "UTC") -> DataFrame:
+def normalise(items: DataFrame, zone: str = "UTC", settle: bool = True) -> DataFrame:
     """Typed records with the array ``reason``; days to expiry count from the
     trade date in ``zone``.
 
     Rejection looks at parsed columns only, so a query that reads few fields of
-    the valid records computes no tags and no scores.
+    the valid records computes no tags and no scores. ``settle=False`` is for
+    queries that read few fields and do not filter on ``reason``: the fields they
+    leave out are then not even parsed.
     """
-    typed = parse(items, zone)
+    typed = quality.settled(parse(items, zone)) if settle else parse(items, zone)
     exact = [F.col(f"_{name}") for name in ("price", "bid_px", "ask_px")]
     words = tags.raw_tags(F.col("tags"), F.col("report_flags"))
     marked = typed.select("*", words.alias("_words"))

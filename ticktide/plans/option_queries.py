@@ -115,7 +115,7 @@ def published(spark, sf_dir):
 @query("p37_rejected_items", o.OPTION + """
 SELECT id, 'bad vol_stock' AS reason FROM opt WHERE vol_stock IS NULL""")
 def rejected(spark, sf_dir):
-    return quality.quarantine(views.option_records(spark, sf_dir)).select("id", "reason")
+    return quality.quarantine(views.option_records(spark, sf_dir, settle=True)).select("id", "reason")
 
 
 @query("p38_key", o.OPTION + "SELECT symbol AS key, count(*) AS trades FROM optv GROUP BY symbol")

@@ -180,12 +180,13 @@ def option_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", F.when(order % 97 == 0, F.substring(whole, 1, 40)).otherwise(whole).alias("value"))
 
 
-def option_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return option.normalise(option_view(spark, sf_dir))
+def option_records(spark: SparkSession, sf_dir: str, settle: bool = False) -> DataFrame:
+    """All mapped records; ``settle`` them before filtering on the reason."""
+    return option.normalise(option_view(spark, sf_dir), settle=settle)
 
 
 def option_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return option.published(option_records(spark, sf_dir))
+    return option.published(option_records(spark, sf_dir, settle=True))
 
 
 def option_records_from_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
