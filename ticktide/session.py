@@ -16,8 +16,8 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    # Session windows of a hot symbol are merged before they are shuffled.
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Session windows of a hot symbol are merged before a stream shuffles them.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
@@ -42,7 +42,7 @@ def local_session(app: str = "ticktide", cores: str = "8", **conf: str) -> Spark
 def use_utc(spark: SparkSession) -> SparkSession:
     """Instants are stored in UTC; naive source timestamps are read as UTC."""
     for key, value in SESSION_SETTINGS.items():
-        if spark.conf.get(key) != value:
+        if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
