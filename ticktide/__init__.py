@@ -5,3 +5,11 @@ Every operator is a plain function, ``DataFrame -> DataFrame`` or
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions for Python workers travel with their code, so that workers need not
+# have this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
