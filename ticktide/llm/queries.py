@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import packing, token_counts
+from ticktide.llm import fingerprints, packing, simhash, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +19,23 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_token_counts, op9_packing)}
+    op2_token_counts, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_url_filter": url_filter.judge_sql()}
