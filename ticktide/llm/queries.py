@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import fingerprints, packing, simhash, token_counts, url_filter
+from ticktide.llm import fingerprints, packing, quality, simhash, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_token_counts, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
+    op2_token_counts, op4_quality, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
 
 ORACLES: dict[str, str] = {"op8_url_filter": url_filter.judge_sql()}
