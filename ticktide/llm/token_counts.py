@@ -47,8 +47,9 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 frequency = Counter(split(text))
                 if len(pieces) > table_limit:
                     pieces.clear()
-                for new in frequency.keys() - pieces.keys():
-                    pieces[new] = len(ids(new))
+                for piece in frequency:
+                    if piece not in pieces:
+                        pieces[piece] = len(ids(piece))
                 tokens = sum(pieces[piece] * n for piece, n in frequency.items())
                 rows.append((len(text.encode()), tokens, frequency.total(), len(frequency)))
             columns = [pa.array(column, pa.int64()) for column in zip(*rows)]
