@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import fingerprints, packing, pii, quality, simhash, token_counts, url_filter
+from ticktide.llm import fingerprints, langid, packing, pii, quality, simhash, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_token_counts, op4_quality, op5_pii, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
+    op2_token_counts, op4_quality, op5_pii, op6_language, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
 
 ORACLES: dict[str, str] = {"op8_url_filter": url_filter.judge_sql()}
