@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticktide.llm import fingerprints, langid, packing, pii, quality, simhash, token_counts, url_filter
+from ticktide.llm import (fingerprints, langid, packing, pii, quality, sentencepiece, simhash, token_counts,
+                          url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text that comes back from them, as digests."""
+    back = sentencepiece.decode(sentencepiece.encode(table(spark, sf_dir, "documents")))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                       F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("text_sha256"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -48,6 +57,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_token_counts, op4_quality, op5_pii, op6_language, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
+    op1_sentencepiece, op2_token_counts, op4_quality, op5_pii, op6_language, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
 
 ORACLES: dict[str, str] = {"op8_url_filter": url_filter.judge_sql()}
