@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticktide.llm import (fingerprints, langid, packing, pii, quality, sentencepiece, simhash, token_counts,
-                          url_filter)
+from ticktide.llm import (fingerprints, langid, packing, pii, quality, sentencepiece, simhash, substring_dedup,
+                          token_counts, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removed passages of every text, the documents that keep them, and a digest of what is kept."""
+    found = substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_spans", "n_removed", "spans", "firsts",
+                        F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -57,6 +64,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_sentencepiece, op2_token_counts, op4_quality, op5_pii, op6_language, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
+    op1_sentencepiece, op2_token_counts, op3_substring_dedup, op4_quality,
+    op5_pii, op6_language, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
 
 ORACLES: dict[str, str] = {"op8_url_filter": url_filter.judge_sql()}
