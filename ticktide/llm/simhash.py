@@ -2,7 +2,9 @@
 
 Fingerprints: a bit is set when it is set in over half of the XXH64 values (seed
 42) of a text's word shingles. Texts with one fingerprint form one node, so
-copies never meet each other.
+copies never meet each other. `drop_near_copies` removes near copies by their
+five-word shingles: it searches several fingerprints of each text, over its set of
+words, which near copies hardly change, and then measures the similarity itself.
 
 Search: the upper levels of a vantage-point tree are fitted on a bounded sample
 of fingerprints and sent to the tasks. A fingerprint goes to the inside of a
@@ -123,7 +125,7 @@ def near_pairs(values: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.n
 
 
 def _forest(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (value, smallest value of its part) that keep the parts connected."""
+    """Near pairs that connect the values as all near pairs do: fewer than there are values."""
     parent = np.arange(len(values))
 
     def roots(index: np.ndarray) -> np.ndarray:
@@ -133,61 +135,73 @@ def _forest(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
                 return index
             index = parent[above]
 
+    first, second = [], []
     for x, y in near_pairs(values, most):
+        order = np.argsort(np.bitwise_count(values[x] ^ values[y]), kind="stable")
+        x, y = x[order], y[order]
         while len(x):
             a, b = roots(x), roots(y)
             open_ = a != b
             x, y, a, b = x[open_], y[open_], a[open_], b[open_]
-            np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
-    root = roots(np.arange(len(values)))
-    linked = root != np.arange(len(values))
-    return values[linked], values[root[linked]]
+            # The closest pair of each larger root hooks it to the smaller one.
+            upper, at = np.unique(np.maximum(a, b), return_index=True)
+            parent[upper] = np.minimum(a, b)[at]
+            first.append(x[at])
+            second.append(y[at])
+    return (values[np.concatenate(first)], values[np.concatenate(second)]) if first else (values[:0], values[:0])
 
 
 def links(nodes: DataFrame, most: int = 3, shard_rows: int = 65_536) -> DataFrame:
-    """Links (a, b) between distinct fingerprints of column ``fp`` at most ``most`` bits apart.
+    """Links (view, a, b) between the distinct fingerprints (view, fp) of a view.
 
-    The links connect exactly the fingerprints that all such pairs connect.
+    Every link is a pair at most ``most`` bits apart, and the links connect
+    exactly the fingerprints that all such pairs connect.
     """
-    count = nodes.count()
+    count = nodes.groupBy("view").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     depth = max(0, min(MOST_LEAVES, -(-count // LEAF)) - 1).bit_length()
     step = max(1, count // (SAMPLE_PER_LEAF * 2 ** depth))
-    sample = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("fp").toPandas()["fp"]
-    points, medians = fit_tree(np.sort(sample.to_numpy(np.int64).view(np.uint64)), depth)
+    sample = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("view", "fp").toPandas()
+    trees = {int(view): fit_tree(np.sort(part["fp"].to_numpy(np.int64).view(np.uint64)), depth)
+             for view, part in sample.groupby("view")}
+    # A view without a sample is small: all of it goes inside, to one shard.
+    empty = fit_tree(np.zeros(0, dtype=np.uint64), depth)
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False)
-            index, leaf = route(values.view(np.uint64), points, medians, depth, most)
-            yield pa.RecordBatch.from_arrays([pa.array(values[index]), pa.array(leaf)], ["fp", "leaf"])
-
-    placed = nodes.select("fp").mapInArrow(routed, "fp long, leaf long")
-    # One row per leaf, at most MOST_LEAVES.
-    parts = {row["leaf"]: -(-row["n"] // shard_rows)
-             for row in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()
-             if row["n"] > shard_rows}
+            views, values = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for view in np.unique(views):
+                own = values[views == view]
+                index, leaf = route(own.view(np.uint64), *trees.get(int(view), empty), depth, most)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(index), view, dtype=np.int32)), pa.array(own[index]), pa.array(leaf)],
+                    ["view", "fp", "leaf"])
+
+    placed = nodes.select("view", "fp").mapInArrow(routed, "view int, fp long, leaf long")
+    # One row per view and leaf that is too large, so at most MOST_LEAVES a view.
+    parts = {(row["view"], row["leaf"]): -(-row["n"] // shard_rows)
+             for row in placed.groupBy("view", "leaf").agg(F.count("*").alias("n"))
+             .filter(F.col("n") > shard_rows).collect()}
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, leaf = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            plain = ~np.isin(leaf, list(parts))
-            fps, keys = [values[plain]], [np.stack([leaf[plain], 0 * leaf[plain], 0 * leaf[plain]], 1)]
-            for value, where in zip(values[~plain], leaf[~plain]):
-                n = parts[where]
-                own = hash(int(value)) % n
-                fps.append(np.repeat(value, n))
-                keys.append(np.array([[where, min(own, k), max(own, k)] for k in range(n)]))
-            key = np.concatenate(keys)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(fps)), *map(pa.array, key.T.copy())],
-                                             ["fp", "leaf", "i", "j"])
+            views, values, leaves = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            cut = np.array([parts.get(key, 1) for key in zip(views.tolist(), leaves.tolist())], dtype=np.int64)
+            own = (values.view(np.uint64) % cut.astype(np.uint64)).astype(np.int64)
+            # A fingerprint of part p meets every part k in cell (min, max).
+            at = np.repeat(np.arange(len(values)), cut)
+            k = np.arange(len(at)) - np.repeat(np.cumsum(cut) - cut, cut)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(views[at]), pa.array(values[at]), pa.array(leaves[at]),
+                 pa.array(np.minimum(own[at], k)), pa.array(np.maximum(own[at], k))],
+                ["view", "fp", "leaf", "i", "j"])
 
     def linked(pdf: pd.DataFrame) -> pd.DataFrame:
         values = np.sort(pdf["fp"].to_numpy(np.int64)).view(np.uint64)
         a, b = _forest(values, most)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+        return pd.DataFrame({"view": pdf["view"].iloc[0], "a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return (placed.mapInArrow(cells, "fp long, leaf long, i long, j long")
-            .groupBy("leaf", "i", "j").applyInPandas(linked, "a long, b long"))
+    return (placed.mapInArrow(cells, "view int, fp long, leaf long, i long, j long")
+            .groupBy("view", "leaf", "i", "j").applyInPandas(linked, "view int, a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
@@ -203,10 +217,104 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = checkpointed(fingerprints(docs, id_col, text_col, words))
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_same")))
-    roots = components(links(nodes, most))
+    roots = components(links(nodes.withColumn("view", F.lit(0)), most))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "n_same", "first", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(smallest, "root").select("fp", "n_same", "component_id")
     return prints.join(classes, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"),
                                              "component_id", "n_same")
+
+
+def views_of(docs: DataFrame, id_col: str, text_col: str, views: int) -> DataFrame:
+    """Per row: doc_id, text_hash, and the fingerprints of the set of words under several seeds."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        digest = xxhash.xxh3_128_digest
+        lower = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+        for batch in text_slices(batches):
+            values = np.zeros((batch.num_rows, views), dtype=np.int64)
+            for row, text in enumerate(batch.column(2).to_pylist()):
+                words = list(set(text.encode().translate(lower).split()))
+                total = np.zeros(views * 64, dtype=np.int64)
+                for at in range(0, len(words), 16_384):
+                    part = words[at:at + 16_384]
+                    hashes = [np.frombuffer(b"".join([digest(w, seed) for w in part]), dtype=np.uint8).reshape(-1, 16)
+                              for seed in range(-(-views // 2))]
+                    bits = np.concatenate(hashes, axis=1)[:, :views * 8]
+                    total += np.unpackbits(bits, axis=1).sum(axis=0, dtype=np.int64)
+                values[row] = np.packbits(2 * total > len(words)).view(">u8").astype(np.uint64).view(np.int64)
+            prints = pa.ListArray.from_arrays(
+                pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * views), pa.array(values.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints],
+                                             ["doc_id", "text_hash", "prints"])
+
+    return id_and_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        compute, "doc_id long, text_hash long, prints array<long>")
+
+
+def shingle_similarity(pairs: DataFrame, words: int) -> DataFrame:
+    """(a, b, similarity) for rows a, b, text_a, text_b: Jaccard of the sets of word shingles."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lower = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+        def shingles(text: str) -> set[bytes]:
+            found = text.encode().translate(lower).split()
+            if len(found) < words:
+                return {b" ".join(found)}
+            return set(map(b" ".join, zip(*(found[i:] for i in range(words)))))
+
+        for batch in text_slices(batches):
+            out = []
+            for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = shingles(one), shingles(two)
+                both = len(x & y)
+                out.append(both / (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())],
+                                             ["a", "b", "similarity"])
+
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(compute, "a long, b long, similarity double")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", views: int = 8,
+                     most: int = 3, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, with all columns, of which one of each group of near copies stays.
+
+    Texts are linked when their sets of ``words``-word shingles have a Jaccard
+    similarity of at least ``similarity``; equal texts always are. Candidates are
+    texts with a fingerprint at most ``most`` bits apart in one of the views. Of a
+    group the smallest id stays; a null id stays only where there is no other.
+    Rows equal in id and text are one document and share its fate. Null and empty
+    texts are equal. An empty table stays empty.
+    """
+    rows = checkpointed(views_of(docs, id_col, text_col, views))
+    texts = rows.groupBy("text_hash").agg(F.min("doc_id").alias("first"), F.min("prints").alias("prints"))
+    seen = checkpointed(texts.select("text_hash", F.posexplode("prints").alias("view", "fp")))
+    prints = checkpointed(seen.groupBy("view", "fp").agg(F.min("text_hash").alias("node")))
+    # Texts with one fingerprint all point to the same text, linked fingerprints to each other's.
+    near = seen.join(prints, ["view", "fp"]).select(F.col("text_hash").alias("a"), F.col("node").alias("b"))
+    found = links(prints, most)
+    ends = prints.select("view", F.col("fp").alias("a"), F.col("node").alias("node_a"))
+    found = found.join(ends, ["view", "a"]).join(
+        ends.select("view", F.col("a").alias("b"), F.col("node_a").alias("node_b")), ["view", "b"])
+    near = near.unionByName(found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    near = checkpointed(near.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                        .distinct())
+    wanted = near.select("a").union(near.select("b")).distinct().withColumnRenamed("a", "node")
+    shown = id_and_text(docs, id_col, text_col).select(F.xxhash64("text").alias("node"), "text")
+    shown = shown.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    pairs = near.join(shown.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
+        shown.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    same = shingle_similarity(pairs, words).filter(F.col("similarity") >= similarity).select("a", "b")
+    roots = components(same)
+    group = rows.select("doc_id", "text_hash").join(
+        roots, F.col("text_hash") == F.col("node"), "left").select(
+        "doc_id", "text_hash", F.coalesce("root", "text_hash").alias("root"))
+    stays = group.groupBy("root").agg(F.min("doc_id").alias("stays"), F.count("*").alias("n")).filter("n > 1")
+    gone = group.join(stays, "root").filter(~F.col("doc_id").eqNullSafe(F.col("stays"))).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id"))
+                     & (F.xxhash64(text) == F.col("__hash")), "left_anti")
