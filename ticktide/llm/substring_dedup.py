@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ticktide.llm.tables import text_slices
 
@@ -126,18 +126,10 @@ def _passages(data: bytes, found: list[dict], least_words: int) -> list[tuple[in
     return sorted(spans)
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50,
-                least_chunk: int = 16) -> DataFrame:
-    """Per row: doc_id, text (what is kept), n_spans, n_removed, spans, firsts.
-
-    ``spans`` are ``start:end`` in code points of the given text, joined by
-    commas; n_removed counts their code points, and ``firsts`` lists the documents
-    that keep the passages. Only repeats across documents count, and of equal
-    passages that of the smallest id stays. Rows that share an id count as one
-    document. A null text is empty; rows with a null id and empty texts are
-    returned as they are. Other columns are not looked at.
-    """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_chunk: int) -> DataFrame:
+    """Per row: ``row``, a struct of the other columns, doc_id, the kept text and what was removed."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*others).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     near = candidates(chunks(docs, id_col, text_col, least_chunk))
     firsts = rows.select(F.col("doc_id").alias("first"), F.col("text").cast("binary").alias("bytes"))
@@ -150,20 +142,20 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grouped = shown.groupBy("doc_id").agg(F.collect_list("item").alias("found"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text", "n_spans", "n_removed", "spans", "firsts"]
-        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
+        names = ["text", "n_spans", "n_removed", "spans", "firsts"]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
         for batch in text_slices(batches):
             out = []
-            for doc_id, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for text, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 data = text.encode()
                 passages = _passages(data, found, least_words) if found else []
-                kept, spans, at = [], [], 0
+                spans: list[list[int]] = []
                 for start, end, _ in passages:
                     if spans and start <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], end)
                     else:
                         spans.append([start, end])
-                written, points = [], 0
+                kept, written, at, points = [], [], 0, 0
                 for start, end in spans:
                     kept.append(data[at:start])
                     points += len(kept[-1].decode())
@@ -171,10 +163,41 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     written.append((points, points + removed))
                     points, at = points + removed, end
                 kept.append(data[at:])
-                out.append((doc_id, b"".join(kept).decode(), len(spans), sum(b - a for a, b in written),
+                out.append((b"".join(kept).decode(), len(spans), sum(b - a for a, b in written),
                             ",".join(f"{a}:{b}" for a, b in written), sorted({f for _, _, f in passages})))
             columns = list(zip(*out)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, types))],
+                ["row", "doc_id", *names])
 
-    return rows.join(grouped, "doc_id", "left").select("doc_id", "text", "found").mapInArrow(
-        remove, "doc_id long, text string, n_spans long, n_removed long, spans string, firsts array<long>")
+    joined = rows.join(grouped, "doc_id", "left").select("row", "doc_id", "text", "found")
+    schema = (T.StructType().add("row", rows.schema["row"].dataType).add("doc_id", "long").add("text", "string")
+              .add("n_spans", "long").add("n_removed", "long").add("spans", "string").add("firsts", "array<long>"))
+    return joined.mapInArrow(remove, schema)
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50,
+                least_chunk: int = 16) -> DataFrame:
+    """Per row: doc_id, text (what is kept), n_spans, n_removed, spans, firsts.
+
+    ``spans`` are ``start:end`` in code points of the given text, joined by
+    commas; n_removed counts their code points, and ``firsts`` lists the documents
+    that keep the passages. Only repeats across documents count, and of equal
+    passages that of the smallest id stays. Rows that share an id count as one
+    document. A null text is empty; rows with a null id and empty texts are
+    returned as they are. Other columns are not looked at.
+    """
+    kept = _cut(docs.select(f"`{id_col}`", f"`{text_col}`"), id_col, text_col, least_words, least_chunk)
+    return kept.drop("row")
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50,
+                   least_chunk: int = 16) -> DataFrame:
+    """``docs`` with the same columns and the repeats cut out of the texts.
+
+    A document of which no word is left goes; one without any repeat stays as it
+    is, a null text among them.
+    """
+    cut = _cut(docs, id_col, text_col, least_words, least_chunk)
+    left = cut.filter((F.col("n_spans") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
