@@ -93,10 +93,11 @@ def candidates(pieces: DataFrame, least_bytes: int = 48) -> DataFrame:
     """(doc_id, first, shift, low, high): a stretch of a document that its first document may have, too."""
     # One sortable number for (document, place) keeps this a hash aggregate.
     place = F.col("doc_id").cast("decimal(20,0)") * SHIFT + F.col("start")
-    firsts = pieces.groupBy("digest").agg(F.min(place).alias("place"), F.min("doc_id").alias("first"),
-                                          F.max("doc_id").alias("last"))
-    firsts = firsts.filter(F.col("first") < F.col("last")).select(
-        "digest", "first", F.pmod("place", F.lit(SHIFT)).cast("long").alias("first_start"))
+    firsts = pieces.groupBy("digest").agg(F.min(place).alias("place"), F.max("doc_id").alias("last"))
+    start = F.pmod("place", F.lit(SHIFT))
+    firsts = firsts.select("digest", "last", start.cast("long").alias("first_start"),
+                           F.expr(f"CAST((place - pmod(place, {SHIFT})) / {SHIFT} AS long)").alias("first"))
+    firsts = firsts.filter(F.col("first") < F.col("last")).drop("last")
     later = pieces.join(firsts, "digest").filter(F.col("doc_id") > F.col("first"))
     return (later.groupBy("doc_id", "first", (F.col("first_start") - F.col("start")).alias("shift"))
             .agg(F.sum("size").alias("n"), F.min("start").alias("low"), F.max(F.col("start") + F.col("size")).alias("high"))
@@ -171,8 +172,8 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_ch
                 ["row", "doc_id", *names])
 
     joined = rows.join(grouped, "doc_id", "left").select("row", "doc_id", "text", "found")
-    schema = (T.StructType().add("row", rows.schema["row"].dataType).add("doc_id", "long").add("text", "string")
-              .add("n_spans", "long").add("n_removed", "long").add("spans", "string").add("firsts", "array<long>"))
+    schema = T.StructType([rows.schema["row"]] + T.StructType.fromDDL(
+        "doc_id long, text string, n_spans long, n_removed long, spans string, firsts array<long>").fields)
     return joined.mapInArrow(remove, schema)
 
 
