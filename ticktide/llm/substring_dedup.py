@@ -128,12 +128,15 @@ def _passages(data: bytes, found: list[dict], least_words: int) -> list[tuple[in
 
 
 def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_chunk: int) -> DataFrame:
-    """Per row: ``row``, a struct of the other columns, doc_id, the kept text and what was removed."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    rows = docs.select(F.struct(*others).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    """Per row: doc_id, the kept text, what was removed, and ``row``, a struct of any other columns."""
+    others = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")]
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+                       *(others if len(docs.columns) > 2 else []))
     near = candidates(chunks(docs, id_col, text_col, least_chunk))
-    firsts = rows.select(F.col("doc_id").alias("first"), F.col("text").cast("binary").alias("bytes"))
+    # Texts are dealt by id once for both joins: as first documents, and as those to be cut.
+    dealt = rows.filter(F.col("doc_id").isNotNull()).repartition("doc_id")
+    firsts = dealt.select(F.col("doc_id").alias("first"), F.col("text").cast("binary").alias("bytes"))
     begin = F.greatest(F.lit(0), F.col("low") + F.col("shift") - MARGIN, F.col("shift"))
     shown = near.join(firsts, "first").select(
         "doc_id", F.struct(
@@ -147,7 +150,7 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_ch
         types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
         for batch in text_slices(batches):
             out = []
-            for text, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = text.encode()
                 passages = _passages(data, found, least_words) if found else []
                 spans: list[list[int]] = []
@@ -168,12 +171,15 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_ch
                             ",".join(f"{a}:{b}" for a, b in written), sorted({f for _, _, f in passages})))
             columns = list(zip(*out)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, types))],
-                ["row", "doc_id", *names])
-
-    joined = rows.join(grouped, "doc_id", "left").select("row", "doc_id", "text", "found")
-    schema = T.StructType([rows.schema["row"]] + T.StructType.fromDDL(
-        "doc_id long, text string, n_spans long, n_removed long, spans string, firsts array<long>").fields)
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types)), *batch.columns[3:]],
+                ["doc_id", *names, *batch.schema.names[3:]])
+
+    joined = dealt.join(grouped, "doc_id", "left").unionByName(
+        rows.filter(F.col("doc_id").isNull()), allowMissingColumns=True)
+    joined = joined.select("doc_id", "text", "found", *rows.columns[2:])
+    schema = T.StructType(T.StructType.fromDDL(
+        "doc_id long, text string, n_spans long, n_removed long, spans string, firsts array<long>").fields
+        + rows.schema.fields[2:])
     return joined.mapInArrow(remove, schema)
 
 
@@ -188,8 +194,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     document. A null text is empty; rows with a null id and empty texts are
     returned as they are. Other columns are not looked at.
     """
-    kept = _cut(docs.select(f"`{id_col}`", f"`{text_col}`"), id_col, text_col, least_words, least_chunk)
-    return kept.drop("row")
+    return _cut(docs.select(f"`{id_col}`", f"`{text_col}`"), id_col, text_col, least_words, least_chunk)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50,
@@ -201,4 +206,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     cut = _cut(docs, id_col, text_col, least_words, least_chunk)
     left = cut.filter((F.col("n_spans") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
+    whole = len(docs.columns) > 2
+    return left.select(*[F.col("text").alias(c) if c == text_col else
+                         F.col(f"row.`{c}`" if whole else "doc_id").alias(c) for c in docs.columns])
