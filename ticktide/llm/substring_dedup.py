@@ -130,7 +130,10 @@ def _passages(data: bytes, found: list[dict], least_words: int) -> list[tuple[in
 def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_chunk: int) -> DataFrame:
     """Per row: doc_id, the kept text, what was removed, and ``row``, a struct of any other columns."""
     others = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")]
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+    # An id that needs no cast and no name stays a plain column: only then Spark sees
+    # that the two joins below read the same shuffle.
+    plain = id_col == "doc_id" and docs.schema[id_col].dataType == T.LongType()
+    rows = docs.select(F.col("doc_id") if plain else F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                        *(others if len(docs.columns) > 2 else []))
     near = candidates(chunks(docs, id_col, text_col, least_chunk))
