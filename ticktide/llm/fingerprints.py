@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 LANES, STRATA, MODULUS = 64, 8, 1 << 16
 COUNT_MODULUS = 1 << 32
 SEGMENTS, BUCKET_ROWS = 128, 4096
+SENT_RANGES = 250_000  # 4 MB of range heads; some billion documents
 
 
 def _entries(paragraph_hash: Column, sums: Column, sign: int = 1) -> Column:
@@ -135,7 +136,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(least).cast("long")))
-    bucket, _ = _buckets(rows)
+    bucket, most = _buckets(rows)
     # One row per range: its largest key, and the range that comes before it.
     ranges = rows.select(bucket.alias("bucket"), "key").groupBy("bucket").agg(F.max("key").alias("key"))
     order = Window.orderBy(F.desc("bucket"))
@@ -143,6 +144,9 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.lag("bucket").over(order),
         F.min("bucket").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     ).alias("guest_of"))
+    # At most one row of two numbers per range, whose number is known here; with
+    # too many of them to send, Spark chooses the join.
+    heads = F.broadcast(heads) if most <= SENT_RANGES else heads
     dealt = (rows.withColumn("own", bucket).join(heads, "key", "left")
              .withColumn("print", fingerprint(F.col("text")))
              .withColumn("place", F.explode(F.when(F.col("guest_of").isNull(), F.array(
