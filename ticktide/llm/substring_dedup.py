@@ -122,6 +122,9 @@ def _passages(data: bytes, found: list[dict], least_words: int) -> list[tuple[in
             if end < len(data) and data[end] not in SPACES:
                 while end > start and data[end - 1] not in SPACES:
                     end -= 1
+            # White space on either side stays, to part the words around the cut.
+            start = end - len(data[start:end].lstrip(SPACES))
+            end = start + len(data[start:end].rstrip(SPACES))
             if len(data[start:end].split()) >= least_words:
                 spans.append((start, end, item["first"]))
     return sorted(spans)
