@@ -195,7 +195,7 @@ def test_crypto_break_is_reported_and_ignored(spark):
 def test_inner_merge_lies_inside_the_outer(spark):
     schedule = S.sessions(spark, ["NYSE", "LSE"], "2024-01-01", "2024-06-30")
     outer = S.merge_schedules(schedule, "outer").alias("o")
-    inner = S.merge_schedules(schedule, "inner").alias("i")
+    inner = S.merge_schedules(schedule, "inner", 2).alias("i")
     both = inner.join(outer, "session_date").where(
         "i.market_open >= o.market_open AND i.market_close <= o.market_close")
     assert both.count() == inner.count() > 100

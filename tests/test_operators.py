@@ -195,7 +195,9 @@ def test_external_endpoints(spark):
         with pytest.raises(ValueError):
             call()
     path = shared_folder(spark, "objects")
-    assert external.write_objects(spark.range(3), path) in ("avro", "parquet")
+    external.write_objects(spark.range(3), path, "parquet")
+    with pytest.raises(RuntimeError):
+        external.write_objects(spark.range(3), path + "-2", "no-such-format")
     assert spark.read.parquet(path).count() == 3
 
 

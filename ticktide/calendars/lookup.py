@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ticktide.calendars import registry
 from ticktide.calendars.sessions import as_date, calendar_days, sessions
 from ticktide.functions import times
-from ticktide.operators.lookups import SALTS, salted_lookup
+from ticktide.operators.lookups import SALTS, asof_backward, salted_lookup
 from ticktide.session import BROADCAST_LIMIT_BYTES
 
 _CARRIED = ("session", "pre", "open", "break_start", "break_end", "close", "post", "seconds_before",
@@ -86,9 +86,13 @@ def dense_days(spark: SparkSession, names: list[str], schedule: DataFrame, start
 
 
 def attach(trades: DataFrame, table: DayTable, instant: str, calendar: str, by: str = "local",
-           prefix: str = "") -> DataFrame:
+           prefix: str = "", strict: bool = True) -> DataFrame:
     """Add the day table's columns to every trade.
 
+    A trade on a day that the table does not have is an error; with ``strict``
+    False its columns are null and `is_covered` is False. Null times have null
+    columns either way.
+
     ``by="local"`` looks up the market's own date, ``by="utc"`` the UTC date,
     ``by="before"`` the UTC date of the moment just before the timestamp.
     """
@@ -102,8 +106,14 @@ def attach(trades: DataFrame, table: DayTable, instant: str, calendar: str, by:
     days = days.select(*[F.col(c).alias(prefix + c) for c in days.columns])
     keyed = trades.withColumn(key, day)
     if table.fits_broadcast:
-        return keyed.join(F.broadcast(days), [key], "left")
-    return salted_lookup(keyed, days, [key], "left", SALTS)
+        joined = keyed.join(F.broadcast(days), [key], "left")
+    else:
+        joined = salted_lookup(keyed, days, [key], "left", SALTS)
+    if not strict:
+        return joined
+    text = F.concat(F.lit("no calendar day for "), F.col(key).cast("string"))
+    missing = F.col(key).isNotNull() & F.col(f"{prefix}is_session").isNull()
+    return joined.where(F.when(missing, F.raise_error(text).cast("boolean")).otherwise(True))
 
 
 # --- inside a session -----------------------------------------------------
@@ -124,30 +134,40 @@ def _state(side: str, t: Column, include_close: bool, only_rth: bool, post_count
     return F.coalesce(inside, F.lit(False)) & ~F.coalesce(resting, F.lit(False))
 
 
-def is_open(t: Column, include_close: bool = False, only_rth: bool = False) -> Column:
-    """Open at a timestamp, on a row attached by local date.
+def is_open(t: Column, include_close: bool = False, only_rth: bool = False,
+            interrupted: Column | None = None) -> Column:
+    """Open at a timestamp, on a row attached by local date, and not interrupted
+    (a column of `with_interrupted`).
 
     Outside regular hours the time between the close and ``post`` counts as
     open. An evening open belongs to the next session date, so both are asked.
     """
-    return (_state("at", t, include_close, only_rth, True)
-            | _state("next", t, include_close, only_rth, True))
+    opened = (_state("at", t, include_close, only_rth, True)
+              | _state("next", t, include_close, only_rth, True))
+    return opened if interrupted is None else opened & ~interrupted
 
 
-def is_interrupted(t: Column, at_most: int) -> Column:
-    """Inside one of the numbered interruptions of the session; trading stands
-    still then, whatever ``is_open`` says."""
-    inside = F.lit(False)
-    for k in range(1, at_most + 1):
-        start, end = F.col(f"interruption_start_{k}"), F.col(f"interruption_end_{k}")
-        inside = inside | F.coalesce((t >= start) & (t < end), F.lit(False))
-    return inside
+def with_interrupted(trades: DataFrame, interruptions: DataFrame, instant: str, day: str,
+                     bucket_seconds: int = 3600) -> DataFrame:
+    """Add ``interrupted``: inside any interruption of the session date ``day``.
+
+    The last interruption that began at or before a trade is found by an as-of
+    join; it carries the latest end so far, which covers earlier and longer ones.
+    """
+    began = Window.partitionBy("session_date").orderBy("start")
+    halts = interruptions.withColumn("_until", F.unix_micros(F.max("end").over(began))).select(
+        F.col("session_date").alias("_halt_day"), F.unix_micros("start").alias("_start"), "_until")
+    keyed = trades.withColumns({"_halt_day": F.col(day), "_us": F.unix_micros(instant)})
+    found = asof_backward(keyed, halts, ["_halt_day"], "_us", "_start", ["_until"], bucket_seconds * 1_000_000)
+    return found.withColumn("interrupted", F.coalesce(F.col("_us") < F.col("_until"), F.lit(False))).select(
+        *trades.columns, "interrupted")
 
 
 def is_covered(t: Column, only_rth: bool = False) -> Column:
     """Whether the day table reaches far enough to answer."""
     low = F.col("at_open") if only_rth else F.coalesce("at_pre", "at_open")
-    return F.col("at_session").isNotNull() & F.col("next_session").isNotNull() | (
+    around = F.col("at_session").isNotNull() & F.col("next_session").isNotNull()
+    return around | (
         F.coalesce(t >= low, F.lit(False)) & F.coalesce(t <= F.coalesce("at_post", "at_close"),
                                                         F.lit(False)))
 

@@ -173,36 +173,36 @@ def late_opens(schedule: DataFrame) -> DataFrame:
 
 # --- interruptions --------------------------------------------------------
 
-def interruption_columns(interruptions: DataFrame, at_most: int) -> DataFrame:
-    """Numbered columns interruption_start_n, interruption_end_n per session date,
-    from rows (calendar, session_date, start, end)."""
-    order = Window.partitionBy("calendar", "session_date").orderBy("start")
-    numbered = interruptions.withColumn("n", F.row_number().over(order))
-    wide = [F.max(F.when(F.col("n") == k, F.col(side))).alias(f"interruption_{side}_{k}")
-            for k in range(1, at_most + 1) for side in ("start", "end")]
-    return numbered.groupBy("calendar", "session_date").agg(*wide)
-
-
-def with_interruptions(schedule: DataFrame, interruptions: DataFrame, at_most: int) -> DataFrame:
-    return schedule.join(interruption_columns(interruptions, at_most),
-                         ["calendar", "session_date"], "left")
+def with_interruptions(schedule: DataFrame, interruptions: DataFrame) -> DataFrame:
+    """A row per session date and interruption, numbered by start; one row with
+    nulls where there is none. Interruptions are rows (calendar, session_date,
+    start, end), as many as there are."""
+    order = Window.partitionBy("calendar", "session_date").orderBy("start", "end")
+    numbered = interruptions.select(
+        "calendar", "session_date", F.row_number().over(order).alias("interruption"),
+        F.col("start").alias("interruption_start"), F.col("end").alias("interruption_end"))
+    return schedule.join(numbered, ["calendar", "session_date"], "left")
 
 
 # --- merging --------------------------------------------------------------
 
-def merge_schedules(schedule: DataFrame, how: str = "outer") -> DataFrame:
+def merge_schedules(schedule: DataFrame, how: str = "outer", calendars: int | None = None) -> DataFrame:
     """One schedule from several calendars, n-ary and with a single shuffle.
 
+    ``calendars`` is how many were asked for; an inner merge needs it, since a
+    calendar without any session in the range leaves no row to be counted.
+
     Outer spans from the first open to the last close of a date, inner keeps
     only dates and hours in which every calendar is open. Breaks are lost.
     """
     if how not in ("outer", "inner"):
         raise ValueError("how must be outer or inner")
+    if how == "inner" and calendars is None:
+        raise ValueError("an inner merge needs the number of calendars")
     first, last = (F.min, F.max) if how == "outer" else (F.max, F.min)
     merged = schedule.groupBy("session_date").agg(
         first("market_open").alias("market_open"), last("market_close").alias("market_close"),
         F.count_distinct("calendar").alias("_present"))
     if how == "inner":
-        total = schedule.select("calendar").distinct().groupBy().agg(F.count("*").alias("_total"))
-        merged = merged.join(F.broadcast(total), F.col("_present") == F.col("_total")).drop("_total")
+        merged = merged.where(F.col("_present") == calendars)
     return merged.drop("_present")

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ticktide.calendars.lookup import DayTable, attach, in_session
 from ticktide.functions import times
 
+# Feed sequences are unsigned 32-bit numbers: one more than the highest.
+SEQUENCES = 1 << 32
+
 
 def arrival_order(ts: str = "timestamp", sequence: str = "sequence") -> Column:
     """One decimal that sorts like (time, sequence).
@@ -16,8 +19,8 @@ def arrival_order(ts: str = "timestamp", sequence: str = "sequence") -> Column:
     A struct would do as well but cannot live in a hash aggregation buffer, and
     the aggregate would fall back to sorting every partition.
     """
-    high = F.col(ts).cast("decimal(19,0)") * F.lit(2147483648).cast("decimal(10,0)")
-    return high + F.col(sequence).cast("decimal(10,0)")
+    high = F.col(ts).cast("decimal(19,0)") * F.lit(SEQUENCES).cast("decimal(11,0)")
+    return high + F.col(sequence).cast("decimal(19,0)")
 
 
 def bar_measures(order: Column, open_interest: str | None = None,

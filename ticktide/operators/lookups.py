@@ -95,5 +95,5 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str
 def entitled(records: DataFrame, levels: DataFrame, user_level: int | Column) -> DataFrame:
     """Rows whose entitlement is at or below the user's level; ``none`` is public."""
     bound = F.lit(user_level) if isinstance(user_level, int) else user_level
-    return (records.join(F.broadcast(levels), "entitlement")
+    return (lookup(records, levels, ["entitlement"], "inner")
             .where(F.col("level") <= bound).drop("level"))

@@ -102,10 +102,13 @@ def coerce_record(rows: DataFrame, schema: T.StructType,
                   hooks: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Bring every column to its schema type with the rule of that type:
     decimals are cut toward zero, text is trimmed, times become integers.
-    ``hooks`` are functions per field that run before the rule."""
+    ``hooks`` are functions per field that run before the rule. A field that the
+    rows lack takes its default or null; a required one without a default is a
+    `SchemaMismatch`. The result has the fields of the schema, in its order."""
     columns, hooks = [], hooks or {}
     for field in schema.fields:
         if field.name not in rows.columns:
+            columns += _resolved_fields(F.col, T.StructType(), T.StructType([field]), "")
             continue
         value, given = F.col(field.name), rows.schema[field.name].dataType
         if field.name in hooks:

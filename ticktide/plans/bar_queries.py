@@ -30,12 +30,12 @@ FROM (SELECT *, {order} AS ord FROM {source})
 GROUP BY {symbol}, "timestamp" - "timestamp" % {width}"""
 
 
-_EQ_ORDER = '"timestamp"::HUGEINT * 2147483648 + sequence'
+_EQ_ORDER = '"timestamp"::HUGEINT * 4294967296 + sequence'
 
 
 def _option_bars(spark, sf_dir):
     trades = (views.option_trades(spark, sf_dir).drop("symbol")
-              .withColumn("cents", (F.col("price") * 100).cast("int")))
+              .withColumn("cents", (F.col("price") * 100).cast("bigint")))
     return bars.clock_bars(trades, DAY, symbol="underlying",
                            order=bars.arrival_order("timestamp", "cents"), open_interest="oi",
                            interest_order=bars.arrival_order("timestamp", "oi"))
@@ -43,8 +43,8 @@ def _option_bars(spark, sf_dir):
 
 @query("a01_option_volume_bars", clock_sql(
     o.OPTION, "optv", DAY, "underlying", _OPT_OHLC,
-    '"timestamp"::HUGEINT * 2147483648 + CAST(price * 100 AS INTEGER)',
-    ", CAST(arg_max(oi, \"timestamp\"::HUGEINT * 2147483648 + oi) AS INTEGER) AS oi"))
+    '"timestamp"::HUGEINT * 4294967296 + CAST(price * 100 AS BIGINT)',
+    ", CAST(arg_max(oi, \"timestamp\"::HUGEINT * 4294967296 + oi) AS INTEGER) AS oi"))
 def option_volume_bars(spark, sf_dir):
     """Trades carry no sequence, so equal times are ordered by value."""
     return _option_bars(spark, sf_dir)
@@ -52,8 +52,8 @@ def option_volume_bars(spark, sf_dir):
 
 @query("a01_declared_layout", o.OPTION + """
 SELECT underlying AS symbol, "timestamp" - "timestamp" % 86400000 AS "timestamp",
-  CAST(arg_max(oi, "timestamp"::HUGEINT * 2147483648 + oi) AS INTEGER) AS oi,
-  CAST(arg_max(price, "timestamp"::HUGEINT * 2147483648 + CAST(price * 100 AS INTEGER)) AS DECIMAL(12,2))::VARCHAR
+  CAST(arg_max(oi, "timestamp"::HUGEINT * 4294967296 + oi) AS INTEGER) AS oi,
+  CAST(arg_max(price, "timestamp"::HUGEINT * 4294967296 + CAST(price * 100 AS BIGINT)) AS DECIMAL(12,2))::VARCHAR
     AS price
 FROM optv GROUP BY underlying, "timestamp" - "timestamp" % 86400000""")
 def declared_layout(spark, sf_dir):
@@ -67,7 +67,7 @@ def stock_volume_bars(spark, sf_dir):
 
 @query("a03_futures_volume_bars", clock_sql("""WITH f AS (
   SELECT 'F' || (o_custkey % 40) AS symbol, epoch_ms(o_orderdate) + (o_orderkey % 86400) * 1000 AS "timestamp",
-    CAST(o_orderkey AS INTEGER) AS sequence, CAST(round(o_totalprice * 100) * 0.01 AS DECIMAL(16,4)) AS price,
+    CAST(o_orderkey AS BIGINT) AS sequence, CAST(round(o_totalprice * 100) * 0.01 AS DECIMAL(16,4)) AS price,
     CAST(o_orderkey % 50 + 1 AS INTEGER) AS qty FROM orders)
 """, "f", 7 * DAY, "symbol", _EQ_OHLC, _EQ_ORDER))
 def futures_volume_bars(spark, sf_dir):
@@ -75,7 +75,7 @@ def futures_volume_bars(spark, sf_dir):
         F.concat(F.lit("F"), (F.col("o_custkey") % 40).cast("string")).alias("symbol"),
         (F.unix_millis(F.col("o_orderdate").cast("timestamp"))
          + (F.col("o_orderkey") % 86400) * 1000).alias("timestamp"),
-        F.col("o_orderkey").cast("int").alias("sequence"),
+        F.col("o_orderkey").cast("bigint").alias("sequence"),
         F.col("o_totalprice").cast("decimal(16,4)").alias("price"),
         (F.col("o_orderkey") % 50 + 1).cast("int").alias("qty"))
     return bars.clock_bars(trades, 7 * DAY)
@@ -83,7 +83,7 @@ def futures_volume_bars(spark, sf_dir):
 
 @query("a04_crypto_volume_bars", clock_sql(o.with_(o.RAW) + """, f AS (
   SELECT 'C' || (instrument_id % 12) AS symbol, ts_event // 1000000 AS "timestamp",
-    CAST(event_id AS INTEGER) AS sequence, CAST(cents * 0.01 AS DECIMAL(16,4)) AS price, lot AS qty FROM raw)
+    CAST(event_id AS BIGINT) AS sequence, CAST(cents * 0.01 AS DECIMAL(16,4)) AS price, lot AS qty FROM raw)
 """, "f", 300_000, "symbol", _EQ_OHLC, _EQ_ORDER))
 def crypto_volume_bars(spark, sf_dir):
     events = views.table(spark, sf_dir, "events")

@@ -322,10 +322,21 @@ def outer_merge(spark, sf_dir):
 SELECT session_date::VARCHAR AS session_date, orders, market_open, market_close
 FROM merged JOIN od ON day = session_date""")
 def inner_merge(spark, sf_dir):
-    merged = S.merge_schedules(S.sessions(spark, THREE, *ORDER_RANGE), "inner")
+    merged = S.merge_schedules(S.sessions(spark, THREE, *ORDER_RANGE), "inner", len(THREE))
     return on_order_days(spark, sf_dir, merged)
 
 
+@query("c17_j06_inner_merge_without_sessions", """
+SELECT count(DISTINCT CAST(o_orderdate AS DATE)) AS days, CAST(0 AS BIGINT) AS common FROM orders""")
+def inner_merge_without_sessions(spark, sf_dir):
+    """NYSE and IEX before IEX opened: none of the days with orders is common."""
+    names = ["NYSE", "IEX"]
+    merged = S.merge_schedules(S.sessions(spark, names, "1996-01-01", "2000-12-31"), "inner", len(names))
+    days = views.order_dates(spark, sf_dir).select(F.col("day").alias("session_date"))
+    return days.join(merged, "session_date", "left").agg(
+        F.count("*").alias("days"), F.count("market_open").alias("common"))
+
+
 # --- interruptions --------------------------------------------------------
 
 HALTS_SQL = """halts AS (
@@ -344,29 +355,44 @@ def halts(spark, sf_dir) -> DataFrame:
 
 
 @query("c08_w07_j14_interruptions", _join(o.sessions(["NYSE"], *views.EVENT_DAYS), HALTS_SQL) + """
-SELECT sess.session_date::VARCHAR AS session_date, market_open,
-  max(s) FILTER (n = 1) AS interruption_start_1, max(e) FILTER (n = 1) AS interruption_end_1,
-  max(s) FILTER (n = 2) AS interruption_start_2, max(e) FILTER (n = 2) AS interruption_end_2
-FROM sess LEFT JOIN halts ON halts.session_date = sess.session_date
-GROUP BY sess.session_date, market_open""")
+SELECT sess.session_date::VARCHAR AS session_date, market_open, CAST(n AS INTEGER) AS interruption,
+  s AS interruption_start, e AS interruption_end
+FROM sess LEFT JOIN halts ON halts.session_date = sess.session_date""")
 def interruptions(spark, sf_dir):
     schedule = S.sessions(spark, ["NYSE"], *views.EVENT_DAYS)
-    return S.with_interruptions(schedule, halts(spark, sf_dir), 2).select(
-        "session_date", "market_open", *[f"interruption_{side}_{k}" for k in (1, 2)
-                                         for side in ("start", "end")])
+    return S.with_interruptions(schedule, halts(spark, sf_dir)).select(
+        "session_date", "market_open", "interruption", "interruption_start", "interruption_end")
+
+
+_HALTED = _join(o.sessions(["NYSE"], *views.EVENT_DAYS), HALTS_SQL,
+                "t AS (SELECT event_id, ts, epoch_us(ts) AS us FROM events)")
 
 
-@query("c08_c09_halted_events", _join(o.sessions(["NYSE"], *views.EVENT_DAYS), HALTS_SQL,
-                                      "t AS (SELECT event_id, ts, epoch_us(ts) AS us FROM events)") + """
+@query("c08_c09_halted_events", _HALTED + """
 SELECT event_id, coalesce(bool_or(us >= s AND us < e), FALSE) AS halted
-FROM t JOIN sess ON session_date = CAST(ts AS DATE) LEFT JOIN halts h ON h.session_date = sess.session_date AND n <= 2
+FROM t JOIN sess ON session_date = CAST(ts AS DATE) LEFT JOIN halts h ON h.session_date = sess.session_date
 GROUP BY event_id""")
 def halted_events(spark, sf_dir):
-    """Events on session dates that fall into one of the first two halts."""
-    schedule = S.with_interruptions(S.sessions(spark, ["NYSE"], *views.EVENT_DAYS), halts(spark, sf_dir), 2)
+    """Events on session dates that fall into a halt."""
+    schedule = S.sessions(spark, ["NYSE"], *views.EVENT_DAYS).select("session_date")
     events = instants(spark, sf_dir).withColumn("session_date", times.utc_date(F.col("ts")))
-    return events.join(schedule, "session_date").select(
-        "event_id", lookup.is_interrupted(F.col("ts"), 2).alias("halted"))
+    on_dates = events.join(schedule, "session_date")
+    return lookup.with_interrupted(on_dates, halts(spark, sf_dir), "ts", "session_date").select(
+        "event_id", F.col("interrupted").alias("halted"))
+
+
+@query("c08_c09_open_unless_halted", _HALTED + """, hit AS (
+  SELECT event_id, bool_or(us >= coalesce(pre, market_open) AND us < coalesce(post, market_close)) AS open
+  FROM t LEFT JOIN sess ON us >= coalesce(pre, market_open) AND us < coalesce(post, market_close) GROUP BY event_id),
+stopped AS (
+  SELECT event_id, bool_or(us >= s AND us < e) AS halted
+  FROM t JOIN halts ON halts.session_date = CAST(ts AS DATE) GROUP BY event_id)
+SELECT event_id, coalesce(open, FALSE) AND NOT coalesce(halted, FALSE) AS open
+FROM hit LEFT JOIN stopped USING (event_id)""")
+def open_unless_halted(spark, sf_dir):
+    events = at_events(spark, sf_dir).withColumn("halt_day", times.utc_date(F.col("ts")))
+    marked = lookup.with_interrupted(events, halts(spark, sf_dir), "ts", "halt_day")
+    return marked.select("event_id", lookup.is_open(F.col("ts"), interrupted=F.col("interrupted")).alias("open"))
 
 
 # --- questions about timestamps -------------------------------------------
@@ -375,6 +401,21 @@ def instants(spark, sf_dir) -> DataFrame:
     return views.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
 
 
+@query("c09_covered", _join(o.sessions(["NYSE"], "2024-01-10", "2024-01-20"), """bounds AS (
+  SELECT min(coalesce(pre, market_open)) AS low, max(session_date) AS last, min(session_date) AS first FROM sess)""") + """
+SELECT event_id, ts >= '2024-01-10' AND CAST(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS DATE) >= first
+  AND CAST(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS DATE) < last
+  OR CAST(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS DATE) = last
+     AND epoch_us(ts) BETWEEN (SELECT coalesce(pre, market_open) FROM sess WHERE session_date = last)
+     AND (SELECT coalesce(post, market_close) FROM sess WHERE session_date = last) AS covered
+FROM events, bounds""")
+def covered(spark, sf_dir):
+    """Which events a table of a few days can answer for; the others are flagged, not guessed."""
+    days = lookup.shared_day_table(views.use_utc(spark), ("NYSE",), "2024-01-10", "2024-01-20")
+    joined = lookup.attach(instants(spark, sf_dir), days, "ts", "NYSE", strict=False)
+    return joined.select("event_id", F.coalesce(lookup.is_covered(F.col("ts")), F.lit(False)).alias("covered"))
+
+
 def at_events(spark, sf_dir, calendar: str = "NYSE", by: str = "local") -> DataFrame:
     return lookup.attach(instants(spark, sf_dir), views.event_calendar(spark, calendar), "ts", calendar, by)
 

@@ -17,7 +17,7 @@ AS_OF = "2024-01-20 12:00:00"
 
 @query("s01_equity_feed", o.with_(o.TBBO) + """
 SELECT rtype, publisher_id, instrument_id, ts_event, cents * 10000000 AS price, size, side, flags,
-  CAST(event_id AS INTEGER) AS sequence FROM tbbo""")
+  CAST(event_id AS BIGINT) AS sequence FROM tbbo""")
 def equity_feed(spark, sf_dir):
     return views.tbbo_raw(views.table(spark, sf_dir, "events")).select(
         "rtype", "publisher_id", "instrument_id", "ts_event", "price", "size", "side", "flags",

@@ -68,7 +68,7 @@ SYMBOLOGY = """sym AS (
   FROM events WHERE user_id % 50 <> 7)"""
 
 EQUITY = with_(PUBLISHERS, TBBO, SYMBOLOGY, """eq AS (
-  SELECT CAST(event_id AS INTEGER) AS sequence, instrument_id, publisher_id, ts_event AS event_ns,
+  SELECT CAST(event_id AS BIGINT) AS sequence, instrument_id, publisher_id, ts_event AS event_ns,
     (ts_event + 135800 + (event_id % 7) * 1000) // 1000000 AS received_ts,
     (ts_event + 300000 + (event_id % 7) * 1000) // 1000000 AS out_ts,
     ts_event // 1000000 AS "timestamp", symbol, size AS qty,

@@ -39,7 +39,7 @@ def event_time(spark, sf_dir):
 
 
 @query("x04_streamed_deduplication", o.with_(o.TBBO) + """
-SELECT CAST(event_id AS INTEGER) AS sequence, instrument_id, ts_event FROM tbbo WHERE rtype = 'mbp-1'""")
+SELECT CAST(event_id AS BIGINT) AS sequence, instrument_id, ts_event FROM tbbo WHERE rtype = 'mbp-1'""")
 def streamed_deduplication(spark, sf_dir):
     """A feed that delivers a slice twice; the state holds a day of keys."""
     raw = book_records(views.tbbo_raw(bar_queries.replayed(views.event_stream(spark, sf_dir))))
@@ -49,7 +49,7 @@ def streamed_deduplication(spark, sf_dir):
 
 
 @query("x05_stream_static_symbology", o.with_(o.TBBO, o.SYMBOLOGY) + """
-SELECT CAST(event_id AS INTEGER) AS sequence, symbol FROM tbbo LEFT JOIN sym USING (instrument_id)""")
+SELECT CAST(event_id AS BIGINT) AS sequence, symbol FROM tbbo LEFT JOIN sym USING (instrument_id)""")
 def stream_static_symbology(spark, sf_dir):
     raw = views.tbbo_raw(views.event_stream(spark, sf_dir)).select("instrument_id", "sequence")
     static = views.symbology(views.table(spark, sf_dir, "events"))
@@ -60,7 +60,7 @@ def stream_static_symbology(spark, sf_dir):
 def _closed(width_us: int, slide_us: int) -> str:
     """Windows that the watermark has closed when all input is read."""
     return o.EQUITY + f""", w AS (
-  SELECT *, "timestamp" * 1000 AS us, "timestamp"::HUGEINT * 2147483648 + sequence AS ord FROM eqv),
+  SELECT *, "timestamp" * 1000 AS us, "timestamp"::HUGEINT * 4294967296 + sequence AS ord FROM eqv),
 wide AS (
   SELECT *, us - us % {slide_us} - unnest(range(0, {width_us // slide_us})) * {slide_us} AS bar_start FROM w),
 mark AS (SELECT max(us) - {DELAY_US} AS us FROM w)
@@ -88,7 +88,7 @@ def streamed_sliding_bars(spark, sf_dir):
 
 
 _GAPS = o.EQUITY + """, w AS (
-  SELECT *, "timestamp" * 1000 AS us, "timestamp"::HUGEINT * 2147483648 + sequence AS ord FROM eqv),
+  SELECT *, "timestamp" * 1000 AS us, "timestamp"::HUGEINT * 4294967296 + sequence AS ord FROM eqv),
 b AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY symbol ORDER BY us) < 7200000000 THEN 0 ELSE 1 END AS fresh FROM w),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY us, ord) AS grp FROM b)
 SELECT symbol, min(us) AS bar_start, max(us) + 7200000000 AS bar_end, count(*) AS trades,

@@ -9,19 +9,28 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ticktide import dims
 from ticktide.calendars import lookup
 from ticktide.functions.decimals import UNDEF_PRICE
 from ticktide.operators import equity, option
-from ticktide.session import spread, use_utc
+from ticktide.session import use_utc
 from ticktide.sources import frames
 
 # Days around the timestamps of ``events`` and of ``orders``/``lineitem``.
 EVENT_DAYS = ("2023-12-01", "2024-03-01")
 ORDER_DAYS = ("1994-12-01", "2002-01-31")
 
+
+
+def within(day: Column, days: tuple[str, str]) -> Column:
+    """A filter that keeps every row and fails on a day outside the range."""
+    text = F.concat(F.lit("no calendar built for "), day.cast("string"))
+    return F.when(day.isNull() | day.between(*[F.lit(d).cast("date") for d in days]), True).otherwise(
+        F.raise_error(text).cast("boolean"))
+
+
 EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                 "value double, props string")
 
@@ -61,7 +70,7 @@ def tbbo_raw(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "click", "A").when(F.col("event_type") == "purchase", "B")
         .otherwise("N").alias("side"),
         F.when(eid % 3 == 0, 194).when(eid % 3 == 1, 130).otherwise(40).alias("flags"),
-        F.lit(0).alias("depth"), eid.cast("int").alias("sequence"),
+        F.lit(0).alias("depth"), eid.alias("sequence"),
         F.array(F.struct(
             F.when(undefined, marker).otherwise(fixed(bid)).alias("bid_px"),
             F.when(undefined, marker).otherwise(fixed(ask)).alias("ask_px"),
@@ -99,7 +108,7 @@ def _cents_text(cents) -> object:
 
 def option_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Option trade items as the feed sends them: scalars as text."""
-    joined = spread(lineitem).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
     big = lambda c: F.round(F.col(c) * 100).cast("bigint")
     qty = F.col("l_quantity").cast("bigint")
     line, order = F.col("l_linenumber").cast("bigint"), F.col("l_orderkey")
@@ -204,7 +213,8 @@ def order_calendar(spark: SparkSession, *names: str) -> lookup.DayTable:
 def order_dates(spark: SparkSession, sf_dir: str, years: int = 0) -> DataFrame:
     """Orders per date, dates optionally moved by whole years: (day, orders)."""
     day = F.col("o_orderdate").cast("date")
+    orders = table(spark, sf_dir, "orders").where(within(day, ORDER_DAYS))
     if years:
         day = F.add_months(day, 12 * years)
-    return (table(spark, sf_dir, "orders").groupBy(day.alias("day"))
+    return (orders.groupBy(day.alias("day"))
             .agg(F.count("*").alias("orders")))

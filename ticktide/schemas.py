@@ -40,7 +40,7 @@ TBBO_RAW = T.StructType([
     T.StructField("side", T.StringType()),
     T.StructField("flags", T.IntegerType()),
     T.StructField("depth", T.IntegerType()),
-    T.StructField("sequence", T.IntegerType()),
+    T.StructField("sequence", T.LongType()),
     T.StructField("levels", T.ArrayType(BOOK_LEVEL)),
 ])
 
@@ -75,7 +75,7 @@ EQUITY_TRADES = T.StructType([
     _req("ask_qty", T.IntegerType()),
     _req("bid_ct", T.IntegerType()),
     _req("ask_ct", T.IntegerType()),
-    _req("sequence", T.IntegerType()),
+    _req("sequence", T.LongType()),
     _req("flags", T.IntegerType()),
     _req("depth", T.IntegerType()),
     _req("tags", T.ArrayType(T.StringType(), False)),

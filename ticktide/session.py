@@ -71,19 +71,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.stats().sizeInBytes()))
 
 
-def spread(df: DataFrame, split_bytes: int = 128 * 1024 * 1024) -> DataFrame:
-    """Give heavy per-row work on a small input all cores.
-
-    An input below one split is read by a single task however long its rows take
-    to parse. Shuffling so little costs next to nothing; larger inputs, which
-    have splits enough, are left alone.
-    """
-    size = estimated_bytes(df)
-    if df.isStreaming or size is None or size > split_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A small fixed table as a LocalRelation, so its size is known to Catalyst."""
     schema = T.StructType.fromDDL(ddl)

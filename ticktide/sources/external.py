@@ -73,11 +73,11 @@ def write_output(df: DataFrame, config: dict) -> None:
         raise ValueError(f"unsupported output type {kind!r}")
 
 
-def write_objects(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """Avro object files where the package exists, else Parquet; returns the format."""
-    fmt = "avro" if has_source(df.sparkSession, "avro") else "parquet"
+def write_objects(df: DataFrame, path: str, fmt: str = "avro", mode: str = "errorifexists") -> None:
+    """Object files in the format that the caller names; an absent package is an error."""
+    if fmt not in FILE_FORMATS and not has_source(df.sparkSession, fmt):
+        raise RuntimeError(f"the {fmt} package is not on the class path")
     df.write.format(fmt).mode(mode).save(path)
-    return fmt
 
 
 def decode_avro(payload: Column, schema_json: str) -> Column:
