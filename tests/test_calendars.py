@@ -99,9 +99,9 @@ def table(spark):
     return lookup.shared_day_table(spark, ("NYSE",), "2023-02-01", "2023-04-30")
 
 
-def ask(spark, table, moment, by="utc", **columns):
+def ask(spark, table, moment, by="utc", strict=True, **columns):
     df = spark.createDataFrame([(datetime.fromisoformat(moment),)], "ts timestamp")
-    joined = lookup.attach(df, table, "ts", "NYSE", by)
+    joined = lookup.attach(df, table, "ts", "NYSE", by, strict=strict)
     return joined.select(*[c.alias(n) for n, c in columns.items()]).first().asDict()
 
 
@@ -131,8 +131,10 @@ def test_open_at(spark, table, moment, rth, extended, with_close):
 
 def test_uncovered_timestamps_are_flagged(spark, table):
     assert ask(spark, table, "2023-03-10 15:00:00", "local", ok=lookup.is_covered(F.col("ts")))["ok"]
-    row = ask(spark, table, "2030-01-02 15:00:00", "local", ok=F.coalesce(
+    row = ask(spark, table, "2030-01-02 15:00:00", "local", strict=False, ok=F.coalesce(
         lookup.is_covered(F.col("ts")), F.lit(False)))
+    with pytest.raises(Exception, match="no calendar day for 2030-01-02"):
+        ask(spark, table, "2030-01-02 15:00:00", "local", ok=lookup.is_covered(F.col("ts")))
     assert row["ok"] is False
 
 
@@ -199,3 +201,35 @@ def test_inner_merge_lies_inside_the_outer(spark):
     both = inner.join(outer, "session_date").where(
         "i.market_open >= o.market_open AND i.market_close <= o.market_close")
     assert both.count() == inner.count() > 100
+
+
+# Published closing days and early closes of some markets, as plain facts: the
+# registry is only asked through the schedule.
+CLOSED = {
+    "NYSE": {2023: "2023-01-02 2023-01-16 2023-02-20 2023-04-07 2023-05-29 2023-06-19 2023-07-04 2023-09-04 2023-11-23 2023-12-25",
+             2012: "2012-01-02 2012-01-16 2012-02-20 2012-04-06 2012-05-28 2012-07-04 2012-09-03 2012-10-29 2012-10-30 2012-11-22 2012-12-25",
+             2001: "2001-01-01 2001-01-15 2001-02-19 2001-04-13 2001-05-28 2001-07-04 2001-09-03 2001-09-11 2001-09-12 2001-09-13 2001-09-14 2001-11-22 2001-12-25"},
+    "LSE": {2021: "2021-01-01 2021-04-02 2021-04-05 2021-05-03 2021-05-31 2021-08-30 2021-12-27 2021-12-28"},
+    "BSE": {2019: "2019-03-04 2019-03-21 2019-04-17 2019-04-19 2019-04-29 2019-05-01 2019-06-05 2019-08-12 2019-08-15 2019-09-02 2019-09-10 2019-10-02 2019-10-08 2019-10-21 2019-10-28 2019-11-12 2019-12-25"},
+    "SSE": {2019: "2019-01-01 2019-02-04 2019-02-05 2019-02-06 2019-02-07 2019-02-08 2019-04-05 2019-05-01 2019-05-02 2019-05-03 2019-06-07 2019-09-13 2019-10-01 2019-10-02 2019-10-03 2019-10-04 2019-10-07"},
+}
+EARLY = {"NYSE": {2023: "2023-07-03 2023-11-24", 2019: "2019-07-03 2019-11-29 2019-12-24"}}
+
+
+@pytest.mark.parametrize("market,year", [(m, y) for m, years in CLOSED.items() for y in years])
+def test_published_closing_days(spark, market, year):
+    days = {r.day for r in S.valid_days(spark, [market], f"{year}-01-01", f"{year}-12-31").collect()}
+    first = date(year, 1, 1).toordinal()
+    off = [d.isoformat() for d in map(date.fromordinal, range(first, date(year, 12, 31).toordinal() + 1))
+           if d.weekday() < 5 and d not in days]
+    if (market, year) == ("SSE", 2019) or market != "BSE":
+        assert " ".join(off) == CLOSED[market][year]
+    else:
+        # Bombay's closing days known here are a part of all.
+        assert set(CLOSED[market][year].split()) <= set(off)
+
+
+@pytest.mark.parametrize("market,year", [(m, y) for m, years in EARLY.items() for y in years])
+def test_published_early_closes(spark, market, year):
+    schedule = S.early_closes(S.sessions(spark, [market], f"{year}-01-01", f"{year}-12-31"))
+    assert " ".join(sorted(str(r.session_date) for r in schedule.collect())) == EARLY[market][year]

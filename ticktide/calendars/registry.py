@@ -22,6 +22,8 @@ MOVES: dict[str, tuple[int | None, ...]] = {
     "weekend_to_monday": (0, 0, 0, 0, 0, 2, 1),
     "next_monday": (0, 0, 0, 0, 0, 2, 1),
     "nearest_workday": (0, 0, 0, 0, 0, -1, 1),
+    "previous_saturday": (-2, -3, 0, 0, 0, 0, -1),
+    "next_saturday": (0, 0, 0, 2, 1, 0, 0),
     "next_monday_or_tuesday": (1, 0, 0, 0, 0, 2, 2),
     "previous_friday": (0, 0, 0, 0, 0, -1, -2),
     "previous_workday": (-3, -1, -1, -1, -1, -1, -2),

@@ -41,7 +41,8 @@ def last_id_by_symbol(providers: DataFrame) -> DataFrame:
 
 
 def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str,
-                  values: list[str], bucket: int, limit: int = 4_000_000) -> DataFrame:
+                  values: list[str], bucket: int, limit: int = 4_000_000,
+                  right_ties: list[str] | None = None) -> DataFrame:
     """For each left row the latest right row with the same key at or before it.
 
     Both sides are cut into (key, time bucket) cells, so a hot key is shared by
@@ -51,19 +52,23 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str
     is split further: its left rows are spread over several groups, each with
     its own copy of the cell's right rows.
 
+    Of right rows with equal times the one with the highest ``right_ties`` counts,
+    then that with the highest ``values``.
+
     ``bucket`` is in units of the (integer) time columns. Columns ``values`` come
     from the right; ``matched_ts`` is the right row's time.
     """
     cell_key = [*by, "_cell"]
     cell = lambda ts: F.call_function("div", F.col(ts), F.lit(bucket).cast("bigint"))
-    payload = F.struct(F.col(right_ts).alias("matched_ts"), *values)
+    ties = [F.col(c).alias(f"_tie_{c}") for c in right_ties or []]
+    payload = F.struct(F.col(right_ts).alias("matched_ts"), *ties, *values)
     rows = left.select(*by, cell(left_ts).alias("_cell"), F.col(left_ts).alias("_ts"),
                        F.lit(2).alias("_rank"), F.struct(*left.columns).alias("_left"))
     points = right.select(*by, cell(right_ts).alias("_cell"), F.col(right_ts).alias("_ts"),
                           F.lit(0).alias("_rank"), payload.alias("_right"))
 
     # Last right row of every cell, then the last one of any earlier cell.
-    closing = points.groupBy(*cell_key).agg(F.max_by("_right", "_ts").alias("_closing"))
+    closing = points.groupBy(*cell_key).agg(F.max("_right").alias("_closing"))
     cells = rows.groupBy(*cell_key).agg(F.count("*").alias("_n")).select(
         *cell_key, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_groups"))
     history = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -83,7 +88,7 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str
         "_group", F.pmod(F.xxhash64("_left"), groups).cast("int")).drop("_groups")
 
     # A carried row is older than anything in its cell, so time order places it first.
-    order = Window.partitionBy(*cell_key, "_group").orderBy("_ts", "_rank")
+    order = Window.partitionBy(*cell_key, "_group").orderBy("_ts", "_rank", "_right")
     seen = copies.unionByName(dealt, allowMissingColumns=True).withColumn(
         "_match", F.last("_right", ignorenulls=True).over(
             order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))

@@ -41,10 +41,14 @@ def json_value(records: DataFrame) -> Column:
 
 # --- keyed tables ---------------------------------------------------------
 
-def latest_per_key(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """Compaction: the row with the highest version of every key."""
+def latest_per_key(rows: DataFrame, keys: list[str], version: str | list[str]) -> DataFrame:
+    """Compaction: the row with the highest version of every key. ``version`` may
+    name several columns; rows equal in all of them are ordered by their contents,
+    so that the result does not depend on the order of arrival."""
     others = [c for c in rows.columns if c not in keys]
-    newest = F.max_by(F.struct(*others), F.col(version)).alias("_row")
+    versions = [version] if isinstance(version, str) else version
+    whole = F.struct(*others)
+    newest = F.max_by(whole, F.struct(*versions, F.to_json(whole))).alias("_row")
     return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*rows.columns)
 
 

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ticktide.calendars import index, lookup, registry, sessions as S
-from ticktide.calendars.model import Rule
+from ticktide.calendars.model import Rule, fixed
 from ticktide.functions import times
 from ticktide.plans import oracle as o
 from ticktide.plans import views
@@ -30,11 +30,13 @@ def _join(first: str, *more: str) -> str:
 
 # --- rule kinds -----------------------------------------------------------
 
-def rule_kind(name: str, calendars: list[str], wanted, years: int = 0, specials: bool = False):
-    """Orders on the days that rules of one kind produce."""
+def rule_kind(name: str, calendars: list[str], wanted, years: int = 0, specials: bool = False,
+              rules: tuple[Rule, ...] = ()):
+    """Orders on the days that rules of one kind, or given rules, produce."""
     chosen = registry.resolve(calendars)
     pairs = [(c.name, r) for c in chosen for r in (
         [r for s in c.specials for r in s.rules] if specials else c.holidays) if wanted(r)]
+    pairs += [(c.name, r) for c in chosen for r in rules]
     rows = [registry.rule_row(calendar, "holiday", None, r) for calendar, r in pairs]
     first, last = 1995 + years, 2001 + years
     sql = _join(o.with_(*o.holiday_blocks(rows, first, last)), order_days_sql(years)) + """
@@ -66,7 +68,11 @@ rule_kind("h08_other_observances", ["ASX", "LSE", "TSX", "SIFMA_UK"],
           lambda r: r.observe in ("weekend_to_monday", "next_monday", "next_monday_or_tuesday"))
 rule_kind("h08_previous_days", ["SIFMA_US", "LSE", "EUREX"],
           lambda r: r.observe in ("previous_workday", "previous_friday"), specials=True)
-rule_kind("h09_saturdays_next_to_holidays", ["NYSE"], lambda r: bool(r.years), years=-86)
+rule_kind("h09_saturdays_next_to_holidays", ["NYSE"], lambda r: False, rules=(
+    fixed("Saturday before Independence Day", 7, 4, "previous_saturday"),
+    fixed("Saturday after Independence Day", 7, 4, "next_saturday"),
+    fixed("Saturday before Christmas", 12, 25, "previous_saturday"),
+    fixed("Saturday after Christmas", 12, 25, "next_saturday")))
 rule_kind("h10_election_days", ["NYSE"], lambda r: r.month == 11 and r.day == 2, years=-27)
 rule_kind("h11_good_friday_condition", ["CFE"], lambda r: r.festival == "easter")
 rule_kind("h12_good_friday_by_year", ["CME Globex Equities", "CME_Bond"],

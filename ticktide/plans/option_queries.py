@@ -30,7 +30,8 @@ def priced_items(spark, sf_dir):
 
 
 @query("s06_malformed_frames", o.OPTION + """
-SELECT id, 'malformed JSON frame' AS reason FROM opt WHERE o % 97 = 0""")
+SELECT id, 'malformed JSON frame' AS reason FROM opt WHERE o % 97 = 0
+UNION ALL SELECT id, 'item is no object' FROM opt WHERE o % 97 <> 0 AND o % 89 = 0""")
 def malformed_frames(spark, sf_dir):
     return frames.bad_frames(views.option_frames(spark, sf_dir)).select("id", "reason")
 

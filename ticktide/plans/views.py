@@ -176,15 +176,18 @@ def option_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def option_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON frames: a channel name, the item, and a second item whose price is
-    missing, empty, the number zero or the text "0". Some frames are cut short."""
+    missing, empty, the number zero or the text "0"; a nested field and a text hold
+    a zero price, too. Some frames end in a number, some are cut short."""
     items = option_view(spark, sf_dir)
     order = F.split_part("id", F.lit("-"), F.lit(1)).cast("bigint")
     line = F.split_part("id", F.lit("-"), F.lit(2)).cast("bigint")
     first = F.to_json(F.struct(*items.columns))
     second = F.concat(F.lit('{"id":"'), F.col("id"), F.lit('-b"'),
                       F.when(line % 4 == 0, "").when(line % 4 == 1, ',"price":""')
-                      .when(line % 4 == 2, ',"price":0').otherwise(',"price":"0"'), F.lit("}"))
-    whole = F.concat(F.lit('["option_trades",'), first, F.lit(","), second, F.lit("]"))
+                      .when(line % 4 == 2, ',"price":0').otherwise(',"price":"0"'),
+                      F.lit(',"meta":{"price":0},"note":"a \\"price\\":0, b"}'))
+    loose = F.when(order % 89 == 0, ",7").otherwise("")
+    whole = F.concat(F.lit('["option_trades",'), first, F.lit(","), second, loose, F.lit("]"))
     return items.select(
         "id", F.when(order % 97 == 0, F.substring(whole, 1, 40)).otherwise(whole).alias("value"))
 

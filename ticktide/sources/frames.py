@@ -6,36 +6,48 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ticktide import schemas
 
-NUMERIC_ZERO_PRICE = r'"price"\s*:\s*-?0+(\.0*)?([eE][+-]?\d+)?\s*[,}]'
+ZERO_NUMBER = r"^-?0+(?:\.0*)?(?:[eE][+-]?\d+)?$"
 
 
-def frame_array(text: Column) -> Column:
+def frame_items(text: Column) -> Column:
     """The frame as an array of JSON texts, null when it is not a JSON array."""
     return F.from_json(text, "array<string>")
 
 
+def _is_object(item: Column) -> Column:
+    return F.coalesce(F.ltrim(item).startswith("{"), F.lit(False))
+
+
 def bad_frames(frames: DataFrame, text: str = "value") -> DataFrame:
-    """Frames that do not parse, with the reason, for the quarantine table."""
-    return (frames.where(frame_array(F.col(text)).isNull())
-            .withColumn("reason", F.array(F.lit("malformed JSON frame"))))
+    """Frames that do not parse or are empty, and items that are no objects, with
+    the reason, for the quarantine table. ``position`` is null for a whole frame."""
+    items = frames.select(*frames.columns, F.posexplode_outer(frame_items(F.col(text))).alias("position", "_item"))
+    reason = (F.when(F.col("position").isNull(), "malformed JSON frame")
+              .when((F.col("position") > 0) & ~_is_object(F.col("_item")), "item is no object"))
+    marked = items.select(*frames.columns, "position", reason.alias("_reason"))
+    return marked.where(F.col("_reason").isNotNull()).select(
+        *frames.columns, "position", F.array("_reason").alias("reason"))
 
 
 def option_items(frames: DataFrame, text: str = "value",
                  schema: T.StructType = schemas.OPTION_ITEM) -> DataFrame:
     """Items of all well-formed frames, flattened to columns.
 
-    The first element names the channel. Nothing is shuffled. The generators are
-    outer ones: for the others the optimizer adds a filter on the size of the
-    array, which would parse the JSON once more. And as generators they stop a
-    filter on an item's field from moving below the parsing.
+    The first element names the channel; each item is parsed once. Nothing is
+    shuffled. The generators are outer ones: for the others the optimizer adds a
+    filter on the size of the array, which would parse the JSON once more. And as
+    generators they stop a filter on an item's field from moving below the parsing.
+
+    A price that is the JSON number zero is no price, the text "0" is one; it is
+    read as a variant, whose type tells, whatever nested fields or texts hold.
     """
-    items = (frames.select(F.posexplode_outer(frame_array(F.col(text))).alias("position", "item"))
-             .where(F.col("position") > 0))
-    parsed = items.select("item", F.inline_outer(F.array(F.from_json("item", schema))))
-    # A JSON number zero is no price, the text "0" is one. Reading both as text
-    # would lose that difference.
-    price = F.when(~F.col("item").rlike(NUMERIC_ZERO_PRICE), F.col("price"))
-    return parsed.withColumn("price", price).drop("item")
+    items = (frames.select(F.posexplode_outer(frame_items(F.col(text))).alias("position", "item"))
+             .where((F.col("position") > 0) & _is_object(F.col("item"))))
+    typed = T.StructType([T.StructField("price", T.VariantType()) if f.name == "price" else f for f in schema.fields])
+    parsed = items.select(F.inline_outer(F.array(F.from_json("item", typed))))
+    given = F.try_variant_get("price", "$", "string")
+    zero = (F.schema_of_variant("price") != "STRING") & given.rlike(ZERO_NUMBER)
+    return parsed.withColumn("price", F.when(~F.coalesce(zero, F.lit(False)), given))
 
 
 def priced(items: DataFrame) -> DataFrame:
