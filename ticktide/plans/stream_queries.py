@@ -109,16 +109,34 @@ def gap_bars(spark, sf_dir):
     return bars_by_gap(trades, "2 hours").select("symbol", "bar_start", "bar_end", "trades", "volume")
 
 
-@query("x07_late_trades")
+@query("x07_late_trades", o.EQUITY.rstrip() + """,
+t AS (SELECT *, "timestamp" * 1000 AS us, sequence % 7 = 3 AS held FROM eqv),
+marks AS (SELECT max(us) FILTER (NOT held) - 600000000 AS first, max(us) - 600000000 AS last FROM t),
+placed AS (SELECT *, us - us % 3600000000 + 3600000000 AS bar_end FROM t, marks),
+counted AS (
+  SELECT symbol, bar_end, count(*) AS trades FROM placed
+  WHERE NOT (held AND bar_end <= first) GROUP BY symbol, bar_end, last HAVING bar_end <= last)
+SELECT (SELECT count(*) FROM counted) AS bars, (SELECT CAST(sum(trades) AS BIGINT) FROM counted) AS trades,
+  (SELECT count(*) FROM placed WHERE held AND bar_end <= first) AS late""")
 def late_trades(spark, sf_dir):
-    """Rows per batch and rows dropped behind the watermark, as the query reports them."""
-    stats = shared_folder(spark, "late")
-    bars = jobs.windowed_bars(timed_stream(spark, sf_dir), "1 hour", "10 minutes")
-    handle = jobs.statistics_sink(f"{stats}/stats", jobs.idempotent_folder(f"{stats}/data"), "bars",
-                                  {"bars": F.count("*"), "trades": F.coalesce(F.sum("trades"), F.lit(0))})
-    jobs.write_batches(bars, handle, f"{stats}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{stats}/stats").groupBy("topic").agg(
-        F.sum("bars").alias("bars"), F.sum("trades").alias("trades"))
+    """A feed in two deliveries: the second brings every seventh trade, most of
+    them behind the watermark that the query reported after the first. Bars leave
+    them out; their number is a result. The streams run while this is built."""
+    root = shared_folder(spark, "late")
+    held = F.col("sequence") % 7 == 3
+    trades = views.timed_equity_trades(spark, sf_dir).select(
+        "sequence", "symbol", "timestamp", "ts", "price", "qty")
+    for part in (~held, held):
+        trades.where(part).write.mode("append").parquet(f"{root}/feed")
+        stream = spark.readStream.schema(trades.schema).parquet(f"{root}/feed")
+        done = jobs.write_files(jobs.windowed_bars(stream, "1 hour", "10 minutes"), f"{root}/bars", f"{root}/checkpoint")
+        done.awaitTermination()
+        if part is not held:
+            mark = F.lit(jobs.watermark(done)).cast("timestamp")
+    end = F.window("ts", "1 hour")["end"]
+    late = trades.where(held & (end <= mark)).count()
+    return spark.read.parquet(f"{root}/bars").agg(
+        F.count("*").alias("bars"), F.sum("trades").alias("trades"), F.lit(late).cast("bigint").alias("late"))
 
 
 @query("x03_idempotent_batches", o.EQUITY + "SELECT symbol, count(*) AS trades FROM eqv GROUP BY symbol")

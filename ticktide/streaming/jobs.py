@@ -96,6 +96,11 @@ def last_batch(done: StreamingQuery) -> int:
     return max(p["batchId"] for p in done.recentProgress if p["numInputRows"] > 0)
 
 
+def watermark(done: StreamingQuery) -> str:
+    """The last watermark that a finished query reported."""
+    return max(p["eventTime"]["watermark"] for p in done.recentProgress if "watermark" in p["eventTime"])
+
+
 def statistics_sink(stats_path: str, write: Callable[[DataFrame, int], None], topic: str,
                     measures: dict[str, Column]) -> Callable[[DataFrame, int], None]:
     """Write each batch and, from the same pass, one row of statistics about it."""
