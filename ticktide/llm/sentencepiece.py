@@ -19,7 +19,8 @@ last merges from the latest on, some pair across the border would have merged
 earlier. Pairs are judged in arrays and remembered. Words with several marks in a
 row, whose merges all have the same score, are merged one by one.
 
-Ids of words are kept in a table that is started anew at ``table_limit`` entries.
+Ids of words are kept in a table that is started anew at ``table_limit`` entries,
+some 200 MB of a worker's memory.
 """
 
 from __future__ import annotations
@@ -147,6 +148,8 @@ class Vocabulary:
             self.reached[i] = merged == [i] and MARK * 2 not in piece
             if last is not None:
                 self.left[i], self.right[i] = last
+        self.sorted = {length: tuple(part[self.reached[ids]] for part in (keys, ids, codes))
+                       for length, (keys, ids, codes) in self.sorted.items() if self.reached[ids].any()}
         self.memo_keys = np.full(MEMO, -1, dtype=np.int64)
         self.memo_values = np.zeros(MEMO, dtype=bool)
 
@@ -233,8 +236,6 @@ class Vocabulary:
                 for i in range(length):
                     same &= own[at[w, s], i] == codes[w, s + i]
                 piece[w[same], s[same]] = ids[at[w[same], s[same]]]
-            if bpe:
-                piece[(piece >= 0) & ~self.reached[piece]] = -1
             if length == 1:
                 piece[piece < 0] = unknown
             found.append(piece)
@@ -316,7 +317,7 @@ def read_model(path: str | None) -> bytes:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None,
-           table_limit: int = 300_000) -> DataFrame:
+           table_limit: int = 900_000) -> DataFrame:
     """Per row: doc_id and ids, an array of int, without begin and end ids.
 
     A null or empty text has no ids. Special strings in a text are ordinary
