@@ -56,7 +56,7 @@ def test_urls_awkward(spark):
     pages = spark.createDataFrame([(i, u, "x", 1) for i, u in urls], "page_id long, url string, host string, token int")
     got = {(r["page_id"], r["host"][:20], r["path"]): (r["rule"], r["verdict"], r["pattern"])
            for r in url_filter.judge(pages).collect()}
-    assert len(got) == 9 or len(got) == 10
+    assert len(got) == len(urls)
     assert got[1, "", ""] == got[3, "", ""] == (None, "allow", None)
     assert got[5, "www.example.com", "/en/x"] == ("www.example.com/en/", "allow", None)
     assert got[5, "a.example.com", "/en/"] == ("example.com/en/", "block", None)
