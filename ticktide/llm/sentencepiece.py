@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ticktide.llm.tables import id_and_text, text_slices
+from ticktide.llm.tables import byte_slices, id_and_text, text_slices
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2                                              # fixed values: model types
@@ -329,7 +329,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         vocabulary = Vocabulary.__new__(Vocabulary)
         vars(vocabulary).update(shared.value)
         split, table = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall, {}
-        for batch in text_slices(batches):
+        for batch in byte_slices(batches):
             words = [split(_marked(vocabulary, text)) for text in batch.column(1).to_pylist()]
             if len(table) > table_limit:
                 table.clear()

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROWS_AT_ONCE = 256
@@ -46,6 +48,18 @@ def text_slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) ->
             yield batch.slice(at, rows)
 
 
+def byte_slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of each, in column 1, hold some ``size`` bytes, or are a single one."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            begun = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, begun + size, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def hex64(value: Column) -> Column:
     """A 64-bit number as 16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(value)), 16, "0")
