@@ -402,3 +402,41 @@ def test_near_copies(spark):
             rows.append((g * 10 + c, " ".join(copy)))
     got = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r["doc_id"] for r in got) == kept
+
+
+def test_near_copies_among_shuffled_texts(spark):
+    """Texts of one vocabulary share their fingerprints; every similar pair counts, whatever text comes first."""
+    draw = np.random.default_rng(11)
+    vocabulary = np.array([f"word{i}" for i in range(400)])
+    rows = []
+    for group in range(40):
+        words = draw.permutation(vocabulary)
+        swapped = words.copy()
+        swapped[[100, 101]] = swapped[[101, 100]]
+        rows += [(2 * group, " ".join(words)), (2 * group + 1, " ".join(swapped))]
+
+    def shingles(text):
+        words = text.split()
+        return set(zip(*(words[i:] for i in range(5))))
+
+    sets = [shingles(t) for _, t in rows]
+    near = [(i, j) for i in range(80) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    smallest = groups(near, range(80))
+    got = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(set(smallest.values())) == list(range(0, 80, 2))
+
+
+def test_rounds_measure_every_near_pair(spark):
+    """Sketches that tell nothing: all pairs of one fingerprint are measured or connected in the end."""
+    draw = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(draw.permutation(words))) for i in range(14)]
+    rows += [(20, rows[5][1] + " w3"), (21, rows[5][1] + " w3 w4")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = simhash.views_of(docs, "doc_id", "text", 2, 5).selectExpr(
+        "text_hash", "prints", "transform(sketch, (x, i) -> IF(i = 0, x, 0L)) AS sketch")
+    shown = docs.selectExpr("xxhash64(text) AS node", "text")
+    own = {r["text"]: r["node"] for r in shown.collect()}
+    got = {r["node"]: r["root"] for r in simhash.copies(texts, shown, 3, 5, 0.8).collect()}
+    alike = [own[rows[i][1]] for i in (5, 14, 15)]
+    assert set(got) | {min(alike)} == set(alike) and set(got.values()) == {min(alike)}

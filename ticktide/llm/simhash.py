@@ -5,6 +5,9 @@ Fingerprints: a bit is set when it is set in over half of the XXH64 values (seed
 copies never meet each other. `drop_near_copies` removes near copies by their
 five-word shingles: it searches several fingerprints of each text, over its set of
 words, which near copies hardly change, and then measures the similarity itself.
+There a link is more than a small distance, so every pair of near texts counts:
+it is measured, or a bound from sketches of the shingles shows that it is no copy,
+or its texts are connected by measured pairs already.
 
 Search: the upper levels of a vantage-point tree are fitted on a bounded sample
 of fingerprints and sent to the tasks. A fingerprint goes to the inside of a
@@ -36,6 +39,8 @@ LEAF = 4096            # fingerprints a shard should hold
 MOST_LEAVES = 4096     # bound of the tree that is sent to the tasks
 SAMPLE_PER_LEAF = 16   # so the sample has at most 65,536 fingerprints
 BLOCK = 1024           # compared in full
+PAIRS = 1 << 22        # pairs looked at together
+SKETCH = 512           # bits of the parity sketch of a text's shingles
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -118,8 +123,9 @@ def near_pairs(values: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.n
             if len(inside) <= 0.9 * len(index):
                 todo += [inside, outside]
                 continue
-        for at in range(0, len(index), 256):
-            x, y = np.nonzero(np.bitwise_count(own[at:at + 256, None] ^ own[None, at:]) <= most)
+        rows = max(1, min(256, PAIRS // max(1, len(index))))
+        for at in range(0, len(index), rows):
+            x, y = np.nonzero(np.bitwise_count(own[at:at + rows, None] ^ own[None, at:]) <= most)
             keep = x < y
             yield index[x[keep] + at], index[y[keep] + at]
 
@@ -151,16 +157,18 @@ def _forest(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return (values[np.concatenate(first)], values[np.concatenate(second)]) if first else (values[:0], values[:0])
 
 
-def links(nodes: DataFrame, most: int = 3, shard_rows: int = 65_536) -> DataFrame:
-    """Links (view, a, b) between the distinct fingerprints (view, fp) of a view.
+def placed_in_cells(nodes: DataFrame, most: int, shard_rows: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(view, fp, carried long columns, leaf, i, j): any two rows of a view at most ``most`` bits apart share a cell.
 
-    Every link is a pair at most ``most`` bits apart, and the links connect
-    exactly the fingerprints that all such pairs connect.
+    The last column of (fp, carried) deals the rows of a crowded leaf to its parts.
     """
+    names = ["fp", *carry]
+    longs = ", ".join(f"{c} long" for c in names)
     count = nodes.groupBy("view").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     depth = max(0, min(MOST_LEAVES, -(-count // LEAF)) - 1).bit_length()
     step = max(1, count // (SAMPLE_PER_LEAF * 2 ** depth))
-    sample = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("view", "fp").toPandas()
+    sample = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("view", "fp")
+    sample = (sample.distinct() if carry else sample).toPandas()
     trees = {int(view): fit_tree(np.sort(part["fp"].to_numpy(np.int64).view(np.uint64)), depth)
              for view, part in sample.groupby("view")}
     # A view without a sample is small: all of it goes inside, to one shard.
@@ -168,15 +176,15 @@ def links(nodes: DataFrame, most: int = 3, shard_rows: int = 65_536) -> DataFram
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            views, values = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            views, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             for view in np.unique(views):
-                own = values[views == view]
-                index, leaf = route(own.view(np.uint64), *trees.get(int(view), empty), depth, most)
+                own = [c[views == view] for c in columns]
+                index, leaf = route(own[0].view(np.uint64), *trees.get(int(view), empty), depth, most)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(index), view, dtype=np.int32)), pa.array(own[index]), pa.array(leaf)],
-                    ["view", "fp", "leaf"])
+                    [pa.array(np.full(len(index), view, dtype=np.int32)), *(pa.array(c[index]) for c in own),
+                     pa.array(leaf)], ["view", *names, "leaf"])
 
-    placed = nodes.select("view", "fp").mapInArrow(routed, "view int, fp long, leaf long")
+    placed = nodes.select("view", *names).mapInArrow(routed, f"view int, {longs}, leaf long")
     # One row per view and leaf that is too large, so at most MOST_LEAVES a view.
     parts = {(row["view"], row["leaf"]): -(-row["n"] // shard_rows)
              for row in placed.groupBy("view", "leaf").agg(F.count("*").alias("n"))
@@ -184,24 +192,34 @@ def links(nodes: DataFrame, most: int = 3, shard_rows: int = 65_536) -> DataFram
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            views, values, leaves = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            views, *columns, leaves = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             cut = np.array([parts.get(key, 1) for key in zip(views.tolist(), leaves.tolist())], dtype=np.int64)
-            own = (values.view(np.uint64) % cut.astype(np.uint64)).astype(np.int64)
-            # A fingerprint of part p meets every part k in cell (min, max).
-            at = np.repeat(np.arange(len(values)), cut)
+            own = (columns[-1].view(np.uint64) % cut.astype(np.uint64)).astype(np.int64)
+            # A row of part p meets every part k in cell (min, max).
+            at = np.repeat(np.arange(len(views)), cut)
             k = np.arange(len(at)) - np.repeat(np.cumsum(cut) - cut, cut)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(views[at]), pa.array(values[at]), pa.array(leaves[at]),
+                [pa.array(views[at]), *(pa.array(c[at]) for c in columns), pa.array(leaves[at]),
                  pa.array(np.minimum(own[at], k)), pa.array(np.maximum(own[at], k))],
-                ["view", "fp", "leaf", "i", "j"])
+                ["view", *names, "leaf", "i", "j"])
+
+    return placed.mapInArrow(cells, f"view int, {longs}, leaf long, i long, j long")
+
+
+def links(nodes: DataFrame, most: int = 3, shard_rows: int = 65_536) -> DataFrame:
+    """Links (view, a, b) between the distinct fingerprints (view, fp) of a view.
+
+    Every link is a pair at most ``most`` bits apart, and the links connect
+    exactly the fingerprints that all such pairs connect.
+    """
 
     def linked(pdf: pd.DataFrame) -> pd.DataFrame:
         values = np.sort(pdf["fp"].to_numpy(np.int64)).view(np.uint64)
         a, b = _forest(values, most)
         return pd.DataFrame({"view": pdf["view"].iloc[0], "a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return (placed.mapInArrow(cells, "view int, fp long, leaf long, i long, j long")
-            .groupBy("view", "leaf", "i", "j").applyInPandas(linked, "view int, a long, b long"))
+    return placed_in_cells(nodes, most, shard_rows).groupBy("view", "leaf", "i", "j").applyInPandas(
+        linked, "view int, a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
@@ -226,50 +244,60 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                              "component_id", "n_same")
 
 
-def views_of(docs: DataFrame, id_col: str, text_col: str, views: int) -> DataFrame:
-    """Per row: doc_id, text_hash, and the fingerprints of the set of words under several seeds."""
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+def shingle_set(found: list[bytes], words: int) -> set[bytes]:
+    if len(found) < words:
+        return {b" ".join(found)}
+    return set(map(b" ".join, zip(*(found[i:] for i in range(words)))))
+
+
+def views_of(docs: DataFrame, id_col: str, text_col: str, views: int, words: int) -> DataFrame:
+    """Per row: doc_id, text_hash, the fingerprints of the set of words under several seeds, and a sketch.
+
+    The sketch is the number of distinct shingles and, per bit, the parity of those that hash to it.
+    """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
-        digest = xxhash.xxh3_128_digest
-        lower = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+        digest, number = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
         for batch in text_slices(batches):
             values = np.zeros((batch.num_rows, views), dtype=np.int64)
+            sketches = np.zeros((batch.num_rows, 1 + SKETCH // 64), dtype=np.int64)
             for row, text in enumerate(batch.column(2).to_pylist()):
-                words = list(set(text.encode().translate(lower).split()))
+                in_order = text.encode().translate(LOWER).split()
+                shingles = shingle_set(in_order, words)
+                bits = np.fromiter(map(number, shingles), dtype=np.uint64, count=len(shingles)) % np.uint64(SKETCH)
+                sketches[row, 0] = len(shingles)
+                sketches[row, 1:] = np.packbits(np.bincount(bits.astype(np.int64), minlength=SKETCH) & 1).view(np.int64)
+                distinct = list(set(in_order))
                 total = np.zeros(views * 64, dtype=np.int64)
-                for at in range(0, len(words), 16_384):
-                    part = words[at:at + 16_384]
+                for at in range(0, len(distinct), 16_384):
+                    part = distinct[at:at + 16_384]
                     hashes = [np.frombuffer(b"".join([digest(w, seed) for w in part]), dtype=np.uint8).reshape(-1, 16)
                               for seed in range(-(-views // 2))]
                     bits = np.concatenate(hashes, axis=1)[:, :views * 8]
                     total += np.unpackbits(bits, axis=1).sum(axis=0, dtype=np.int64)
-                values[row] = np.packbits(2 * total > len(words)).view(">u8").astype(np.uint64).view(np.int64)
-            prints = pa.ListArray.from_arrays(
-                pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * views), pa.array(values.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints],
-                                             ["doc_id", "text_hash", "prints"])
+                values[row] = np.packbits(2 * total > len(distinct)).view(">u8").astype(np.uint64).view(np.int64)
+            lists = [pa.ListArray.from_arrays(
+                pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+                for rows in (values, sketches)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists],
+                                             ["doc_id", "text_hash", "prints", "sketch"])
 
     return id_and_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        compute, "doc_id long, text_hash long, prints array<long>")
+        compute, "doc_id long, text_hash long, prints array<long>, sketch array<long>")
 
 
 def shingle_similarity(pairs: DataFrame, words: int) -> DataFrame:
     """(a, b, similarity) for rows a, b, text_a, text_b: Jaccard of the sets of word shingles."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lower = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-
-        def shingles(text: str) -> set[bytes]:
-            found = text.encode().translate(lower).split()
-            if len(found) < words:
-                return {b" ".join(found)}
-            return set(map(b" ".join, zip(*(found[i:] for i in range(words)))))
-
         for batch in text_slices(batches):
             out = []
             for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = shingles(one), shingles(two)
+                x, y = (shingle_set(t.encode().translate(LOWER).split(), words) for t in (one, two))
                 both = len(x & y)
                 out.append(both / (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())],
@@ -278,37 +306,124 @@ def shingle_similarity(pairs: DataFrame, words: int) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(compute, "a long, b long, similarity double")
 
 
+CELL = ["view", "leaf", "i", "j"]
+
+
+def _plausible(members: pd.DataFrame, done: pd.DataFrame, most: int, similarity: float,
+               room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a cell that may be copies, between texts not known to be connected nor measured before.
+
+    A spanning forest of all such pairs, and ``room`` pairs beside it.
+    """
+    members = members.sort_values("node")
+    node, values = members["node"].to_numpy(np.int64), members["fp"].to_numpy(np.int64).view(np.uint64)
+    root, own = np.unique(members["root"].to_numpy(np.int64), return_inverse=True)
+    if len(root) < 2:
+        return node[:0], node[:0]
+    sketch = np.stack(members["sketch"].to_numpy()).astype(np.int64)
+    size, bits = sketch[:, 0], sketch[:, 1:].copy().view(np.uint64)
+    known = (np.searchsorted(node, done["a"].to_numpy(np.int64)) * len(node)
+             + np.searchsorted(node, done["b"].to_numpy(np.int64)))
+    parent = np.arange(len(root))
+
+    def roots(index: np.ndarray) -> np.ndarray:
+        while True:
+            above = parent[index]
+            if np.array_equal(above, index):
+                return index
+            index = parent[above]
+
+    first, second = [node[:0]], [node[:0]]
+    for all_x, all_y in near_pairs(values, most):
+        for at in range(0, len(all_x), PAIRS // 16):
+            x, y = all_x[at:at + PAIRS // 16], all_y[at:at + PAIRS // 16]
+            open_ = own[x] != own[y] if room > 0 else roots(own[x]) != roots(own[y])
+            x, y = x[open_], y[open_]
+            # Sets of m and n shingles with d in only one of them: similarity (m + n - d) / (m + n + d).
+            # d is no less than the difference of the sizes, nor than that of the parities.
+            least = np.maximum(np.abs(size[x] - size[y]), np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64))
+            open_ = least * (1 + similarity) <= (size[x] + size[y]) * (1 - similarity) + 1e-6
+            open_ &= ~np.isin(x * len(node) + y, known)
+            x, y = x[open_], y[open_]
+            if room > 0:
+                first.append(node[x[:room]])
+                second.append(node[y[:room]])
+                room -= len(x)
+            while len(x):
+                a, b = roots(own[x]), roots(own[y])
+                open_ = a != b
+                x, y, a, b = x[open_], y[open_], a[open_], b[open_]
+                upper, take = np.unique(np.maximum(a, b), return_index=True)
+                parent[upper] = np.minimum(a, b)[take]
+                first.append(node[x[take]])
+                second.append(node[y[take]])
+    return np.concatenate(first), np.concatenate(second)
+
+
+def copies(texts: DataFrame, shown: DataFrame, most: int, words: int, similarity: float,
+           shard_rows: int = 16_384) -> DataFrame:
+    """(node, root) of the texts that pairs near in a view and similar enough connect.
+
+    ``texts`` has text_hash, prints and sketch once per text, ``shown`` node and
+    text. In rounds: every cell proposes a spanning forest of the pairs that are
+    near, may be similar by their sketches and are neither measured nor connected
+    so far; they are measured, and the similar ones connect. It ends when no cell
+    has such a pair. Later rounds propose ever more pairs, so that the rounds stay
+    few where many texts look alike and are not.
+    """
+    spark = texts.sparkSession
+    seen = checkpointed(texts.select(F.posexplode("prints").alias("view", "fp"), F.col("text_hash").alias("node")))
+
+    def touched(pdf: pd.DataFrame) -> pd.DataFrame:
+        near = np.zeros(len(pdf), dtype=bool)
+        for x, y in near_pairs(pdf["fp"].to_numpy(np.int64).view(np.uint64), most):
+            near[x] = near[y] = True
+        return pdf[near]
+
+    cells = placed_in_cells(seen, most, shard_rows, ("node",))
+    cells = cells.groupBy(*CELL).applyInPandas(touched, cells.schema)
+    cells = checkpointed(cells.join(texts.select(F.col("text_hash").alias("node"), "sketch"), "node"))
+    roots = spark.createDataFrame([], "node long, root long")
+    proposed = spark.createDataFrame([], "view int, leaf long, i long, j long, a long, b long")
+    measured = spark.createDataFrame([], "a long, b long, similarity double")
+    turn = 0
+    while True:
+        def propose(members: pd.DataFrame, done: pd.DataFrame, turn: int = turn) -> pd.DataFrame:
+            a, b = _plausible(members, done, most, similarity,
+                              min(PAIRS, len(members) * 4 ** min(turn, 11)) if turn else 0)
+            return pd.DataFrame({c: members[c].iloc[0] for c in CELL} | {"a": a, "b": b}, index=range(len(a)))
+
+        now = cells.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        found = checkpointed(now.groupBy(*CELL).cogroup(proposed.groupBy(*CELL)).applyInPandas(
+            lambda members, done: propose(members, done) if len(members) else done, proposed.schema))
+        if found.isEmpty():
+            return roots
+        new = checkpointed(found.select("a", "b").distinct().join(measured, ["a", "b"], "left_anti"))
+        wanted = new.select(F.col("a").alias("node")).union(new.select("b")).distinct()
+        own = shown.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+        pairs = new.join(own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
+            own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        measured = checkpointed(measured.unionByName(shingle_similarity(pairs, words)))
+        proposed = proposed.unionByName(found)
+        roots = components(measured.filter(F.col("similarity") >= similarity).select("a", "b"))
+        turn += 1
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", views: int = 8,
                      most: int = 3, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs``, with all columns, of which one of each group of near copies stays.
 
     Texts are linked when their sets of ``words``-word shingles have a Jaccard
     similarity of at least ``similarity``; equal texts always are. Candidates are
-    texts with a fingerprint at most ``most`` bits apart in one of the views. Of a
+    all pairs with a fingerprint at most ``most`` bits apart in one of the views. Of a
     group the smallest id stays; a null id stays only where there is no other.
     Rows equal in id and text are one document and share its fate. Null and empty
     texts are equal. An empty table stays empty.
     """
-    rows = checkpointed(views_of(docs, id_col, text_col, views))
-    texts = rows.groupBy("text_hash").agg(F.min("doc_id").alias("first"), F.min("prints").alias("prints"))
-    seen = checkpointed(texts.select("text_hash", F.posexplode("prints").alias("view", "fp")))
-    prints = checkpointed(seen.groupBy("view", "fp").agg(F.min("text_hash").alias("node")))
-    # Texts with one fingerprint all point to the same text, linked fingerprints to each other's.
-    near = seen.join(prints, ["view", "fp"]).select(F.col("text_hash").alias("a"), F.col("node").alias("b"))
-    found = links(prints, most)
-    ends = prints.select("view", F.col("fp").alias("a"), F.col("node").alias("node_a"))
-    found = found.join(ends, ["view", "a"]).join(
-        ends.select("view", F.col("a").alias("b"), F.col("node_a").alias("node_b")), ["view", "b"])
-    near = near.unionByName(found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-    near = checkpointed(near.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                        .distinct())
-    wanted = near.select("a").union(near.select("b")).distinct().withColumnRenamed("a", "node")
+    rows = checkpointed(views_of(docs, id_col, text_col, views, words))
+    texts = rows.groupBy("text_hash").agg(F.min("prints").alias("prints"), F.min("sketch").alias("sketch"))
     shown = id_and_text(docs, id_col, text_col).select(F.xxhash64("text").alias("node"), "text")
-    shown = shown.join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    pairs = near.join(shown.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-        shown.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    same = shingle_similarity(pairs, words).filter(F.col("similarity") >= similarity).select("a", "b")
-    roots = components(same)
+    roots = copies(texts, shown, most, words, similarity)
     group = rows.select("doc_id", "text_hash").join(
         roots, F.col("text_hash") == F.col("node"), "left").select(
         "doc_id", "text_hash", F.coalesce("root", "text_hash").alias("root"))
