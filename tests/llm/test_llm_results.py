@@ -161,6 +161,29 @@ def test_substring_dedup_survives_insertions(spark):
         assert got[i]["spans"] == f"{start}:{start + len(passage)}" and got[i]["firsts"] == [0]
 
 
+def test_substring_dedup_of_joined_passages(spark):
+    """Passages made of parts that stand alone earlier, against every window of 50 words."""
+    draw = np.random.default_rng(5)
+    prose = lambda n: " ".join("".join(draw.choice(list("abcdefghij"), draw.integers(2, 8))) for _ in range(n))
+    rows, at = [], 0
+    for k in range(25):
+        a, b, c = prose(45), prose(45), prose(8 + k)
+        outer = [prose(30) for _ in range(5)]
+        rows += [(at, f"{outer[0]} {a} {outer[1]}"), (at + 1, f"{b} {outer[2]}"), (at + 2, c),
+                 (at + 3, f"{outer[3]} {a} {b} {c}"), (at + 4, f"{a} {b} {c} {outer[4]}"), (at + 5, f"{b} {c} {a} {b}")]
+        at += 6
+    rows += [(at, "ja " * 300), (at + 1, "nein " + "ja " * 200)]
+    got = {r["doc_id"]: r for r in substring_dedup.deduplicate(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    seen = {}
+    for doc_id, text in rows:
+        words, hit = text.split(), set()
+        for i in range(len(words) - 49):
+            if seen.setdefault(tuple(words[i:i + 50]), doc_id) < doc_id:
+                hit |= set(range(i, i + 50))
+        assert got[doc_id]["text"].split() == [w for i, w in enumerate(words) if i not in hit], doc_id
+
+
 def base_statistics(text):
     words = re.findall(WORD, text)
     lines = [x for x in text.split("\n") if re.search(WORD, x)]

@@ -10,6 +10,12 @@ is then compared byte by byte with the first document's text, so a passage is
 removed only if it really stands there, with its exact ends, and only if it has
 at least ``least_words`` whole words. The first document keeps it.
 
+Chunks of one passage may have different first documents, none of which has the
+whole passage. So windows of ``least_words`` whole words are looked up, too, each
+with its own first document, wherever every chunk inside the window stands in
+another document: a window that an earlier document has, too, cannot be without
+that. The windows of a passage cover it, whatever documents had its parts before.
+
 A shared passage meets the texts of later documents one to one: no pairs among
 later documents, and rows by digest are combined in the tasks before they move.
 """
@@ -32,8 +38,11 @@ GEAR = np.array([pow(0x9E3779B97F4A7C15, b + 3, 1 << 64) >> 40 & 0xFFFF for b in
 SPACES = b" \t\n\x0b\x0c\r"
 
 
-def borders(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Ends of all chunks of texts that lie one behind the other; ``ends`` are the ends of the texts."""
+def borders(data: np.ndarray, ends: np.ndarray | None) -> np.ndarray:
+    """Ends of all chunks of texts that lie one behind the other; ``ends`` are the ends of the texts.
+
+    Without ``ends`` only those that the bytes of the window before them decide.
+    """
     value = GEAR[data]
     width = 1
     while width < WINDOW:
@@ -43,6 +52,8 @@ def borders(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         value = value + older
         width *= 2
     cuts = np.flatnonzero(value < (1 << (16 - TOP_BITS))) + 1
+    if ends is None:
+        return cuts
     cuts = np.union1d(cuts, ends[ends > 0])
     begin = np.concatenate([[0], cuts[:-1]])
     # A stretch without a border, such as one word over and over, is cut at the
@@ -89,21 +100,101 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
         cut, "digest long, doc_id long, start long, size int")
 
 
-def candidates(pieces: DataFrame, least_bytes: int = 48) -> DataFrame:
-    """(doc_id, first, shift, low, high): a stretch of a document that its first document may have, too."""
+def _firsts(pieces: DataFrame) -> DataFrame:
+    """(digest, first, first_start, last): first document of every digest, the place there, and the last document."""
     # One sortable number for (document, place) keeps this a hash aggregate.
     place = F.col("doc_id").cast("decimal(20,0)") * SHIFT + F.col("start")
     firsts = pieces.groupBy("digest").agg(F.min(place).alias("place"), F.max("doc_id").alias("last"))
     start = F.pmod("place", F.lit(SHIFT))
-    firsts = firsts.select("digest", "last", start.cast("long").alias("first_start"),
-                           F.expr(f"CAST((place - pmod(place, {SHIFT})) / {SHIFT} AS long)").alias("first"))
-    firsts = firsts.filter(F.col("first") < F.col("last")).drop("last")
-    later = pieces.join(firsts, "digest").filter(F.col("doc_id") > F.col("first"))
+    return firsts.select("digest", "last", start.cast("long").alias("first_start"),
+                         F.expr(f"CAST((place - pmod(place, {SHIFT})) / {SHIFT} AS long)").alias("first"))
+
+
+def shared_chunks(pieces: DataFrame) -> DataFrame:
+    """The chunks that several documents have, with first, first_start and last."""
+    return pieces.join(_firsts(pieces).filter(F.col("first") < F.col("last")), "digest")
+
+
+def candidates(shared: DataFrame, least_bytes: int = 48) -> DataFrame:
+    """(doc_id, first, shift, low, high): a stretch of a document that its first document may have, too."""
+    later = shared.filter(F.col("doc_id") > F.col("first"))
     return (later.groupBy("doc_id", "first", (F.col("first_start") - F.col("start")).alias("shift"))
             .agg(F.sum("size").alias("n"), F.min("start").alias("low"), F.max(F.col("start") + F.col("size")).alias("high"))
             .filter(F.col("n") >= least_bytes).drop("n"))
 
 
+def _open_windows(data: bytes, keys: np.ndarray, least_words: int, least_chunk: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the windows of a text that other texts may have.
+
+    ``keys`` has start * 2 * MOST + size of the chunks that other documents have. Only
+    chunks whose borders depend on the window's own bytes count against it.
+    """
+    text = np.frombuffer(data, dtype=np.uint8)
+    inner = np.concatenate([[False], ~np.isin(text, np.frombuffer(SPACES, dtype=np.uint8)), [False]])
+    edges = np.flatnonzero(inner[1:] != inner[:-1])
+    start, end = edges[::2], edges[1::2]
+    n = max(0, len(start) - least_words + 1)
+    start, end = start[:n], end[least_words - 1:]
+    if not n:
+        return start, end
+    cuts = borders(text, None)
+    low, high = cuts[:-1], cuts[1:]
+    plain = (low >= WINDOW) & (high - low >= least_chunk) & (high - low <= MOST)
+    low, high = low[plain], high[plain]
+    against = ~np.isin(low * (2 * MOST) + (high - low), keys)
+    begins, ends = low[against], np.append(high[against], len(data) + 1)
+    open_ = ends[np.searchsorted(begins, start + WINDOW)] >= end
+    return start[open_], end[open_]
+
+
+def windows(dealt: DataFrame, shared: DataFrame, grouped: DataFrame, least_words: int, least_chunk: int,
+            source: bool) -> DataFrame:
+    """(digest, doc_id, start, size) of the windows that an earlier document, or as ``source`` a later one, may have.
+
+    ``grouped`` has the stretches that chunks propose. A window inside a passage found
+    by them is cut anyway, and the document that has it first is its source.
+    """
+    flags = (F.col("first") < F.col("doc_id")).cast("int") + 2 * (F.col("last") > F.col("doc_id")).cast("int")
+    # One number per chunk: place, size up to 2 * MOST, flags.
+    lists = shared.groupBy("doc_id").agg(
+        F.collect_list((F.col("start") * (2 * MOST) + F.col("size")) * 4 + flags).alias("chunks"))
+
+    flag = 2 if source else 1
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        digest = xxhash.xxh3_64_intdigest
+        for batch in text_slices(batches, 64):
+            ids, parts = batch.column(0).to_pylist(), []
+            for doc_id, text, own, near in zip(ids, batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                data = text.encode()
+                codes = np.array(own.as_py() or [], dtype=np.int64)
+                start, end = _open_windows(data, codes[codes & flag > 0] >> 2, least_words, least_chunk)
+                for low, high, _ in _passages(data, near.as_py(), least_words) if near.is_valid and len(start) else []:
+                    # At the ends the other document's words may go on: a source stays there.
+                    open_ = (start <= low) | (end >= high) if source else (start < low) | (end > high)
+                    start, end = start[open_], end[open_]
+                keys = np.fromiter((digest(data[a:b]) for a, b in zip(start.tolist(), end.tolist())),
+                                   dtype=np.uint64, count=len(start))
+                parts.append((keys.view(np.int64), np.full(len(start), doc_id, dtype=np.int64), start.astype(np.int64),
+                              (end - start).astype(np.int32)))
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)],
+                                                 ["digest", "doc_id", "start", "size"])
+
+    joined = dealt.select("doc_id", "text").join(lists, "doc_id", "left").join(grouped, "doc_id", "left")
+    return joined.select("doc_id", "text", "chunks", "found").mapInArrow(
+        cut, "digest long, doc_id long, start long, size int")
+
+
+def window_candidates(queries: DataFrame, sources: DataFrame) -> DataFrame:
+    """As `candidates`, from windows: those of one shift may leave gaps, which the comparison sees."""
+    later = queries.join(_firsts(sources).drop("last"), "digest")
+    return later.filter(F.col("doc_id") > F.col("first")).groupBy(
+        "doc_id", "first", (F.col("first_start") - F.col("start")).alias("shift")).agg(
+        F.min("start").alias("low"), F.max(F.col("start") + F.col("size")).alias("high"))
+
+
 def _passages(data: bytes, found: list[dict], least_words: int) -> list[tuple[int, int, int]]:
     """(start, end, first document) of whole words that stand in a first document, too."""
     text, spans = np.frombuffer(data, dtype=np.uint8), []
@@ -139,26 +230,33 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_ch
     rows = docs.select(F.col("doc_id") if plain else F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                        *(others if len(docs.columns) > 2 else []))
-    near = candidates(chunks(docs, id_col, text_col, least_chunk))
-    # Texts are dealt by id once for both joins: as first documents, and as those to be cut.
+    shared = shared_chunks(chunks(docs, id_col, text_col, least_chunk))
+    # Texts are dealt by id once for all joins: for windows, as first documents, and as those to be cut.
     dealt = rows.filter(F.col("doc_id").isNotNull()).repartition("doc_id")
     firsts = dealt.select(F.col("doc_id").alias("first"), F.col("text").cast("binary").alias("bytes"))
-    begin = F.greatest(F.lit(0), F.col("low") + F.col("shift") - MARGIN, F.col("shift"))
-    shown = near.join(firsts, "first").select(
-        "doc_id", F.struct(
-            "first", (begin - F.col("shift")).alias("at"),
-            F.substring("bytes", (begin + 1).cast("int"),
-                        (F.col("high") + F.col("shift") + MARGIN - begin).cast("int")).alias("bytes")).alias("item"))
-    grouped = shown.groupBy("doc_id").agg(F.collect_list("item").alias("found"))
+
+    def shown(near: DataFrame) -> DataFrame:
+        """(doc_id, found): the bytes of the first documents at the proposed places."""
+        begin = F.greatest(F.lit(0), F.col("low") + F.col("shift") - MARGIN, F.col("shift"))
+        items = near.join(firsts, "first").select(
+            "doc_id", F.struct(
+                "first", (begin - F.col("shift")).alias("at"),
+                F.substring("bytes", (begin + 1).cast("int"),
+                            (F.col("high") + F.col("shift") + MARGIN - begin).cast("int")).alias("bytes")).alias("item"))
+        return items.groupBy("doc_id").agg(F.collect_list("item").alias("found"))
+
+    by_chunks = shown(candidates(shared))
+    by_windows = shown(window_candidates(*(
+        windows(dealt, shared, by_chunks, least_words, least_chunk, source) for source in (False, True))))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["text", "n_spans", "n_removed", "spans", "firsts"]
         types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
         for batch in text_slices(batches):
             out = []
-            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for text, *found in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 data = text.encode()
-                passages = _passages(data, found, least_words) if found else []
+                passages = sorted(p for items in found if items for p in _passages(data, items, least_words))
                 spans: list[list[int]] = []
                 for start, end, _ in passages:
                     if spans and start <= spans[-1][1]:
@@ -177,12 +275,13 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_ch
                             ",".join(f"{a}:{b}" for a, b in written), sorted({f for _, _, f in passages})))
             columns = list(zip(*out)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types)), *batch.columns[3:]],
-                ["doc_id", *names, *batch.schema.names[3:]])
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types)), *batch.columns[4:]],
+                ["doc_id", *names, *batch.schema.names[4:]])
 
-    joined = dealt.join(grouped, "doc_id", "left").unionByName(
+    joined = dealt.join(by_chunks, "doc_id", "left").join(
+        by_windows.withColumnRenamed("found", "more"), "doc_id", "left").unionByName(
         rows.filter(F.col("doc_id").isNull()), allowMissingColumns=True)
-    joined = joined.select("doc_id", "text", "found", *rows.columns[2:])
+    joined = joined.select("doc_id", "text", "found", "more", *rows.columns[2:])
     schema = T.StructType(T.StructType.fromDDL(
         "doc_id long, text string, n_spans long, n_removed long, spans string, firsts array<long>").fields
         + rows.schema.fields[2:])
@@ -196,7 +295,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``spans`` are ``start:end`` in code points of the given text, joined by
     commas; n_removed counts their code points, and ``firsts`` lists the documents
     that keep the passages. Only repeats across documents count, and of equal
-    passages that of the smallest id stays. Rows that share an id count as one
+    passages that of the smallest id stays: a run of ``least_words`` words goes
+    wherever an earlier document has it as whole words. Rows that share an id count as one
     document. A null text is empty; rows with a null id and empty texts are
     returned as they are. Other columns are not looked at.
     """
