@@ -282,6 +282,23 @@ def test_terms_that_disclose_are_marked(spark):
     assert "Zorblax" not in clean[0] and "<EMAIL>" in clean[0] and clean[100].endswith("<EMAIL>")
 
 
+def test_terms_far_from_the_address(spark):
+    """A disclosing word counts in the whole document, and is marked in all documents."""
+    filler = " ".join(["plain words of text that many wrote today"] * 6)
+    rows = [(i, f"Zorblax item{i} {filler} line{i} from zor@blax.example today about thing{i} {filler} Zorblax end")
+            for i in range(6)]
+    rows += [(50, f"{filler} Zorblax without any address")]
+    rows += [(100 + i, f"{filler} item{i} about thing{i} line{i} end without any address from x{i}@many.example")
+             for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.pii(docs).collect()}
+    for doc_id, text in rows:
+        want = [f"term:{m.start()}:{m.end()}" for m in re.finditer("Zorblax", text)]
+        assert [s for s in got[doc_id]["spans"].split(",") if s.startswith("term")] == want
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert not any("Zorblax" in text for text in clean.values()) and "<EMAIL>" in clean[0]
+
+
 def test_language(spark, sf_dir):
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = run(spark, sf_dir, "op6_language")

@@ -1,18 +1,20 @@
 """Personal data: base patterns and information-theoretic sanitisation of what reveals them.
 
 Base spans are e-mail and IP addresses, card and phone numbers. Each distinct
-value is a protected entity. The words around its spans, at most ``REACH``
-characters away, are its context. A term t discloses the entity e by their
-pointwise mutual information, log p(e|t) / p(e), estimated from document
-frequencies over the whole corpus; as a share of the entity's own information,
+value is a protected entity. A term t, a word outside base spans, discloses the
+entity e by their pointwise mutual information, log p(e|t) / p(e), estimated from
+document frequencies, of whole documents, over the whole corpus; as a share of the entity's own information,
 -log p(e), it is 1 when seeing the term is as good as seeing the entity. Terms at
 or above ``generalise`` are replaced by their kind (``<NAME>``, ``<NUMBER>``,
-``<TERM>``), those at or above ``remove`` are deleted; both need ``support``
-different contexts, so that neither copies of one text nor a single meeting of
-two rare words count as evidence.
-
-Only DataFrame functions are used. Context rows exist for base spans alone, some
-dozens each; word frequencies are combined in the tasks before they are dealt.
+``<TERM>``), those at or above ``remove`` are deleted, wherever they stand in any
+text; both need ``support`` different contexts, so that neither copies of one text
+nor a single meeting of two rare words count as evidence. A context is what
+surrounds a span, ``REACH`` characters on each side. A term met there counts once
+for each of them, a term farther away once for the document.
+
+Only DataFrame functions are used. Words are dealt with entities only for values
+that have enough contexts; word frequencies are combined in the tasks before they
+are dealt.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ticktide.llm.tables import checkpointed
 
 REACH = 80
+MOST_BROADCAST = 100_000   # terms sent to all tasks; more are joined by a shuffle
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -81,7 +84,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, text_hash, an array of spans per kind, and the surroundings of each span."""
+    """Per row: doc_id, text_hash, an array of spans per kind, the surroundings of each, and the words outside them."""
     rows = _rows(docs, id_col, text_col).select(
         "doc_id", "text", F.xxhash64("text").alias("text_hash"),
         *[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS])
@@ -96,70 +99,112 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             (s["start"] > REACH).alias("cut_left"),
             (s["end"] + REACH < F.length("text")).alias("cut_right")))
 
-    return rows.select("doc_id", "text_hash", *KINDS, F.concat(*map(around, KINDS)).alias("around"))
+    blanks = F.sort_array(F.concat(*[F.transform(kind, lambda s: F.struct(
+        s["start"], s["end"], F.lit(" ").alias("mark"))) for kind in KINDS]))
+    words = F.filter(_distinct_words(sanitised_text(F.col("text"), blanks)), lambda w: F.length(w) >= 3)
+    return rows.select("doc_id", "text_hash", *KINDS, F.concat(*map(around, KINDS)).alias("around"),
+                       F.when(F.size(blanks) > 0, words).alias("words"))
 
 
-def _words(snippet: Column, begin: Column) -> Column:
-    """Words of a snippet with their places; a break is one character, so places are sums of lengths."""
-    none = F.array().cast("array<struct<word:string,start:int,end:int,shape:string>>")
+def _distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.split(text, WORD_BREAK, -1), F.lower))
 
-    def step(state: Column, word: Column) -> Column:
-        end = state["at"] + F.length(word)
-        shape = (F.when(word.rlike(r"^\p{N}+$"), "NUMBER").when(word.rlike(r"^\p{Lu}"), "NAME").otherwise("TERM"))
-        item = F.struct(F.lower(word).alias("word"), state["at"].alias("start"), end.alias("end"),
-                        shape.alias("shape"))
-        return F.struct((end + 1).alias("at"), F.concat(state["out"], F.array(item)).alias("out"))
 
-    return F.aggregate(F.split(snippet, WORD_BREAK, -1),
-                       F.struct(begin.cast("int").alias("at"), none.alias("out")), step, lambda s: s["out"])
+def _shape(word: Column) -> Column:
+    return F.when(word.rlike(r"^\p{N}+$"), "NUMBER").when(word.rlike(r"^\p{Lu}"), "NAME").otherwise("TERM")
+
+
+def _words(snippet: Column) -> Column:
+    return F.transform(F.split(snippet, WORD_BREAK, -1), F.lower)
 
 
 def contexts(spans: DataFrame) -> DataFrame:
-    """One row per word near a span: doc, entity, context, term and its place."""
+    """One row per span: doc_id, text_hash, entity, context and the words in it."""
     one = spans.select("doc_id", "text_hash", F.explode("around").alias("s")).select(
         "doc_id", "text_hash", "s.*", F.xxhash64("s.left", "s.right").alias("context"))
-    left = _words(F.col("left"), F.col("start") - F.length("left"))
-    right = _words(F.col("right"), F.col("end"))
+    left, right = _words(F.col("left")), _words(F.col("right"))
     # Words that the snippet's border may cut are left out.
     left = F.when(F.col("cut_left"), F.slice(left, 2, 10_000)).otherwise(left)
     kept = F.when(F.col("cut_right"), F.slice(right, F.lit(1), F.greatest(F.size(right) - 1, F.lit(0)))).otherwise(right)
-    return (one.select("doc_id", "text_hash", "entity", "context", F.explode(F.concat(left, kept)).alias("w"))
-            .filter(F.length("w.word") >= 3)
-            .select("doc_id", "text_hash", "entity", "context", F.col("w.word").alias("term"),
-                    F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.col("w.shape").alias("shape")))
+    return one.select("doc_id", "text_hash", "entity", "context", F.array_distinct(F.concat(left, kept)).alias("near"))
 
 
-def disclosures(rows: DataFrame, near: DataFrame, support: int) -> DataFrame:
+def disclosures(rows: DataFrame, spans: DataFrame, support: int) -> DataFrame:
     """(entity, term, share) for pairs met in enough contexts; share of the entity's information."""
-    pairs = near.groupBy("entity", "term", "context", "doc_id", "text_hash").agg(F.lit(1).alias("one"))
-    met = (pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
-           .groupBy("entity", "term").agg(F.count("*").alias("n_contexts"), F.sum("docs").alias("both"))
-           .filter(F.col("n_contexts") >= support))
-    met = checkpointed(met)
-    entities = near.select("entity", "doc_id", "text_hash").distinct().groupBy("entity").agg(
-        F.count("*").alias("n_entity"))
-    words = F.array_distinct(F.split(F.lower("text"), WORD_BREAK, -1))
+    near = checkpointed(contexts(spans))
+    # No pair has more contexts than its entity.
+    often = near.select("entity", "context").distinct().groupBy("entity").count().filter(F.col("count") >= support)
+    near = checkpointed(near.join(often.select("entity"), "entity", "left_semi"))
+    document = ["doc_id", "text_hash"]
+    entities = near.groupBy("entity", *document).agg(F.min("context").alias("context"))
+    words = spans.filter(F.col("words").isNotNull()).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "words").dropDuplicates(["__id", "__hash"])
+    far = entities.join(words, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).select(
+        "entity", *document, F.explode("words").alias("term"), "context", F.lit(False).alias("is_near"))
+    close = near.select("entity", *document, F.explode("near").alias("term"), "context", F.lit(True).alias("is_near"))
+    met = far.unionByName(close.filter(F.length("term") >= 3)).groupBy("entity", "term", *document).agg(
+        F.collect_set(F.when(F.col("is_near"), F.col("context"))).alias("near"),
+        F.min(F.when(~F.col("is_near"), F.col("context"))).alias("context"))
+    met = met.select("entity", "term", *document, F.explode(
+        F.when(F.size("near") > 0, F.col("near")).otherwise(F.array("context"))).alias("context"),
+        F.when(F.size("near") > 0, 1 / F.size("near")).otherwise(1.0).alias("part"))
+    # The parts of a document add up to one.
+    met = checkpointed(met.groupBy("entity", "term", "context").agg(F.sum("part").alias("docs"))
+                       .groupBy("entity", "term").agg(F.count("*").alias("n_contexts"), F.round(F.sum("docs")).alias("both"))
+                       .filter(F.col("n_contexts") >= support))
+    n_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
     wanted = met.select("term").distinct()
-    terms = (rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-             .join(wanted, "term"))
+    terms = (rows.select(F.explode(_distinct_words(F.col("text"))).alias("term")).groupBy("term")
+             .agg(F.count("*").alias("n_term")).join(wanted, "term"))
     total = F.lit(float(max(1, rows.count())))
-    joined = met.join(entities, "entity").join(terms, "term")
+    joined = met.join(n_entity, "entity").join(terms, "term")
     own = -F.log(F.col("n_entity") / total)
     mutual = F.log(F.least(F.lit(1.0), F.col("both") / F.col("n_term")) / (F.col("n_entity") / total))
     return joined.select("entity", "term", F.when(own > 0, mutual / own).otherwise(0.0).alias("share"))
 
 
+def _places(text: Column, shares: Column, remove: float) -> Column:
+    """Array of (start, end, mark) of all words of a text that ``shares``, a map, has."""
+
+    def step(state: Column, word: Column) -> Column:
+        end = state["at"] + F.length(word)
+        share = F.element_at(shares, F.lower(word))
+        mark = F.when(share >= remove, "").otherwise(F.concat(F.lit("<"), _shape(word), F.lit(">")))
+        item = F.struct(state["at"].alias("start"), end.alias("end"), mark.alias("mark"))
+        # A break is one character, so places are sums of lengths.
+        return F.struct((end + 1).alias("at"),
+                        F.when(share.isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(item))).alias("out"))
+
+    none = F.array().cast("array<struct<start:int,end:int,mark:string>>")
+    return F.aggregate(F.split(text, WORD_BREAK, -1), F.struct(F.lit(0).alias("at"), none.alias("out")), step,
+                       lambda s: s["out"])
+
+
 def term_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                generalise: float = 0.8, remove: float = 0.95, support: int = 3) -> DataFrame:
-    """Per document with any: doc_id, text_hash, terms, an array of (start, end, mark)."""
-    near = checkpointed(contexts(spans))
-    strong = disclosures(_rows(docs, id_col, text_col), near, support).filter(F.col("share") >= generalise)
-    mark = F.when(F.col("share") >= remove, "").otherwise(F.concat(F.lit("<"), F.col("shape"), F.lit(">")))
-    # A term near several entities is marked once, removed if any of them asks for it.
-    placed = near.join(strong, ["entity", "term"]).groupBy("doc_id", "text_hash", "start", "end").agg(
-        F.min(mark).alias("mark"))
-    return placed.groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "mark"))).alias("terms"))
+    """Per document with any: doc_id, text_hash, terms, an array of (start, end, mark).
+
+    All words of all texts that disclose some entity, those inside base spans included.
+    """
+    rows = _rows(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    strong = disclosures(rows, spans, support).filter(F.col("share") >= generalise)
+    # A term of several entities is removed if any of them asks for it.
+    strong = checkpointed(strong.groupBy("term").agg(F.max("share").alias("share")))
+    # Every word of the corpus meets this table: where it is small, without being dealt.
+    if strong.count() <= MOST_BROADCAST:
+        strong = F.broadcast(strong)
+    hits = rows.select("doc_id", "text_hash", F.explode(_distinct_words(F.col("text"))).alias("term")).join(strong, "term")
+    hits = hits.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "term").agg(
+        F.max("share").alias("share")).groupBy("__id", "__hash").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares"))
+    placed = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
+    return placed.select("doc_id", "text_hash", _places(F.col("text"), F.col("shares"), remove).alias("terms")
+                         ).dropDuplicates(["doc_id", "text_hash"])
+
+
+def outside(terms: Column, base: Column) -> Column:
+    """The terms that overlap no base span."""
+    return F.filter(terms, lambda t: ~F.exists(base, lambda b: (t["start"] < b["end"]) & (t["end"] > b["start"])))
 
 
 def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -173,7 +218,7 @@ def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **optio
     spans = checkpointed(found(docs, id_col, text_col))
     terms = term_spans(docs, spans, id_col, text_col, **options)
     terms = terms.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "terms")
-    joined = spans.drop("around").join(
+    joined = spans.drop("around", "words").join(
         terms, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
 
     def written(kind: str, spans_of: Column) -> Column:
@@ -181,7 +226,7 @@ def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **optio
             ":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string")))
 
     base = F.concat(*[written(kind, F.col(kind)) for kind in KINDS])
-    extra = F.coalesce(written("term", F.col("terms")), F.array().cast("array<string>"))
+    extra = F.coalesce(written("term", outside(F.col("terms"), F.concat(*KINDS))), F.array().cast("array<string>"))
     return joined.select(
         "doc_id", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS],
         F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
@@ -211,14 +256,15 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     def marked(kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(s["start"], s["end"], F.lit(f"<{kind.upper()}>").alias("mark")))
 
-    any_base = sum((F.size(kind) for kind in KINDS), F.lit(0)) > 0
-    base = spans.filter(any_base).select(
+    base = spans.select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.concat(*map(marked, KINDS)).alias("__base")
     ).dropDuplicates(["__id", "__hash"])
     extra = terms.select(F.col("doc_id").alias("__id2"), F.col("text_hash").alias("__hash2"), F.col("terms").alias("__terms"))
     marks = base.join(extra, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__hash") == F.col("__hash2")), "left")
-    marks = marks.select("__id", "__hash", F.sort_array(F.concat(
-        "__base", F.coalesce("__terms", F.array().cast("array<struct<start:int,end:int,mark:string>>")))).alias("__marks"))
+    terms = F.coalesce(outside(F.col("__terms"), F.col("__base")),
+                       F.array().cast("array<struct<start:int,end:int,mark:string>>"))
+    marks = marks.select("__id", "__hash", F.sort_array(F.concat("__base", terms)).alias("__marks"))
+    marks = marks.filter(F.size("__marks") > 0)
     text = F.col(f"`{text_col}`")
     joined = docs.withColumn("__own", F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))).join(
         marks, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left")
