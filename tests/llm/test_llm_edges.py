@@ -3,8 +3,8 @@
 import pytest
 
 import corpus_pipeline
-from ticktide.llm import (fingerprints, langid, packing, pii, quality, sentencepiece, simhash, substring_dedup,
-                          token_counts, url_filter)
+from ticktide.llm import (alignment, byte_bpe, fingerprints, langid, packing, pii, quality, sentencepiece, simhash,
+                          substring_dedup, token_counts, url_filter)
 
 LONG = "alpha beta gamma delta " * 4000
 PROSE = " ".join(f"word{i} stands{i * 7 % 13} here{i * i % 101}" for i in range(60))
@@ -16,7 +16,7 @@ EXTRA = "n_words long, fp long, view int, text_hash long, key long, row string,
 OPERATORS = {
     "encode": sentencepiece.encode, "count": token_counts.token_counts, "substrings": substring_dedup.deduplicate,
     "quality": quality.quality, "pii": pii.pii, "language": langid.identify,
-    "fingerprints": fingerprints.edited_fingerprints, "simhash": simhash.near_duplicates,
+    "byte_bpe": byte_bpe.encode, "alignment": alignment.align, "fingerprints": fingerprints.edited_fingerprints, "simhash": simhash.near_duplicates,
 }
 
 

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticktide.llm import (fingerprints, langid, packing, pii, quality, sentencepiece, simhash, substring_dedup,
-                          token_counts, url_filter)
+from ticktide.llm import (alignment, byte_bpe, dialogue, fingerprints, langid, packing, pii, quality, sentencepiece,
+                          simhash, substring_dedup, token_counts, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,8 +63,25 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the bytes that come back from them, as digests."""
+    back = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                       F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_sentencepiece, op2_token_counts, op3_substring_dedup, op4_quality,
-    op5_pii, op6_language, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash)}
+    op5_pii, op6_language, op7_fingerprints, op8_url_filter, op9_packing, op10_simhash,
+    op11_byte_bpe, op12_alignment, op13_dialogue)}
 
 ORACLES: dict[str, str] = {"op8_url_filter": url_filter.judge_sql()}
