@@ -14,7 +14,7 @@ from ticktide.plans import oracle as o
 from ticktide.plans import views
 from ticktide.plans.registry import query
 
-ORDER_RANGE = ("1995-01-01", "2001-12-31")
+ORDER_RANGE = views.ORDER_RANGE
 LATER_RANGE = ("2018-01-01", "2024-12-31")
 EVENTS = S.EVENTS
 

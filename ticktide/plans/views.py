@@ -18,12 +18,13 @@ from ticktide.operators import equity, option
 from ticktide.session import use_utc
 from ticktide.sources import frames
 
-# Days around the timestamps of ``events`` and of ``orders``/``lineitem``.
+# Days of the calendars for ``events`` and ``orders``: the days that the tables may
+# have, and those around them that questions about a day may reach.
 EVENT_DAYS = ("2023-12-01", "2024-03-01")
+ORDER_RANGE = ("1995-01-01", "2001-12-31")
 ORDER_DAYS = ("1994-12-01", "2002-01-31")
 
 
-
 def within(day: Column, days: tuple[str, str]) -> Column:
     """A filter that keeps every row and fails on a day outside the range."""
     text = F.concat(F.lit("no calendar built for "), day.cast("string"))
@@ -39,6 +40,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def line_items(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """``lineitem`` dealt over the session's partitions.
+
+    Texts and decimals of a row cost far more than its bytes, so tasks are not cut
+    by bytes: a small file would be one task. Only the columns that are read move.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, "lineitem").select(*columns).repartition(parts, "l_orderkey", "l_linenumber")
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a stream. The path is a pattern because the file source
     wants a folder or a pattern, and the table may be one file or a folder."""
@@ -168,8 +179,8 @@ def option_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def option_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    lines = line_items(
+        spark, sf_dir, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     return option_items(lines, table(spark, sf_dir, "part"))
 
@@ -216,7 +227,7 @@ def order_calendar(spark: SparkSession, *names: str) -> lookup.DayTable:
 def order_dates(spark: SparkSession, sf_dir: str, years: int = 0) -> DataFrame:
     """Orders per date, dates optionally moved by whole years: (day, orders)."""
     day = F.col("o_orderdate").cast("date")
-    orders = table(spark, sf_dir, "orders").where(within(day, ORDER_DAYS))
+    orders = table(spark, sf_dir, "orders").where(within(day, ORDER_RANGE))
     if years:
         day = F.add_months(day, 12 * years)
     return (orders.groupBy(day.alias("day"))

@@ -50,16 +50,25 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    master without the setting falls back to a temporary folder of its own.
+    See `shared_root`; the path is not made.
+    """
+    return os.path.join(shared_root(spark), "ticktide", f"{purpose}-{uuid.uuid4().hex}")
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only where driver and executors are one process, and nothing is set, as in
+    tests, a temporary folder of this machine takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="ticktide-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, "ticktide", f"{purpose}-{uuid.uuid4().hex}")
+    return root
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
