@@ -19,11 +19,14 @@ are dealt.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ticktide.llm.tables import checkpointed
 
 REACH = 80
+AT_ONCE = 256              # parts of an array whose sums are taken together
 MOST_BROADCAST = 100_000   # terms sent to all tasks; more are joined by a shuffle
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -39,7 +42,7 @@ PATTERNS = {
 }
 # What every match contains; texts without it are not searched.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){12}[0-9]", "phone": r"\+[0-9]"}
-OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 WORD_BREAK = r"[^\p{L}\p{N}]"
 
 
@@ -57,6 +60,40 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, also where the body is evaluated for many elements."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _groups(items: Column) -> Column:
+    """An array cut into arrays of ``AT_ONCE``; an empty one has one empty group."""
+    return _let(items, lambda all_: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(all_) - 1, F.lit(0)), F.lit(AT_ONCE)),
+        lambda i: F.slice(all_, i + 1, F.lit(AT_ONCE))))
+
+
+def placed(parts: Column, item: Callable[[Column, Column], Column]) -> Column:
+    """``item(end, part)`` of every part of an array; ``end`` is the sum of the sizes up to it.
+
+    An array that grows by one is copied each time. So parts are taken ``AT_ONCE``
+    a time: sums of these groups first, then the sums inside each of them.
+    """
+    def ends(sizes: Column) -> Column:
+        """Running sums, a zero first."""
+        return F.aggregate(sizes, F.array(F.lit(0)), lambda sums, size: F.concat(
+            sums, F.array(F.element_at(sums, -1) + size)))
+
+    def group(g: Column, start: Column) -> Column:
+        own = F.slice(ends(F.transform(g, lambda p: p["size"])), 2, AT_ONCE)
+        return F.when(g.isNotNull(), F.zip_with(g, own, lambda p, end: item(start + end, p)))
+
+    def all_groups(groups: Column) -> Column:
+        starts = ends(F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda total, p: total + p["size"])))
+        return F.flatten(F.filter(F.zip_with(groups, starts, group), lambda g: g.isNotNull()))
+
+    return _let(_groups(parts), all_groups)
+
+
 def base_spans(text: Column, kind: str) -> Column:
     """Array of (start, end, value) in code points, in order."""
     pattern = F.lit(PATTERNS[kind])
@@ -66,14 +103,11 @@ def base_spans(text: Column, kind: str) -> Column:
         lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")))
     parts = F.filter(parts, lambda p: p["value"].isNotNull())
 
-    def step(state: Column, p: Column) -> Column:
-        start = state["at"] + p["gap"]
-        end = start + F.length(p["value"])
-        span = F.struct(start.alias("start"), end.alias("end"), p["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
-
+    parts = F.transform(parts, lambda p: F.struct(
+        (p["gap"] + F.length(p["value"])).alias("size"), F.length(p["value"]).alias("own"), p["value"].alias("value")))
     none = F.array().cast(SPAN)
-    spans = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+    spans = placed(parts, lambda end, p: F.struct(
+        (end - p["own"]).alias("start"), end.alias("end"), p["value"].alias("value")))
     held = F.filter(spans, lambda s: _holds(kind, s["value"]))
     return F.when(text.rlike(HINTS[kind]), held).otherwise(none)
 
@@ -90,14 +124,19 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         *[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS])
 
     def around(kind: str) -> Column:
-        return F.transform(kind, lambda s: F.struct(
+        # A group of spans cuts its part out of the text once; so no span walks the whole text.
+        parts = F.transform(F.filter(_groups(F.col(kind)), lambda g: F.size(g) > 0), lambda g: F.struct(
+            g.alias("spans"), F.greatest(g[0]["start"] - REACH, F.lit(0)).alias("at"), F.length("text").alias("n"),
+            F.substring(F.col("text"), F.greatest(g[0]["start"] - REACH, F.lit(0)) + 1,
+                        F.element_at(g, -1)["end"] - g[0]["start"] + 2 * REACH).alias("text")))
+        return F.flatten(F.transform(parts, lambda part: F.transform(part["spans"], lambda s: F.struct(
             F.concat(F.lit(f"{kind}:"), F.lower(s["value"])).alias("entity"),
             s["start"].alias("start"), s["end"].alias("end"),
-            F.substring(F.col("text"), F.greatest(F.lit(1), s["start"] - REACH + 1),
+            F.substring(part["text"], F.greatest(F.lit(0), s["start"] - REACH) - part["at"] + 1,
                         F.least(F.lit(REACH), s["start"])).alias("left"),
-            F.substring(F.col("text"), s["end"] + 1, F.lit(REACH)).alias("right"),
+            F.substring(part["text"], s["end"] - part["at"] + 1, F.lit(REACH)).alias("right"),
             (s["start"] > REACH).alias("cut_left"),
-            (s["end"] + REACH < F.length("text")).alias("cut_right")))
+            (s["end"] + REACH < part["n"]).alias("cut_right")))))
 
     blanks = F.sort_array(F.concat(*[F.transform(kind, lambda s: F.struct(
         s["start"], s["end"], F.lit(" ").alias("mark"))) for kind in KINDS]))
@@ -166,18 +205,15 @@ def disclosures(rows: DataFrame, spans: DataFrame, support: int) -> DataFrame:
 def _places(text: Column, shares: Column, remove: float) -> Column:
     """Array of (start, end, mark) of all words of a text that ``shares``, a map, has."""
 
-    def step(state: Column, word: Column) -> Column:
-        end = state["at"] + F.length(word)
-        share = F.element_at(shares, F.lower(word))
-        mark = F.when(share >= remove, "").otherwise(F.concat(F.lit("<"), _shape(word), F.lit(">")))
-        item = F.struct(state["at"].alias("start"), end.alias("end"), mark.alias("mark"))
+    def place(end: Column, p: Column) -> Column:
         # A break is one character, so places are sums of lengths.
-        return F.struct((end + 1).alias("at"),
-                        F.when(share.isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(item))).alias("out"))
+        word, share = p["word"], F.element_at(shares, F.lower(p["word"]))
+        mark = F.when(share >= remove, "").otherwise(F.concat(F.lit("<"), _shape(word), F.lit(">")))
+        return F.when(share.isNotNull(), F.struct(
+            (end - p["size"]).alias("start"), (end - 1).alias("end"), mark.alias("mark")))
 
-    none = F.array().cast("array<struct<start:int,end:int,mark:string>>")
-    return F.aggregate(F.split(text, WORD_BREAK, -1), F.struct(F.lit(0).alias("at"), none.alias("out")), step,
-                       lambda s: s["out"])
+    words = F.transform(F.split(text, WORD_BREAK, -1), lambda w: F.struct((F.length(w) + 1).alias("size"), w.alias("word")))
+    return F.filter(placed(words, place), lambda t: t.isNotNull())
 
 
 def term_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -235,17 +271,35 @@ def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **optio
 
 
 def sanitised_text(text: Column, marks: Column) -> Column:
-    """A text with its sorted (start, end, mark) replaced; what overlaps goes under the first mark."""
-    def step(state: Column, m: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(m["start"] - state["at"], F.lit(0)))
-        mark = F.when(m["start"] >= state["at"], m["mark"]).otherwise("")
-        return F.struct(F.greatest(state["at"], m["end"]).alias("at"),
-                        F.concat(state["out"], F.array(gap, mark)).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate(marks, start, step, lambda s: F.concat(
-        s["out"], F.array(F.substring(text, s["at"] + 1, F.length(text)))))
-    return F.array_join(done, "")
+    """A text with its sorted (start, end, mark) replaced; what overlaps goes under the first mark.
+
+    Marks are taken ``AT_ONCE`` a time, see `placed`: each group begins where the
+    marks before it have come to, and cuts its own part out of the text once.
+    """
+    def ends(groups: Column) -> Column:
+        """Where the marks of each group and those before it come to, a zero first."""
+        own = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda end, m: F.greatest(end, m["end"])))
+        return F.aggregate(own, F.array(F.lit(0)), lambda out, end: F.concat(
+            out, F.array(F.greatest(F.element_at(out, -1), end))))
+
+    def parts(groups: Column, reached: Column) -> Column:
+        return F.transform(groups, lambda g, i: F.struct(
+            g.alias("marks"), F.get(reached, i).alias("at"),
+            F.substring(text, F.get(reached, i) + 1, F.get(reached, i + 1) - F.get(reached, i)).alias("text")))
+
+    def replaced(part: Column) -> Column:
+        def step(state: Column, m: Column) -> Column:
+            gap = F.substring(part["text"], state["at"] - part["at"] + 1, F.greatest(m["start"] - state["at"], F.lit(0)))
+            mark = F.when(m["start"] >= state["at"], m["mark"]).otherwise("")
+            return F.struct(F.greatest(state["at"], m["end"]).alias("at"),
+                            F.concat(state["out"], F.array(gap, mark)).alias("out"))
+
+        start = F.struct(part["at"].alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(part["marks"], start, step, lambda s: F.array_join(s["out"], ""))
+
+    return _let(_groups(marks), lambda groups: _let(ends(groups), lambda reached: F.concat(
+        F.array_join(F.transform(parts(groups, reached), replaced), ""),
+        F.substring(text, F.element_at(reached, -1) + 1, F.length(text)))))
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
