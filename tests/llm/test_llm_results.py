@@ -3,6 +3,7 @@
 import hashlib
 import re
 import sys
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -235,6 +236,19 @@ PATTERNS = {  # the contract's own
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
+def test_repeats_alone_reject_in_a_tight_pool(spark):
+    """49 % repeated words and nothing else odd, among texts without any."""
+    def words(i, n):
+        return [f"w{(i * 7919 + k * 104729) % 9973:04d}" for k in range(n)]
+    rows = [(i, " ".join(words(i, 120)), "en", "s") for i in range(300)]
+    odd = words(900, 90)
+    rows.append((999, " ".join([*odd[:30], *odd[:29], *odd[30:90]]), "en", "s"))
+    got = {r["doc_id"]: r for r in quality.quality(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert 100 * got[999]["n_repeat_words"] / got[999]["n_words"] > 48 and not got[999]["base_failed"]
+    assert not got[999]["kept"] and all(got[i]["kept"] for i in range(300))
+
+
 def luhn(digits):
     doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
     return sum(v - 9 * (v > 9) for v in doubled) % 10 == 0
@@ -260,7 +274,9 @@ def test_pii(spark, sf_dir, texts):
 
 def test_pii_odd_texts(spark):
     draw = np.random.default_rng(7)
-    odd = ["".join(draw.choice(list("a@.-_+ 1234(é😀"), draw.integers(0, 60))) for _ in range(1500)]
+    odd = ["".join(draw.choice(list("a@.-_+ 01234(é😀"), draw.integers(0, 60))) for _ in range(1500)]
+    odd += ["see 10.0.0.1 now", "127.0.0.1", "0.0.0.0 000.1.1.1", "8.8.8.8, 256.0.0.1, 1.1.1.0255 00.00.00.00",
+            "x@1.2.3.4" + ".5.6.7.8" * 900 + " 4111 1111 1111 1111", "10.0.0.1 " * 1000]
     odd += ["1.2.3.4.5.6.7.8", "a@b.c-_x@d.e", "999.1.1.1 00255.1.2.3", "4111-1111 1111 1111", "1" * 50_000,
             "a" * 50_000 + "@", "a@b" + ".c" * 20_000]
     rows = pii.pii(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")).collect()
@@ -268,6 +284,35 @@ def test_pii_odd_texts(spark):
         assert r["base_sha256"] == sha(",".join(base_pii(odd[r["doc_id"]]))), odd[r["doc_id"]][:80]
 
 
+def test_pii_of_a_very_long_list(spark):
+    """Some 32,000 addresses in one text; replaced in order, in time that grows with the text."""
+    text = " ".join(f"10.0.{i % 256}.{i // 256 % 256} x{i}" for i in range(32_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = docs.select(pii.base_spans(docs["text"], "ip").alias("s"))
+    began = time.perf_counter()
+    got = spans.first()["s"]
+    assert time.perf_counter() - began < 20
+    assert [(s["start"], s["end"]) for s in got] == [m.span() for m in re.finditer(r"10\.[0-9.]+", text)]
+    assert pii.sanitise(docs).first()["text"] == re.sub(r"10\.[0-9.]+", "<IP>", text)
+
+
+def test_overlapping_marks(spark):
+    """The first mark covers what overlaps it, however many marks lie below one."""
+    rng, rows = np.random.default_rng(3), []
+    for i in range(20):
+        text = "".join(rng.choice(list("abcdé😀 "), 3000))
+        marks = sorted({(int(a), int(a + rng.integers(1, 4)), f"<{a}>") for a in rng.integers(0, 2990, 700)}
+                       | {(40, 1900, "<long>")} if i % 2 else {(5, 6, "")})
+        rows.append((text, marks))
+    df = spark.createDataFrame(rows, "text string, marks array<struct<start:int,end:int,mark:string>>")
+    for (text, marks), got in zip(rows, df.select("text", pii.sanitised_text(df["text"], df["marks"])).collect()):
+        out, at = [], 0
+        for start, end, mark in marks:
+            out.append(text[at:max(at, start)] + (mark if start >= at else ""))
+            at = max(at, end)
+        assert got[1] == "".join(out) + text[at:]
+
+
 def test_terms_that_disclose_are_marked(spark):
     """A rare word met only beside one address, in different texts, gives it away; common words do not."""
     rows = [(i, f"text {i} says Zorblax wrote from zor@blax.example today about item{i}") for i in range(6)]

@@ -110,9 +110,20 @@ def _firsts(pieces: DataFrame) -> DataFrame:
                          F.expr(f"CAST((place - pmod(place, {SHIFT})) / {SHIFT} AS long)").alias("first"))
 
 
+def _with_firsts(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``rows`` with the first document of their digest.
+
+    A line in a third of all texts is one digest. Joined by another form of the
+    digest than the one they were summed by, the first documents get a shuffle of
+    their own, and then Spark may split a hot partition of ``rows``.
+    """
+    other = firsts.withColumn("form", F.bitwise_not("digest")).drop("digest")
+    return rows.withColumn("form", F.bitwise_not("digest")).join(other, "form").drop("form")
+
+
 def shared_chunks(pieces: DataFrame) -> DataFrame:
     """The chunks that several documents have, with first, first_start and last."""
-    return pieces.join(_firsts(pieces).filter(F.col("first") < F.col("last")), "digest")
+    return _with_firsts(pieces, _firsts(pieces).filter(F.col("first") < F.col("last")))
 
 
 def candidates(shared: DataFrame, least_bytes: int = 48) -> DataFrame:
@@ -189,7 +200,7 @@ def windows(dealt: DataFrame, shared: DataFrame, grouped: DataFrame, least_words
 
 def window_candidates(queries: DataFrame, sources: DataFrame) -> DataFrame:
     """As `candidates`, from windows: those of one shift may leave gaps, which the comparison sees."""
-    later = queries.join(_firsts(sources).drop("last"), "digest")
+    later = _with_firsts(queries, _firsts(sources).drop("last"))
     return later.filter(F.col("doc_id") > F.col("first")).groupBy(
         "doc_id", "first", (F.col("first_start") - F.col("start")).alias("shift")).agg(
         F.min("start").alias("low"), F.max(F.col("start") + F.col("size")).alias("high"))

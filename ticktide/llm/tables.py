@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ticktide.session import shared_root
 
 ROWS_AT_ONCE = 256
 
@@ -16,19 +17,11 @@ ROWS_AT_ONCE = 256
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder.
 
-    The cluster names the folder in ``spark.checkpoint.dir``. Where nothing is
-    set, as in local tests, a folder of this machine is used; on a cluster that
-    would lose data, so it is an error there.
+    The session's `shared_root` names the folder.
     """
-    spark: SparkSession = df.sparkSession
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        if folder is None:
-            if not context.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="ticktide-llm-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
 
 
