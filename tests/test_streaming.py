@@ -1,10 +1,13 @@
 """Streams give the batch result; late rows are dropped and counted."""
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from ticktide.operators import tables
 from ticktide.session import shared_folder
-from ticktide.streaming import jobs
+from ticktide.streaming import commits, jobs
 
 DDL = "symbol string, timestamp bigint, sequence int, price double, qty int"
 
@@ -51,14 +54,50 @@ def test_replayed_files_change_nothing(spark):
 
 def test_compacted_table_survives_a_repeated_batch(spark):
     path = shared_folder(spark, "compact")
-    handle = jobs.compacted_table(path, ["symbol"], "sequence")
+    handle = commits.compacted_table(path, ["symbol"], "sequence")
     first = trades(spark, [("A", 1, 1, 1.0, 1), ("B", 1, 2, 1.0, 1)])
     second = trades(spark, [("A", 2, 3, 1.0, 9)])
-    handle(first, 0), handle(second, 1), handle(second, 1)
-    table = {r.symbol: r.qty for r in jobs.generation(spark, path, 1).collect()}
+    handle(first, 0), handle(second, 1), handle(second, 1), handle(first, 0)
+    table = {r.symbol: r.qty for r in commits.compacted(spark, path, first.schema).collect()}
     assert table == {"A": 9, "B": 1}
 
 
+def test_compaction_rewrites_touched_buckets(spark):
+    """Files of other buckets stay as they are; what no commit names any more goes."""
+    path = shared_folder(spark, "buckets")
+    handle = commits.compacted_table(path, ["symbol"], "sequence", buckets=16)
+    log = commits.CommitLog(spark, path)
+    expected = {}
+    for batch_id in range(6):
+        rows = [(f"S{i}", 1, 1000 * batch_id + i, 1.0, batch_id) for i in (range(200) if batch_id == 0 else [batch_id, 77])]
+        expected |= {r[0]: r[4] for r in rows}
+        handle(trades(spark, rows), batch_id)
+        assert log.read(batch_id)["rewritten"] == 16 if batch_id == 0 else log.read(batch_id)["rewritten"] <= 2
+    schema = trades(spark, []).schema
+    assert {r.symbol: r.qty for r in commits.compacted(spark, path, schema).collect()} == expected
+    folders = {(int(p.parent.name[6:]), int(p.name[7:])) for p in Path(path, "data").glob("batch=*/bucket=*")}
+    named = {(b, int(k)) for d in (4, 5) for k, b in log.read(d)["buckets"].items()}
+    assert named == folders
+
+
+def test_a_batch_that_fails_before_its_commit_is_not_seen(spark, monkeypatch):
+    path = shared_folder(spark, "commits")
+    for handle, read in ((commits.committed_folder(f"{path}/a"), lambda s: commits.committed(spark, f"{path}/a", s)),
+                         (commits.compacted_table(f"{path}/b", ["sequence"], "timestamp", buckets=4),
+                          lambda s: commits.compacted(spark, f"{path}/b", s))):
+        batches = [trades(spark, [("A", 1, 10 * b + i, 1.0, 1) for i in range(10)]) for b in range(3)]
+        schema = batches[0].schema
+        assert read(schema).count() == 0
+        handle(batches[0], 0)
+        with monkeypatch.context() as m:
+            m.setattr(commits.CommitLog, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                handle(batches[1], 1)
+        assert read(schema).count() == 10  # neither half a batch nor the whole one
+        handle(batches[1], 1), handle(batches[1], 1), handle(batches[2], 2)
+        assert read(schema).count() == read(schema).select("sequence").distinct().count() == 30
+
+
 def test_idempotent_folder_overwrites_its_own_batch(spark):
     path = shared_folder(spark, "idempotent")
     handle = jobs.idempotent_folder(path)

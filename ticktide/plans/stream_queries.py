@@ -11,7 +11,7 @@ from ticktide.plans import oracle as o
 from ticktide.plans.registry import query
 from ticktide.session import shared_folder
 from ticktide.sources.landing import book_records
-from ticktide.streaming import jobs
+from ticktide.streaming import commits, jobs
 
 DELAY_US = 600_000_000
 
@@ -141,22 +141,22 @@ def late_trades(spark, sf_dir):
 
 @query("x03_idempotent_batches", o.EQUITY + "SELECT symbol, count(*) AS trades FROM eqv GROUP BY symbol")
 def idempotent_batches(spark, sf_dir):
+    """Every batch counts once, from its commit on."""
     root = shared_folder(spark, "batches")
     stream = trade_stream(spark, sf_dir)
-    jobs.write_batches(stream, jobs.idempotent_folder(f"{root}/data"), f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/data").groupBy("symbol").agg(F.count("*").alias("trades"))
+    jobs.write_batches(stream, commits.committed_folder(f"{root}/table"), f"{root}/checkpoint").awaitTermination()
+    return commits.committed(spark, f"{root}/table", stream.schema).groupBy("symbol").agg(F.count("*").alias("trades"))
 
 
 @query("x10_streamed_compaction", """
 SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id""")
 def streamed_compaction(spark, sf_dir):
+    """A batch rewrites the key buckets that it touches."""
     root = shared_folder(spark, "compaction")
     stream = views.event_stream(spark, sf_dir).select("user_id", "event_id", "event_type")
-    sink = jobs.compacted_table(f"{root}/table", ["user_id"], "event_id")
-    done = jobs.write_batches(stream, sink, f"{root}/checkpoint")
-    done.awaitTermination()
-    return jobs.generation(spark, f"{root}/table", jobs.last_batch(done)).select(
-        "user_id", "event_id", "event_type")
+    sink = commits.compacted_table(f"{root}/table", ["user_id"], "event_id", buckets=8)
+    jobs.write_batches(stream, sink, f"{root}/checkpoint").awaitTermination()
+    return commits.compacted(spark, f"{root}/table", stream.schema)
 
 
 @query("a12_x09_batch_statistics", o.EQUITY + """

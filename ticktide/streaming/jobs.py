@@ -70,32 +70,6 @@ def idempotent_folder(path: str, fmt: str = "parquet") -> Callable[[DataFrame, i
     return handle
 
 
-def compacted_table(path: str, keys: list[str], version: str) -> Callable[[DataFrame, int], None]:
-    """Keep the latest row per key of a stream: every batch writes a new
-    generation from the previous one and itself. Re-running a batch reads the
-    same previous generation and writes the same result. The cost of a batch is
-    one pass over the table of keys, so batches should be large."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        latest = tables.latest_per_key(batch, keys, version)
-        if batch_id > 0:
-            before = generation(batch.sparkSession, path, batch_id - 1)
-            latest = tables.latest_per_key(before.unionByName(latest), keys, version)
-        latest.write.mode("overwrite").parquet(f"{path}/generation={batch_id}")
-
-    return handle
-
-
-def generation(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """One generation of a compacted table; only its own files are read."""
-    return spark.read.parquet(f"{path}/generation={batch_id}")
-
-
-def last_batch(done: StreamingQuery) -> int:
-    """Id of the last batch with input of a finished query."""
-    return max(p["batchId"] for p in done.recentProgress if p["numInputRows"] > 0)
-
-
 def watermark(done: StreamingQuery) -> str:
     """The last watermark that a finished query reported."""
     return max(p["eventTime"]["watermark"] for p in done.recentProgress if "watermark" in p["eventTime"])
