@@ -49,6 +49,61 @@ def test_asof_matches_brute_force_with_a_hot_key(spark, limit):
     assert len(got) == len(left)
 
 
+def test_asof_cuts_cells_that_the_right_side_crowds(spark):
+    """Few left rows and very many right rows in one cell: no group of the last window holds over an eighth."""
+    right = [(0, t, f"v{t}") for t in range(4000)]
+    rdf = spark.createDataFrame(right, "k int, rt bigint, v string")
+    ldf = spark.createDataFrame([(i, 0, i * 401) for i in range(10)], "id int, k int, lt bigint")
+    joined = lookups.asof_backward(ldf, rdf, ["k"], "lt", "rt", ["v"], 10_000, 300)
+    assert {(r.id, r.matched_ts) for r in joined.collect()} == {(i, i * 401) for i in range(10)}
+    sizes = {}
+    plan = lookups.asof_backward(ldf, rdf, ["k"], "lt", "rt", ["v"], 10_000, 300, seen=sizes)
+    plan.count()
+    groups = [r["count"] for r in sizes["rows"].groupBy("k", "_cell", "_group").count().collect()]
+    assert max(groups) <= 4000 / 8 and sum(groups) >= 4010
+
+
+@pytest.mark.parametrize("cell_us", [1_000_000, 7_000_000, 3_600_000_000])
+def test_gap_bars_match_brute_force(spark, cell_us):
+    rng = random.Random(5)
+    rows = []
+    for symbol, n in (("HOT", 400), ("B", 60), ("C", 1)):
+        at = -20_000
+        for i in range(n):
+            at += rng.choice([0, 500, 1000, 1999, 2000, 2001, 9000])
+            rows.append((symbol, at, i, float(rng.randrange(50)), rng.randrange(9)))
+    df = spark.createDataFrame(rows, "symbol string, timestamp bigint, sequence int, price double, qty int").withColumn(
+        "ts", F.timestamp_millis("timestamp"))
+    got = sorted((r.symbol, round(r.bar_start.timestamp() * 1000), round(r.bar_end.timestamp() * 1000), r.open, r.high,
+                  r.low, r.price, r.volume, r.trades)
+                 for r in bars.gap_bars(df, "2 seconds", cell_us=cell_us).collect())
+    want = []
+    for symbol in ("HOT", "B", "C"):
+        own = [r for r in rows if r[0] == symbol]
+        groups = [[own[0]]]
+        for r in own[1:]:
+            groups.append([r]) if r[1] - groups[-1][-1][1] >= 2000 else groups[-1].append(r)
+        want += [(symbol, g[0][1], g[-1][1] + 2000, g[0][3], max(r[3] for r in g), min(r[3] for r in g), g[-1][3],
+                  sum(r[4] for r in g), len(g)) for g in groups]
+    assert got == sorted(want)
+
+
+def test_orders_outside_the_calendar_are_an_error(spark, tmp_path):
+    from ticktide import plans
+    orders = spark.createDataFrame([(1, "1995-01-04"), (2, "2001-12-05")], "o_orderkey bigint, day string")
+    for extra in ([], ["1994-12-15"], ["2002-01-15"]):
+        rows = orders.unionByName(spark.createDataFrame([(9, d) for d in extra], "o_orderkey bigint, day string"))
+        folder = str(tmp_path / "-".join(["orders", *extra]))
+        rows.select("o_orderkey", F.col("day").cast("timestamp_ntz").alias("o_orderdate")).write.parquet(f"{folder}/orders.parquet")
+        for name in ("c06_schedule", "c03_valid_days"):
+            query = plans.queries()[name](spark, folder)
+            if extra:
+                with pytest.raises(Exception, match="no calendar built"):
+                    query.collect()
+            else:
+                assert query.count() == 2
+
+
 def raw_trade(**changes):
     level = {"bid_px": 1_930_000_000, "ask_px": 1_960_000_000, "bid_sz": 200, "ask_sz": 200, "bid_ct": 0, "ask_ct": 0}
     level.update({k: changes.pop(k) for k in list(changes) if k in level})

@@ -11,6 +11,8 @@ from ticktide.functions import times
 
 # Feed sequences are unsigned 32-bit numbers: one more than the highest.
 SEQUENCES = 1 << 32
+# Cells of bars by gap: six hours.
+CELL_US = 6 * 3_600_000_000
 
 
 def arrival_order(ts: str = "timestamp", sequence: str = "sequence") -> Column:
@@ -64,9 +66,44 @@ def sliding_bars(trades: DataFrame, width: str, slide: str, symbol: str = "symbo
 
 
 def gap_bars(trades: DataFrame, gap: str, symbol: str = "symbol", instant: str = "ts",
-             order: Column | None = None) -> DataFrame:
-    """Bars that end after a pause of ``gap`` without trades."""
-    return _windowed(trades, F.session_window(instant, gap), symbol, order)
+             order: Column | None = None, cell_us: int = CELL_US) -> DataFrame:
+    """Bars that end after a pause of ``gap`` without trades.
+
+    A stream has session windows, which are merged in each task before they move.
+    In batch a symbol is cut into time cells, so that a hot one is spread over as
+    many tasks as it has cells. Trades of a cell make fragments; only the first
+    and the last one of a cell can go on in another, so bars are put together
+    from two rows a cell at most.
+    """
+    order = order if order is not None else arrival_order()
+    if trades.isStreaming:
+        return _windowed(trades, F.session_window(instant, gap), symbol, order)
+    pause = F.expr(f"INTERVAL {gap}")
+    cell = times.floor_div(F.unix_micros(instant), cell_us)
+    rows = trades.select(F.col(symbol).alias("symbol"), cell.alias("_cell"), F.col(instant).alias("_at"),
+                         order.alias("_order"), "price", "qty")
+    in_cell = Window.partitionBy("symbol", "_cell").orderBy("_at")
+    last = F.lag("_at").over(in_cell)
+    fresh = F.when(F.col("_at") < last + pause, 0).otherwise(1)
+    rows = rows.withColumn("_fresh", fresh).withColumn("_part", F.sum("_fresh").over(
+        in_cell.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    parts = rows.groupBy("symbol", "_cell", "_part").agg(
+        F.min("_at").alias("_from"), F.max("_at").alias("_to"), F.min("_order").alias("_low"), F.max("_order").alias("_high"),
+        F.min_by("price", "_order").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+        F.max_by("price", "_order").alias("price"), F.sum("qty").alias("volume"), F.count("*").alias("trades"))
+    parts = parts.withColumn("_parts", F.max("_part").over(Window.partitionBy("symbol", "_cell")))
+    edge = (F.col("_part") == 1) | (F.col("_part") == F.col("_parts"))
+    shown = ["symbol", F.col("_from").alias("bar_start"), (F.col("_to") + pause).alias("bar_end"),
+             "open", "high", "low", "price", "volume", "trades"]
+    by_symbol = Window.partitionBy("symbol").orderBy("_from")
+    joins = F.col("_from") < F.lag("_to").over(by_symbol) + pause
+    edges = parts.where(edge).withColumn("_fresh", F.when(joins, 0).otherwise(1)).withColumn(
+        "_bar", F.sum("_fresh").over(by_symbol.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    joined = edges.groupBy("symbol", "_bar").agg(
+        F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.min_by("open", "_low").alias("open"),
+        F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("price", "_high").alias("price"),
+        F.sum("volume").alias("volume"), F.sum("trades").alias("trades"))
+    return parts.where(~edge).select(*shown).unionByName(joined.select(*shown))
 
 
 def tumbling_bars(trades: DataFrame, width: str, symbol: str = "symbol", instant: str = "ts",

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ticktide.functions import times
 from ticktide.session import BROADCAST_LIMIT_BYTES, estimated_bytes
 
 SALTS = 32
+FINEST = 100_000  # most parts of a crowded cell of an as-of join
 
 
 def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
@@ -42,24 +44,26 @@ def last_id_by_symbol(providers: DataFrame) -> DataFrame:
 
 def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str,
                   values: list[str], bucket: int, limit: int = 4_000_000,
-                  right_ties: list[str] | None = None) -> DataFrame:
+                  right_ties: list[str] | None = None, seen: dict[str, DataFrame] | None = None) -> DataFrame:
     """For each left row the latest right row with the same key at or before it.
 
     Both sides are cut into (key, time bucket) cells, so a hot key is shared by
     as many tasks as it has buckets. The value a cell starts with is carried in
     from the latest earlier cell of the key that has a right row; that step
-    works on one row per key and cell. A cell with more than ``limit`` left rows
-    is split further: its left rows are spread over several groups, each with
-    its own copy of the cell's right rows.
+    works on one row per key and cell. A cell with more than ``limit`` rows, left
+    and right together, is cut into finer cells by time, each with a carry of its
+    own. Where more than ``limit`` left rows still meet, all at one moment, they
+    are spread over several groups, each with its own copy of the right rows.
 
     Of right rows with equal times the one with the highest ``right_ties`` counts,
     then that with the highest ``values``.
 
+    ``seen`` gets, as "rows", what the last window orders, to look at its groups.
     ``bucket`` is in units of the (integer) time columns. Columns ``values`` come
     from the right; ``matched_ts`` is the right row's time.
     """
     cell_key = [*by, "_cell"]
-    cell = lambda ts: F.call_function("div", F.col(ts), F.lit(bucket).cast("bigint"))
+    cell = lambda ts: times.floor_div(F.col(ts), bucket)
     ties = [F.col(c).alias(f"_tie_{c}") for c in right_ties or []]
     payload = F.struct(F.col(right_ts).alias("matched_ts"), *ties, *values)
     rows = left.select(*by, cell(left_ts).alias("_cell"), F.col(left_ts).alias("_ts"),
@@ -67,6 +71,19 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str
     points = right.select(*by, cell(right_ts).alias("_cell"), F.col(right_ts).alias("_ts"),
                           F.lit(0).alias("_rank"), payload.alias("_right"))
 
+    # Crowded cells are few: at most the number of rows over the limit.
+    sizes = rows.select(*cell_key).unionByName(points.select(*cell_key)).groupBy(*cell_key).agg(F.count("*").alias("_n"))
+    crowded = sizes.where(F.col("_n") > limit).select(
+        *cell_key, F.least(F.ceil(F.col("_n") * 2 / F.lit(limit)), F.lit(FINEST)).cast("bigint").alias("_parts"))
+
+    def finer(side: DataFrame) -> DataFrame:
+        """Cell numbers with room for ``FINEST`` parts each, in the order of time."""
+        inside = (F.col("_ts") - F.col("_cell") * bucket) * F.coalesce("_parts", F.lit(1).cast("bigint"))
+        return lookup(side, crowded, cell_key).withColumn(
+            "_cell", F.col("_cell") * FINEST + times.floor_div(inside, bucket)).drop("_parts")
+
+    rows, points = finer(rows), finer(points)
+
     # Last right row of every cell, then the last one of any earlier cell.
     closing = points.groupBy(*cell_key).agg(F.max("_right").alias("_closing"))
     cells = rows.groupBy(*cell_key).agg(F.count("*").alias("_n")).select(
@@ -78,7 +95,6 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str
               .select(*cell_key, F.col("_right.matched_ts").alias("_ts"), F.lit(1).alias("_rank"),
                       "_right"))
 
-    # Crowded cells are few: at most the number of left rows over the limit.
     crowded = cells.where(F.col("_groups") > 1)
     groups = F.coalesce("_groups", F.lit(1))
     known = points.unionByName(starts)
@@ -89,10 +105,13 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str
 
     # A carried row is older than anything in its cell, so time order places it first.
     order = Window.partitionBy(*cell_key, "_group").orderBy("_ts", "_rank", "_right")
-    seen = copies.unionByName(dealt, allowMissingColumns=True).withColumn(
+    met = copies.unionByName(dealt, allowMissingColumns=True)
+    if seen is not None:
+        seen["rows"] = met
+    matched = met.withColumn(
         "_match", F.last("_right", ignorenulls=True).over(
             order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return seen.where(F.col("_rank") == 2).select(
+    return matched.where(F.col("_rank") == 2).select(
         "_left.*", *[F.col(f"_match.{v}").alias(v) for v in values],
         F.col("_match.matched_ts").alias("matched_ts"))
 
