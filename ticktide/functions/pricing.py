@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 RISK_FREE_RATE = 0.05
 
@@ -34,13 +34,26 @@ def normal_cdf(x: Column) -> Column:
         tail = size + F.lit(float(k)) / tail
     far = bell / tail / F.lit(2.506628274631)
     upper = F.when(size > 37, F.lit(0.0)).when(size < _HART_LIMIT, near).otherwise(far)
-    return F.when(x > 0, F.lit(1.0) - upper).otherwise(upper)
+    # Written so that the polynomials occur once.
+    return F.when(x > 0, F.lit(1.0)).otherwise(F.lit(0.0)) + F.when(x > 0, F.lit(-1.0)).otherwise(F.lit(1.0)) * upper
 
 
 def normal_pdf(x: Column) -> Column:
     return F.exp(-x * x / 2) / F.lit(math.sqrt(2 * math.pi))
 
 
+def with_d1_d2(contracts: DataFrame, spot: Column, strike: Column, years: Column, sigma: Column) -> DataFrame:
+    """Adds the arguments ``d1`` and ``d2`` of the distribution function, as columns.
+
+    Prices mention them dozens of times. As columns of their own they are computed
+    once a row: the optimizer merges no projection whose costly columns are used
+    several times. Hand them to `black_76` and `greeks` as ``d``.
+    """
+    d1, _ = _d1_d2(spot, strike, years, sigma)
+    return contracts.withColumns({"d1": d1}).withColumns(
+        {"d2": F.col("d1") - sigma * F.sqrt(years)})
+
+
 def _d1_d2(spot: Column, strike: Column, years: Column, sigma: Column) -> tuple[Column, Column]:
     # Zero or negative inputs give null instead of an arithmetic error.
     ok = (spot > 0) & (strike > 0) & (years > 0) & (sigma > 0)
@@ -51,19 +64,19 @@ def _d1_d2(spot: Column, strike: Column, years: Column, sigma: Column) -> tuple[
 
 
 def black_76(spot: Column, strike: Column, years: Column, sigma: Column, is_call: Column,
-             rate: float = RISK_FREE_RATE) -> Column:
-    d1, d2 = _d1_d2(spot, strike, years, sigma)
+             rate: float = RISK_FREE_RATE, d: tuple[Column, Column] | None = None) -> Column:
+    d1, d2 = d or _d1_d2(spot, strike, years, sigma)
     sign = F.when(is_call, F.lit(1.0)).otherwise(F.lit(-1.0))
     forward = spot * normal_cdf(sign * d1) - strike * normal_cdf(sign * d2)
     return F.exp(years * F.lit(-rate)) * sign * forward
 
 
 def greeks(spot: Column, strike: Column, years: Column, sigma: Column, is_call: Column,
-           rate: float = RISK_FREE_RATE) -> dict[str, Column]:
+           rate: float = RISK_FREE_RATE, d: tuple[Column, Column] | None = None) -> dict[str, Column]:
     """Derivatives of ``black_76``: per unit of spot, volatility, year and rate."""
-    d1, _ = _d1_d2(spot, strike, years, sigma)
+    d1, _ = d = d or _d1_d2(spot, strike, years, sigma)
     discount = F.exp(years * F.lit(-rate))
-    price = black_76(spot, strike, years, sigma, is_call, rate)
+    price = black_76(spot, strike, years, sigma, is_call, rate, d)
     density = discount * normal_pdf(d1)
     return {
         "delta": F.when(is_call, discount * normal_cdf(d1)).otherwise(-discount * normal_cdf(-d1)),

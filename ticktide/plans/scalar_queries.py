@@ -171,10 +171,18 @@ def _model():
     return [F.col(c) for c in ("s", "k", "t", "v", "call")]
 
 
+def _with_d(spark, sf_dir):
+    return pricing.with_d1_d2(contracts(spark, sf_dir), *_model()[:4])
+
+
+def _d():
+    return F.col("d1"), F.col("d2")
+
+
 @query("d10_black_76", o.OPTION + CONTRACTS + "SELECT id, round(price, 6) AS price FROM p")
 def black_76(spark, sf_dir):
-    return contracts(spark, sf_dir).select(
-        "id", F.round(pricing.black_76(*_model()), 6).alias("price"))
+    return _with_d(spark, sf_dir).select(
+        "id", F.round(pricing.black_76(*_model(), d=_d()), 6).alias("price"))
 
 
 @query("d11_greeks", o.OPTION + CONTRACTS + """
@@ -183,8 +191,8 @@ SELECT id, round(CASE WHEN call THEN exp(-0.05 * t) * """ + _cdf("d1") + " ELSE
   round(density / (s * v * sqrt(t)), 6) AS gamma, round(s * density * sqrt(t), 6) AS vega,
   round(0.05 * price - s * density * v / (2 * sqrt(t)), 6) AS theta, round(-t * price, 6) AS rho FROM p""")
 def greeks(spark, sf_dir):
-    columns = pricing.greeks(*_model())
-    return contracts(spark, sf_dir).select(
+    columns = pricing.greeks(*_model(), d=_d())
+    return _with_d(spark, sf_dir).select(
         "id", *[F.round(c, 6).alias(n) for n, c in columns.items()])
 
 
@@ -192,7 +200,7 @@ def greeks(spark, sf_dir):
 SELECT id, round(v, 4) AS sigma FROM c""")
 def implied_volatility(spark, sf_dir):
     """The volatility that a model price implies is the one it was made with."""
-    priced = contracts(spark, sf_dir).withColumn("price", pricing.black_76(*_model()))
+    priced = _with_d(spark, sf_dir).withColumn("price", pricing.black_76(*_model(), d=_d()))
     sigma = pricing.implied_volatility(F.col("price"), F.col("s"), F.col("k"), F.col("t"), F.col("call"))
     return priced.select("id", F.round(sigma, 4).alias("sigma"))
 
