@@ -153,8 +153,8 @@ def test_black_76_greeks_and_implied_volatility(spark):
     df = spark.createDataFrame(rows, "s double, k double, t double, v double, call boolean")
     model = [c(n) for n in ("s", "k", "t", "v", "call")]
     price = pricing.black_76(*model)
-    out = df.select("*", price.alias("p"), *[g.alias(n) for n, g in pricing.greeks(*model).items()]).withColumn(
-        "iv", pricing.implied_volatility(c("p"), c("s"), c("k"), c("t"), c("call"))).collect()
+    priced = df.select("*", price.alias("p"), *[g.alias(n) for n, g in pricing.greeks(*model).items()])
+    out = pricing.with_implied_volatility(priced, c("p"), c("s"), c("k"), c("t"), c("call"), "iv").collect()
     h = 1e-5
     for r in out:
         a = (r.s, r.k, r.t, r.v, r.call)
@@ -167,6 +167,30 @@ def test_black_76_greeks_and_implied_volatility(spark):
             assert r.iv == pytest.approx(r.v, abs=1e-6)
 
 
+def test_implied_volatility_over_the_whole_range(spark):
+    """Every volatility that a price can tell is found again, without Python workers."""
+    rows = [(100.0, 100.0 * math.exp(m), t, v, call) for m in (-1.5, -0.4, -0.02, 0.0, 1e-9, 0.1, 0.7, 2.0)
+            for t in (0.003, 0.1, 1.0, 4.0) for v in (0.02, 0.08, 0.3, 1.0, 2.5, 4.9) for call in (True, False)]
+    df = spark.createDataFrame(rows, "s double, k double, t double, v double, call boolean")
+    model = [c(n) for n in ("s", "k", "t", "v", "call")]
+    priced = df.withColumn("p", pricing.black_76(*model)).withColumn("vega", pricing.greeks(*model)["vega"])
+    solved = pricing.with_implied_volatility(priced, c("p"), c("s"), c("k"), c("t"), c("call"))
+    assert "Python" not in solved._jdf.queryExecution().executedPlan().toString()
+    told = [r for r in solved.collect() if r.vega > 1e-4 and r.v * math.sqrt(r.t) < 6]
+    assert len(told) > 200
+    for r in told:
+        assert r.sigma == pytest.approx(r.v, abs=1e-9 / min(r.vega, 1)), r
+
+
+def test_implied_volatility_without_an_answer_is_null(spark):
+    rows = [(5.0, 100.0, 100.0, 0.0, True), (0.0, 100.0, 100.0, 1.0, True), (-1.0, 100.0, 100.0, 1.0, True),
+            (101.0, 100.0, 100.0, 1.0, True), (9.0, 110.0, 100.0, 1.0, True), (None, 100.0, 100.0, 1.0, True),
+            (5.0, 100.0, -1.0, 1.0, False), (1e-12, 100.0, 100.0, 1.0, True), (99.9999, 100.0, 100.0, 1.0, True)]
+    df = spark.createDataFrame(rows, "p double, s double, k double, t double, call boolean")
+    solved = pricing.with_implied_volatility(df, c("p"), c("s"), c("k"), c("t"), c("call"), rate=0.0)
+    assert [r.sigma for r in solved.collect()] == [None] * len(rows)
+
+
 def test_black_76_without_time_or_volatility_is_null(one):
     row = one("t double, v double", (0.0, 0.2), a=pricing.black_76(
         F.lit(1.0), F.lit(1.0), c("t"), c("v"), F.lit(True)))

@@ -201,8 +201,8 @@ SELECT id, round(v, 4) AS sigma FROM c""")
 def implied_volatility(spark, sf_dir):
     """The volatility that a model price implies is the one it was made with."""
     priced = _with_d(spark, sf_dir).withColumn("price", pricing.black_76(*_model(), d=_d()))
-    sigma = pricing.implied_volatility(F.col("price"), F.col("s"), F.col("k"), F.col("t"), F.col("call"))
-    return priced.select("id", F.round(sigma, 4).alias("sigma"))
+    solved = pricing.with_implied_volatility(priced, *[F.col(c) for c in ("price", "s", "k", "t", "call")])
+    return solved.select("id", F.round("sigma", 4).alias("sigma"))
 
 
 @query("d11_volatility_surface", o.OPTION + CONTRACTS + """
