@@ -16,6 +16,9 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # The JVM compiles no method beyond 8000 bytes of code: such stages run operator
+    # by operator, in methods that it does compile.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Session windows of a hot symbol are merged before a stream shuffles them.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
