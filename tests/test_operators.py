@@ -268,3 +268,36 @@ def test_envelope_has_the_sink_layout(spark):
 def test_house_provider_is_supplied_by_the_caller(spark):
     assert dims.providers(spark).where("provider_id = 1021").count() == 0
     assert dims.providers(spark, (1021, "HOUSE", "Vendor", "own data")).count() == 24
+
+
+def test_frames_of_several_schemas(spark):
+    from ticktide.functions import messages
+    from ticktide.sources import framed
+    field = T.StructField
+    writers = {1: T.StructType([field("a", T.IntegerType())]),
+               2: T.StructType([field("a", T.LongType()), field("b", T.StringType()), field("old", T.StringType())])}
+    reader = T.StructType([field("a", T.LongType(), False), field("b", T.StringType(), False, {"default": "none"}),
+                           field("c", T.DoubleType())])
+    given = [(1, '{"a": 7}'), (2, '{"a": 8, "b": "x", "old": "y"}'), (3, '{"a": 1}'), (2, '{"a": '), (1, ""), (1, None), (2, "[]"),
+             (1, '{"a": "text"}'), (2, "{}")]
+    frames = spark.createDataFrame([(i, s, p) for i, (s, p) in enumerate(given)], "i int, s int, p string").select(
+        "i", messages.frame(F.col("s"), F.encode("p", "UTF-8")).alias("value"), F.lit("kept").alias("_extra"))
+    read = framed.resolve_frames(frames, writers, reader)
+    assert read.columns == ["i", "value", "_extra", "record", "reason"]
+    rows = {r.i: r for r in read.collect()}
+    assert len(rows) == len(given)
+    assert tuple(rows[0].record) == (7, "none", None) and tuple(rows[1].record) == (8, "x", None)
+    assert rows[0].reason is None and rows[1].reason is None
+    assert [rows[i].reason for i in (2, 3, 4, 5)] == ["unknown schema id", "unreadable payload", "frame too short", "frame too short"]
+    assert all(rows[i].record is None for i in (2, 3, 4, 5, 6, 7))
+    assert rows[6].reason == rows[7].reason == "unreadable payload"
+    assert tuple(rows[8].record) == (None, None, None)  # an object without fields
+    assert framed.resolve_frames(frames, {}, reader).where("reason is null").count() == 0
+    with pytest.raises(tables.SchemaMismatch):
+        framed.resolve_frames(frames, {1: T.StructType([field("b", T.StringType())])}, reader)
+    registry = spark.createDataFrame([(k, w.json()) for k, w in writers.items()] * 2, "schema_id int, schema string")
+    assert framed.writer_schemas(registry) == writers
+    with pytest.raises(ValueError):
+        framed.writer_schemas(registry, most=1)
+    with pytest.raises(ValueError):
+        framed.writer_schemas(registry.unionByName(registry.withColumn("schema_id", F.lit(1))))

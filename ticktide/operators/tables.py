@@ -100,6 +100,12 @@ def resolve_schema(rows: DataFrame, reader: T.StructType) -> DataFrame:
     return rows.select(*_resolved_fields(lambda name: F.col(name), rows.schema, reader, ""))
 
 
+def resolved_struct(record: Column, written: T.StructType, reader: T.StructType) -> Column:
+    """`resolve_schema` for a struct column; a null record stays null."""
+    fields = _resolved_fields(lambda name: record[name], written, reader, "")
+    return F.when(record.isNotNull(), F.struct(*fields))
+
+
 # --- schema-driven coercion -----------------------------------------------
 
 def coerce_record(rows: DataFrame, schema: T.StructType,

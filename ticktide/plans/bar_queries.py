@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from ticktide import schemas
-from ticktide.functions import times
+from ticktide.functions import messages, times
 from ticktide.operators import bars, lookups, tables
 from ticktide.plans import oracle as o
 from ticktide.plans import views
 from ticktide.plans.registry import query
+from ticktide.sources import framed
 from ticktide.sources.external import latest_schemas
 
 HALF_HOUR, DAY = 1_800_000, 86_400_000
@@ -255,6 +256,47 @@ def schema_resolution(spark, sf_dir):
     return tables.resolve_schema(views.table(spark, sf_dir, "events"), READER)
 
 
+# Three versions of one record: a field is added, one changes its type, one goes.
+_ID, _VALUE = T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())
+_USER, _TEXT_USER = T.StructField("user_id", T.LongType()), T.StructField("user_id", T.StringType())
+WRITERS = {
+    11: T.StructType([_ID, _VALUE]),
+    12: T.StructType([_ID, _VALUE, _USER, T.StructField("currency", T.StringType())]),
+    13: T.StructType([_ID, _TEXT_USER, T.StructField("note", T.StringType())]),
+}
+
+
+def framed_events(events):
+    """Frames of three schema ids; some are cut, some have a strange head, id or payload."""
+    eid = F.col("event_id")
+    number = F.when(eid % 53 == 5, 99).otherwise(11 + eid % 3)
+    record = (F.when(eid % 3 == 0, F.to_json(F.struct("event_id", "value")))
+              .when(eid % 3 == 1, F.to_json(F.struct("event_id", "value", "user_id", F.lit("EUR").alias("currency"))))
+              .otherwise(F.to_json(F.struct("event_id", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_id"),
+                                            F.col("event_type").alias("note")))))
+    payload = F.when(eid % 59 == 7, F.substring(record, 1, 12)).otherwise(record)
+    whole = messages.frame(number.cast("int"), F.encode(payload, "UTF-8"))
+    return events.select("event_id", F.when(eid % 61 == 3, F.substring(whole, 1, 4)).when(
+        eid % 67 == 4, F.concat(F.unhex(F.lit("01")), F.substring(whole, 2, 1 << 20))).otherwise(whole).alias("value"))
+
+
+@query("g12_s19_u05_frames_of_three_schemas", """
+WITH e AS (SELECT *, CASE WHEN event_id % 61 = 3 THEN 'frame too short' WHEN event_id % 67 = 4 THEN 'unexpected magic byte'
+  WHEN event_id % 53 = 5 THEN 'unknown schema id' WHEN event_id % 59 = 7 THEN 'unreadable payload' END AS reason,
+  event_id % 3 AS k FROM events)
+SELECT event_id, reason, CASE WHEN reason IS NULL THEN event_id END AS read_id,
+  CASE WHEN reason IS NULL AND k < 2 THEN value END AS value,
+  CASE WHEN reason IS NULL AND k = 1 THEN user_id::VARCHAR WHEN reason IS NULL AND k = 2 THEN 'u' || user_id END AS user_id,
+  CASE WHEN reason IS NULL THEN CASE WHEN k = 1 THEN 'EUR' ELSE 'USD' END END AS currency,
+  CASE WHEN reason IS NULL AND k = 2 THEN event_type END AS note FROM e""")
+def frames_of_three_schemas(spark, sf_dir):
+    """JSON payloads; Spark's Avro package is not on this class path."""
+    frames = framed_events(views.table(spark, sf_dir, "events"))
+    read = framed.resolve_frames(frames, WRITERS, READER)
+    return read.select("event_id", "reason", F.col("record.event_id").alias("read_id"),
+                       *[f"record.{c}" for c in ("value", "user_id", "currency", "note")])
+
+
 @query("u02_union_without_duplicates", """
 SELECT day::VARCHAR AS day FROM (
   SELECT CAST(o_orderdate AS DATE) AS day FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem)""")
