@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ticktide.operators import tables
 from ticktide.session import shared_folder
-from ticktide.streaming import commits, jobs
+from ticktide.sources import external
+from ticktide.streaming import commits, jobs, keyed
 
 DDL = "symbol string, timestamp bigint, sequence int, price double, qty int"
 
@@ -110,3 +111,95 @@ def test_event_time_falls_back_to_the_clock(spark):
     df = spark.createDataFrame([(1000,), (None,)], "ms bigint")
     rows = jobs.with_event_time(df, F.col("ms"), "1 minute").orderBy(F.col("ms").asc_nulls_last()).collect()
     assert rows[0].ts.year == 1970 and rows[1].ts.year > 2000
+
+
+def test_symbols_that_change_while_the_stream_runs(spark):
+    """Trades and changes come in several batches, out of order within the watermark."""
+    root = shared_folder(spark, "changes")
+    start, minute = 1_700_000_000_000, 60_000
+    change_ddl, trade_ddl = "k string, ms bigint, symbol string", "k string, ms bigint, id bigint, price decimal(9,2)"
+    batches = [
+        ([("a", 0, "A0"), ("b", 2, "B0")], [("a", 1, 1), ("a", 4, 2), ("b", 1, 3), (None, 1, 4), ("c", 2, 5)]),
+        # The change of minute 3 arrives after trade 2 of minute 4, but before the watermark gets there.
+        ([("a", 3, "A3"), ("a", 3, "A2"), ("a", 9, "A9")], [("a", 9, 6), ("a", 8, 7)]),
+        # Behind the watermark of minute 4: both are dropped.
+        ([("a", 1, "late")], [("a", 2, 8), ("b", 20, 9), ("a", 20, 10)]),
+        ([("b", 15, "B15")], [("b", 40, 11)]),
+    ]
+    for shards in (1, 4):
+        path = f"{root}/{shards}"
+        for changes, trades_ in batches:
+            spark.createDataFrame([(k, start + m * minute, s) for k, m, s in changes], change_ddl).coalesce(1).write.mode(
+                "append").parquet(f"{path}/changes")
+            spark.createDataFrame([(k, start + m * minute, i, None) for k, m, i in trades_], trade_ddl).coalesce(1).write.mode(
+                "append").parquet(f"{path}/trades")
+            read = lambda name, ddl: spark.readStream.schema(ddl).parquet(f"{path}/{name}").withColumn(
+                "ts", F.timestamp_millis("ms"))
+            found = keyed.asof_lookup(read("trades", trade_ddl), read("changes", change_ddl), ["k"], "ts", ["symbol"],
+                                      "5 minutes", shards)
+            jobs.write_files(found, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+        out = spark.read.parquet(f"{path}/out")
+        assert dict(out.dtypes)["price"] == "decimal(9,2)" and dict(out.dtypes)["ts"] == "timestamp"
+        rows = out.collect()
+        assert all(r.ts.timestamp() * 1000 == r.ms for r in rows)
+        assert sorted((r.id, r.symbol) for r in rows) == [
+            (1, "A0"), (2, "A3"), (3, None), (5, None), (6, "A9"), (7, "A3"), (9, "B15"), (10, "A9")]
+
+
+def test_running_totals_go_on_after_a_restart(spark):
+    path = shared_folder(spark, "totals")
+    hour = 3600
+    ddl = "topic string, s bigint"
+    feed = [[("x", 10), ("x", 20), (None, 30), ("x", hour + 5), ("y", 2 * hour)], [("x", 3 * hour + 1), ("y", 5 * hour)],
+            [("x", 4 * hour + 9), (None, 6 * hour), ("x", 40 * hour), ("y", 43 * hour), ("y", 50 * hour)]]
+    expected = {}
+    for name, expiry in (("ever", None), ("day", 24 * hour)):
+        for rows in feed:
+            spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(f"{path}/{name}/feed")
+            stream = spark.readStream.schema(ddl).parquet(f"{path}/{name}/feed").withColumn("ts", F.timestamp_seconds("s"))
+            counts = keyed.interval_counts(stream, "ts", hour, "0 seconds", ["topic"])
+            sink = keyed.totals_sink(f"{path}/{name}/table", ["topic"], hour, expiry)
+            jobs.write_batches(counts, sink, f"{path}/{name}/checkpoint").awaitTermination()
+        done = commits.committed(spark, f"{path}/{name}/table", keyed.totals_schema(counts))
+        expected[name] = sorted(((r.topic or "", r.interval_us // 3_600_000_000, r.messages, r.all_time) for r in done.collect()))
+    # x: the row of hour 4 came behind the watermark of hour 5.
+    assert expected["ever"] == [("", 0, 1, 1), ("", 6, 1, 2), ("x", 0, 2, 2), ("x", 1, 1, 3), ("x", 3, 1, 4), ("x", 40, 1, 5),
+                                ("y", 2, 1, 1), ("y", 5, 1, 2), ("y", 43, 1, 3)]
+    assert expected["day"] == [("", 0, 1, 1), ("", 6, 1, 2), ("x", 0, 2, 2), ("x", 1, 1, 3), ("x", 3, 1, 4), ("x", 40, 1, 1),
+                               ("y", 2, 1, 1), ("y", 5, 1, 2), ("y", 43, 1, 1)]
+
+
+def test_totals_of_a_repeated_batch_count_once(spark, monkeypatch):
+    path = shared_folder(spark, "totals-twice")
+    handle = keyed.totals_sink(path, ["topic"], 3600)
+    batch = lambda h: spark.createDataFrame([("x", h * 3_600_000_000, 5)], "topic string, interval_us bigint, messages bigint")
+    handle(batch(0), 0)
+    with monkeypatch.context() as m:
+        m.setattr(commits.CommitLog, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            handle(batch(1), 1)
+    handle(batch(1), 1), handle(batch(1), 1), handle(batch(2), 2)
+    rows = commits.committed(spark, path, keyed.totals_schema(batch(0))).collect()
+    assert sorted(r.all_time for r in rows) == [5, 10, 15]
+
+
+def test_declared_outputs_of_a_stream(spark, capfd):
+    root = shared_folder(spark, "outputs")
+    write_one(trades(spark, [("A", 1, 1, 1.0, 1), ("A", 2, 2, 1.0, 7), ("B", 1, 3, 1.0, 1)]), f"{root}/in", "a")
+    source = spark.readStream.schema(DDL).parquet(f"{root}/in")
+    run = lambda n, **config: external.write_stream(source, config, f"{root}/cp-{n}").awaitTermination()
+    run("file", type="file", path=f"{root}/file", format="json")
+    assert spark.read.schema(DDL).json(f"{root}/file").count() == 3
+    run("s3", type="s3", path=f"{root}/s3")
+    run("s3", type="s3", path=f"{root}/s3")  # nothing new, nothing twice
+    assert spark.read.parquet(f"{root}/s3").count() == 3
+    run("batches", type="batches", path=f"{root}/batches")
+    assert commits.committed(spark, f"{root}/batches", source.schema).count() == 3
+    run("table", type="table", path=f"{root}/table", keys=["symbol"], version="sequence", buckets=4)
+    assert {r.symbol: r.qty for r in commits.compacted(spark, f"{root}/table", source.schema).collect()} == {"A": 7, "B": 1}
+    run("console", type="console", options={"numRows": "2"})
+    external.write_output(trades(spark, [("A", 1, 1, 1.0, 1)]), {"type": "console"})
+    for wrong, error in (({"type": "pigeon"}, ValueError), ({"type": "file", "format": "tar", "path": "x"}, ValueError),
+                         ({"type": "kafka", "servers": "x"}, RuntimeError)):
+        with pytest.raises(error):
+            external.write_stream(source, wrong, f"{root}/cp-wrong")

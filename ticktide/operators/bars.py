@@ -164,17 +164,26 @@ def throughput(messages: DataFrame, instant: str, seconds: int = 15,
     micros = F.unix_micros(instant)
     start = micros - F.pmod(micros, F.lit(width).cast("bigint"))
     counts = messages.groupBy(*keys, start.alias("interval_us")).agg(F.count("*").alias("messages"))
+    return with_totals(counts, keys).select(*keys, "interval_us", "messages", "all_time")
+
+
+def with_totals(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds ``all_time``, the sum of ``messages`` of a key up to ``interval_us``, as a
+    prefix sum in two levels. A null is a key like any other."""
     counts = counts.withColumn("_day", times.floor_div(F.col("interval_us"), 86_400_000_000))
     in_day = Window.partitionBy(*keys, "_day").orderBy("interval_us")
-    days = counts.groupBy(*keys, "_day").agg(F.sum("messages").alias("_total"))
     before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_day").rowsBetween(
         Window.unboundedPreceding, -1)
-    days = days.withColumn("_before", F.coalesce(F.sum("_total").over(before), F.lit(0)))
+    days = (counts.groupBy(*keys, "_day").agg(F.sum("messages").alias("_total"))
+            .withColumn("_before", F.coalesce(F.sum("_total").over(before), F.lit(0)))
+            .select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_day").alias("_of_day"), "_before"))
+    same = F.col("_day") == F.col("_of_day")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
     return (counts.withColumn("_within", F.sum("messages").over(
                 in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-            .join(days.drop("_total"), [*keys, "_day"])
-            .select(*keys, "interval_us", "messages",
-                    (F.col("_before") + F.col("_within")).alias("all_time")))
+            .join(days, same).withColumn("all_time", F.col("_before") + F.col("_within"))
+            .select(*[c for c in counts.columns if c != "_day"], "all_time"))
 
 
 def outcome_counts(deliveries: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ticktide.plans import oracle as o
 from ticktide.plans.registry import query
 from ticktide.session import shared_folder
 from ticktide.sources.landing import book_records
-from ticktide.streaming import commits, jobs
+from ticktide.streaming import commits, jobs, keyed
 
 DELAY_US = 600_000_000
 
@@ -190,3 +190,50 @@ def feed_hooks(spark, sf_dir):
         views.tbbo_raw(events), book_records,
         lambda raw: equity.normalise(raw, publishers, symbology), equity.published)
     return trades.groupBy("symbol").agg(F.count("*").alias("trades"))
+
+
+@query("x05_streamed_symbology_changes", """
+WITH e AS (SELECT *, epoch_us(ts) AS us, user_id % 10 AS instrument_id FROM events),
+mark AS (SELECT max(us) // 1000 * 1000 - 600000000 AS us FROM e),
+m AS (SELECT instrument_id, us, max('S' || lpad(event_id::VARCHAR, 12, '0')) AS symbol FROM e
+  WHERE event_type = 'signup' GROUP BY instrument_id, us),
+t AS (SELECT event_id, instrument_id, us FROM e WHERE event_type <> 'signup' AND us <= (SELECT us FROM mark))
+SELECT event_id, symbol FROM t ASOF LEFT JOIN m ON t.instrument_id = m.instrument_id AND t.us >= m.us""")
+def streamed_symbology_changes(spark, sf_dir):
+    """Symbols change while the stream runs; each trade gets the symbol of its time."""
+    events = views.event_stream(spark, sf_dir).select(
+        "event_id", "event_type", (F.col("user_id") % 10).alias("instrument_id"), F.col("ts").cast("timestamp").alias("ts"))
+    changing = F.col("event_type") == "signup"
+    symbol = F.concat(F.lit("S"), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    found = keyed.asof_lookup(
+        events.where(~changing).drop("event_type"),
+        events.where(changing).select("instrument_id", "ts", symbol.alias("symbol")),
+        ["instrument_id"], "ts", ["symbol"], "10 minutes")
+    return jobs.run_to_files(found.select("event_id", "symbol"), "symbol-changes")
+
+
+@query("a06_w06_streamed_running_total", """
+WITH c AS (SELECT event_type, epoch_us(ts) - epoch_us(ts) % 3600000000 AS interval_us, count(*) AS messages
+  FROM events GROUP BY ALL),
+t AS (SELECT *, CAST(sum(messages) OVER (PARTITION BY event_type ORDER BY interval_us) AS BIGINT) AS all_time FROM c)
+SELECT * FROM t WHERE interval_us + 3600000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 - 600000000 FROM events)""")
+def streamed_running_total(spark, sf_dir):
+    """Messages of an hour and of all hours so far, by topic."""
+    root = shared_folder(spark, "running")
+    events = views.event_stream(spark, sf_dir).select("event_type", F.col("ts").cast("timestamp").alias("ts"))
+    counts = keyed.interval_counts(events, "ts", 3600, "10 minutes", ["event_type"])
+    sink = keyed.totals_sink(f"{root}/table", ["event_type"], 3600)
+    jobs.write_batches(counts, sink, f"{root}/checkpoint").awaitTermination()
+    return commits.committed(spark, f"{root}/table", keyed.totals_schema(counts))
+
+
+@query("s12_s13_streamed_upsert", """
+SELECT user_id, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id""")
+def streamed_upsert(spark, sf_dir):
+    """A stream into the output that its configuration declares, an upserted table."""
+    from ticktide.sources.external import write_stream
+    root = shared_folder(spark, "upsert")
+    stream = views.event_stream(spark, sf_dir).select("user_id", "event_id", "value")
+    config = {"type": "table", "path": f"{root}/table", "keys": ["user_id"], "version": "event_id", "buckets": 8}
+    write_stream(stream, config, f"{root}/checkpoint").awaitTermination()
+    return commits.compacted(spark, f"{root}/table", stream.schema)

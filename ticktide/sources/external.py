@@ -7,6 +7,9 @@ its class path. Here their options are built and their absence is reported.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ticktide.streaming import commits, jobs
 
 FILE_FORMATS = ("parquet", "json", "csv", "orc", "text")
 
@@ -59,7 +62,7 @@ def read_input(spark: SparkSession, config: dict, streaming: bool = False) -> Da
 
 
 def write_output(df: DataFrame, config: dict) -> None:
-    """Declared output kinds for batch frames: kafka, file and s3, db."""
+    """Declared output kinds for batch frames: kafka, file and s3, console, db."""
     kind, mode = config["type"], config.get("mode", "append")
     if kind == "kafka":
         (df.select("topic", "key", "value", "headers").write.format("kafka")
@@ -67,12 +70,47 @@ def write_output(df: DataFrame, config: dict) -> None:
          .option("includeHeaders", "true").save())
     elif kind in ("file", "s3"):
         df.write.format(config.get("format", "parquet")).mode(mode).save(config["path"])
+    elif kind == "console":
+        df.write.format("console").mode("append").options(**config.get("options", {})).save()
     elif kind == "db":
         df.write.format("jdbc").options(**config["options"]).mode(mode).save()
     else:
         raise ValueError(f"unsupported output type {kind!r}")
 
 
+def write_stream(records: DataFrame, config: dict, checkpoint: str) -> StreamingQuery:
+    """Declared output kinds of a stream; without ``interval`` it takes what is there and ends.
+
+    ``file`` and ``s3``: the file sink, whose log tells which files count. ``console``:
+    the first rows of each batch. ``batches``: folders that count from their commit on,
+    read by `commits.committed`. ``table``: the latest row of each of ``keys`` by
+    ``version``, read by `commits.compacted`; a batch that runs again changes nothing.
+    ``kafka``: rows of the message envelope; the broker may get a row twice.
+    """
+    kind, options = config["type"], config.get("options", {})
+    if kind == "table":
+        handle = commits.compacted_table(config["path"], config["keys"], config["version"],
+                                         config.get("buckets", 64))
+        writer = records.writeStream.foreachBatch(handle)
+    elif kind == "batches":
+        writer = records.writeStream.foreachBatch(commits.committed_folder(config["path"]))
+    elif kind in ("file", "s3"):
+        fmt = config.get("format", "parquet")
+        if fmt not in FILE_FORMATS:
+            raise ValueError(f"file format {fmt!r} is not one of {FILE_FORMATS}")
+        writer = records.writeStream.format(fmt).options(**options).option("path", config["path"])
+    elif kind == "console":
+        writer = records.writeStream.format("console").options(**options)
+    elif kind == "kafka":
+        if not has_source(records.sparkSession, "kafka"):
+            raise RuntimeError("the Kafka sink package is not on the class path")
+        writer = (records.select("topic", "key", "value", "headers").writeStream.format("kafka")
+                  .option("kafka.bootstrap.servers", config["servers"]).option("includeHeaders", "true"))
+    else:
+        raise ValueError(f"unsupported output type {kind!r} for a stream")
+    return jobs.started(writer.outputMode("append"), checkpoint, config.get("interval"))
+
+
 def write_objects(df: DataFrame, path: str, fmt: str = "avro", mode: str = "errorifexists") -> None:
     """Object files in the format that the caller names; an absent package is an error."""
     if fmt not in FILE_FORMATS and not has_source(df.sparkSession, fmt):

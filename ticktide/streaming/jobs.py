@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ticktide.operators import bars, tables
 from ticktide.session import shared_folder
@@ -45,6 +45,12 @@ def transform_stream(source: DataFrame, validate: Transform, extract: Transform,
     return source.transform(validate).transform(extract).transform(coerce)
 
 
+def started(writer: DataStreamWriter, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Start a sink: for what is there now, or at intervals until it is stopped."""
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+
+
 def write_files(records: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                 available_now: bool = True, interval: str = "15 seconds") -> StreamingQuery:
     """Exactly-once file sink: the checkpoint and the sink's own log decide
