@@ -122,9 +122,9 @@ def test_symbols_that_change_while_the_stream_runs(spark):
         ([("a", 0, "A0"), ("b", 2, "B0")], [("a", 1, 1), ("a", 4, 2), ("b", 1, 3), (None, 1, 4), ("c", 2, 5)]),
         # The change of minute 3 arrives after trade 2 of minute 4, but before the watermark gets there.
         ([("a", 3, "A3"), ("a", 3, "A2"), ("a", 9, "A9")], [("a", 9, 6), ("a", 8, 7)]),
-        # Behind the watermark of minute 4: both are dropped.
+        # At or behind the watermark of minute 4: both are dropped, as is the one of minute 15 in the next batch.
         ([("a", 1, "late")], [("a", 2, 8), ("b", 20, 9), ("a", 20, 10)]),
-        ([("b", 15, "B15")], [("b", 40, 11)]),
+        ([("b", 16, "B16"), ("b", 15, "late")], [("b", 40, 11)]),
     ]
     for shards in (1, 4):
         path = f"{root}/{shards}"
@@ -143,7 +143,7 @@ def test_symbols_that_change_while_the_stream_runs(spark):
         rows = out.collect()
         assert all(r.ts.timestamp() * 1000 == r.ms for r in rows)
         assert sorted((r.id, r.symbol) for r in rows) == [
-            (1, "A0"), (2, "A3"), (3, None), (5, None), (6, "A9"), (7, "A3"), (9, "B15"), (10, "A9")]
+            (1, "A0"), (2, "A3"), (3, None), (5, None), (6, "A9"), (7, "A3"), (9, "B16"), (10, "A9")]
 
 
 def test_running_totals_go_on_after_a_restart(spark):

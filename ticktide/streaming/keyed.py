@@ -57,7 +57,7 @@ def asof_lookup(facts: DataFrame, changes: DataFrame, by: list[str], instant: st
     has the values of its last change at or before the fact; of changes at one time the
     highest values count. A fact waits in the state until the watermark (the latest time
     of both sides less ``delay``) has reached it, as an older change may still come; then
-    it is emitted once, with nulls where the key had no values yet. Rows that come behind
+    it is emitted once, with nulls where the key had no values yet. Rows that come at or behind
     the watermark, which begins at 1970, are dropped. Rows without a key or a time have no match and are not
     emitted.
 
