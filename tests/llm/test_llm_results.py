@@ -114,6 +114,20 @@ def test_token_counts_of_odd_white_space(spark):
         i: len(exact.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("head_size, table_limit", [(0, 10), (7, 3), (40, 400_000)])
+def test_token_counts_wherever_a_pre_token_is_counted(spark, head_size, table_limit):
+    """Repeated rows, one id on several texts, no id, no text, long pre-tokens: the same counts for any common table."""
+    from ticktide.llm.token_counts import token_counts
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    draw, words = np.random.default_rng(5), ["the", "of", "x" * 70, "y" * 3000, "é", "1999", "\n", "it's"]
+    texts = [" ".join(draw.choice(words, draw.integers(0, 12))) for _ in range(60)] + [None, "", "the of"]
+    rows = [(i % 40 if i % 5 else None, text) for i, text in enumerate(texts)] + [(3, "the of"), (None, "the of")] * 4
+    got = token_counts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3),
+                       head_size=head_size, table_limit=table_limit).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in got) == Counter(
+        (i, len((t or "").encode()), len(exact.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+
+
 def test_packing(spark, sf_dir, ids):
     got = run(spark, sf_dir, "op9_packing")
     assert set(got.doc_id) == set(ids)
