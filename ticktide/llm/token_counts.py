@@ -150,7 +150,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                           F.xxhash64("text").alias("mark"))
     # A document's own row has no piece: it comes first in order and keeps its number.
     met = (marked.mapInArrow(frequencies, fields)
-           .repartition(F.coalesce(F.xxhash64("piece"), F.xxhash64("own", "mark")))
+           .repartition(F.when(F.col("piece").isNull(), F.xxhash64("own", "mark")).otherwise(F.xxhash64("piece")))
            .sortWithinPartitions(F.asc_nulls_first("piece")))
     sums = (met.mapInArrow(count, fields).groupBy("own", "mark")
             .agg(F.sum("n").alias("tokens"), F.count("n_bytes").alias("copies"),
