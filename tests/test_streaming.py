@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ticktide.operators import tables
 from ticktide.session import shared_folder
 from ticktide.sources import external
-from ticktide.streaming import commits, jobs, keyed
+from ticktide.streaming import commits, delivery, jobs, keyed
 
 DDL = "symbol string, timestamp bigint, sequence int, price double, qty int"
 
@@ -203,3 +203,41 @@ def test_declared_outputs_of_a_stream(spark, capfd):
                          ({"type": "kafka", "servers": "x"}, RuntimeError)):
         with pytest.raises(error):
             external.write_stream(source, wrong, f"{root}/cp-wrong")
+
+
+MESSAGE = "topic string, key binary, value binary, headers array<struct<key:string,value:binary>>"
+
+
+def test_reasons_of_refused_messages(spark):
+    key, value, header = b"k", b"v" * 10, [("h", b"xx")]
+    given = [("t.a-b_1", key, value, header), ("t", key, None, None), ("t", None, value, None),
+             (None, key, value, None), ("a b", key, value, None), ("..", key, value, None), ("t" * 250, key, value, None),
+             ("t", None, None, None), ("t", key, value, [(None, b"x")]), ("t", key, b"v" * 17, header), ("t", b"", b"", [])]
+    df = spark.createDataFrame(given, MESSAGE)
+    assert [r[0] for r in df.select(delivery.refusal(df, max_bytes=20)).collect()] == [
+        None, None, None, "no topic", "illegal topic name", "illegal topic name", "illegal topic name",
+        "no key", "header without a key", "message too large", None]
+    assert df.where(delivery.refusal(df, 20, compacted=True) == "no key").count() == 2
+
+
+def test_refused_messages_count_once_when_sending_fails(spark):
+    root = shared_folder(spark, "delivery")
+    batch = spark.createDataFrame([("t", b"k", b"v", None), ("t", None, None, None), ("t", b"k", b"w", None)], MESSAGE)
+    write, attempts = commits.committed_folder(f"{root}/sent"), []
+
+    def send(df, batch_id):
+        write(df, batch_id)
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise OSError("connection lost")
+
+    sink = delivery.delivered(send, f"{root}/refused")
+    with pytest.raises(OSError):
+        sink(batch, 0)
+    assert delivery.undelivered(spark, f"{root}/refused", batch.schema).count() == 0
+    sink(batch, 0)
+    sink(batch, 0)
+    assert commits.committed(spark, f"{root}/sent", batch.schema).count() == 2
+    assert [r.refusal for r in delivery.undelivered(spark, f"{root}/refused", batch.schema).collect()] == ["no key"]
+    assert delivery.outcomes(spark, f"{root}/refused") == [{"batch": 0, "delivered": 2, "refused": 1}]
+    assert len(attempts) == 2

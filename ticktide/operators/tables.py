@@ -14,15 +14,17 @@ from ticktide.functions import checks, decimals, messages, times
 
 def envelope(records: DataFrame, topic: str, key: Column, value: Column, event_ms: Column,
              source_id: str | None = None, dataset_id: str | None = None,
-             schema_version: int = 1, entitlement: str = "none") -> DataFrame:
+             schema_version: int = 1, entitlement: str = "none",
+             extra: Mapping[str, Column] | None = None) -> DataFrame:
     """Key, value and headers in the layout of a Kafka sink.
 
     The sink takes no event time column, so the time travels as header ``ts_ms``.
+    ``extra`` are headers of the caller's own; one with a given name takes its place.
     """
     entries = {
         "source_id": F.lit(source_id), "dataset_id": F.lit(dataset_id),
         "pipeline_id": F.lit(topic), "entitlement_id": F.lit(entitlement),
-        "schema_version": F.lit(schema_version), "ts_ms": event_ms,
+        "schema_version": F.lit(schema_version), "ts_ms": event_ms, **(extra or {}),
     }
     return records.select(
         F.lit(topic).alias("topic"), F.encode(key.cast("string"), "UTF-8").alias("key"),

@@ -182,6 +182,29 @@ def message_envelope(spark, sf_dir):
                        shown.alias("headers"))
 
 
+@query("f02_f03_f04_message_hooks", """
+SELECT event_type AS topic, CASE WHEN event_id % 3 = 0 THEN 'k' || event_id
+    ELSE sha256(event_id || '|' || user_id) END AS key,
+  CASE WHEN event_id % 5 <> 0 THEN epoch_us(ts) // 1000 END AS "timestamp",
+  'dataset_id=user' || user_id || '|pipeline_id=' || event_type || '|entitlement_id=none|schema_version=3'
+    || CASE WHEN event_id % 5 <> 0 THEN '|ts_ms=' || epoch_us(ts) // 1000 ELSE '' END
+    || CASE WHEN event_id % 2 = 0 THEN '|k=' || json_extract_string(props, '$.k') ELSE '' END AS headers
+FROM events""")
+def message_hooks(spark, sf_dir):
+    """A feed's own key, event time and headers; what a record lacks gets no header."""
+    events = views.table(spark, sf_dir, "events")
+    given = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("k"), F.col("event_id")))
+    instant = F.when(F.col("event_id") % 5 != 0, F.unix_millis(F.col("ts").cast("timestamp")))
+    even = F.when(F.col("event_id") % 2 == 0, F.from_json("props", "k int")["k"])
+    sent = tables.envelope(
+        events, "events", messages.key_or_generated(given, F.col("event_id"), F.col("user_id")),
+        F.encode("props", "UTF-8"), instant, schema_version=3,
+        extra={"dataset_id": F.concat(F.lit("user"), F.col("user_id")), "pipeline_id": F.col("event_type"), "k": even})
+    shown = F.transform("headers", lambda h: F.concat(h["key"], F.lit("="), F.decode(h["value"], "UTF-8")))
+    topic = messages.header_value(F.col("headers"), "pipeline_id")
+    return sent.select(topic.alias("topic"), F.decode("key", "UTF-8").alias("key"), "timestamp", shown.alias("headers"))
+
+
 @query("g05_publisher_parts", o.with_(o.PUBLISHERS, o.TBBO) + """
 SELECT event_id AS sequence, split_part(publisher, '.', 1) AS dataset, split_part(publisher, '.', 2) AS feed
 FROM tbbo JOIN pub USING (publisher_id)""")

@@ -254,6 +254,21 @@ def coerce_record(spark, sf_dir):
     return tables.coerce_record(record, COERCED)
 
 
+@query("f08_type_hooks", MICROS + """
+SELECT 'id-' || event_id AS id, CAST(abs(micros) // 10000 * 0.01 AS DECIMAL(12,2))::VARCHAR AS amount,
+  epoch_us(ts) // 3600000000 * 3600000 AS at, upper(event_type) AS label FROM m JOIN events USING (event_id)""")
+def type_hooks(spark, sf_dir):
+    """A function per field before the rule of its type: sign, hour, prefix, letter case."""
+    events = views.table(spark, sf_dir, "events")
+    record = amounts(spark, sf_dir).join(events, "event_id").select(
+        F.col("event_id").cast("string").alias("id"), F.col("x").alias("amount"),
+        F.col("ts").cast("timestamp").alias("at"),
+        F.concat(F.lit("  "), F.col("event_type"), F.lit(" ")).alias("label"))
+    return tables.coerce_record(record, COERCED, {
+        "id": lambda c: F.concat(F.lit("id-"), c), "amount": F.abs,
+        "at": lambda c: F.date_trunc("hour", c), "label": F.upper})
+
+
 # --- timestamps -----------------------------------------------------------
 
 NAMES = ["days", "seconds", "milliseconds", "microseconds", "nanoseconds"]

@@ -11,7 +11,7 @@ from ticktide.plans import oracle as o
 from ticktide.plans.registry import query
 from ticktide.session import shared_folder
 from ticktide.sources.landing import book_records
-from ticktide.streaming import commits, jobs, keyed
+from ticktide.streaming import commits, delivery, jobs, keyed
 
 DELAY_US = 600_000_000
 
@@ -237,3 +237,46 @@ def streamed_upsert(spark, sf_dir):
     config = {"type": "table", "path": f"{root}/table", "keys": ["user_id"], "version": "event_id", "buckets": 8}
     write_stream(stream, config, f"{root}/checkpoint").awaitTermination()
     return commits.compacted(spark, f"{root}/table", stream.schema)
+
+
+# Topics, keys and values that a broker refuses, by event; bytes of key and value in ``size``.
+MESSAGES = """WITH msg AS (
+  SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'no topic ' || event_type ELSE event_type END AS topic,
+    CASE WHEN event_id % 7 <> 0 THEN 'u' || user_id END AS key,
+    CASE WHEN event_id % 14 <> 0 THEN props END AS value FROM events),
+judged AS (SELECT *, CASE WHEN contains(topic, ' ') THEN 'illegal topic name'
+    WHEN key IS NULL AND value IS NULL THEN 'no key'
+    WHEN coalesce(strlen(key), 0) + coalesce(strlen(value), 0) > 12 THEN 'message too large' END AS refusal FROM msg)
+"""
+
+
+def _delivered(spark, sf_dir, purpose):
+    events, n = views.event_stream(spark, sf_dir), F.col("event_id")
+    messages = events.select(
+        "event_id", F.when(n % 11 == 0, F.concat(F.lit("no topic "), F.col("event_type")))
+        .otherwise(F.col("event_type")).alias("topic"),
+        F.when(n % 7 != 0, F.concat(F.lit("u"), F.col("user_id"))).alias("key"),
+        F.when(n % 14 != 0, F.col("props")).alias("value"))
+    root = shared_folder(spark, purpose)
+    sink = delivery.delivered(commits.committed_folder(f"{root}/sent"), f"{root}/refused", max_bytes=12)
+    jobs.write_batches(messages, sink, f"{root}/checkpoint").awaitTermination()
+    return root, messages.schema
+
+
+@query("f06_undelivered_messages", MESSAGES + """
+SELECT event_id, topic, key, value, refusal FROM judged WHERE refusal IS NOT NULL""")
+def undelivered_messages(spark, sf_dir):
+    """What a broker would refuse is kept with the reason, message by message."""
+    root, schema = _delivered(spark, sf_dir, "undelivered")
+    return delivery.undelivered(spark, f"{root}/refused", schema)
+
+
+@query("f06_delivered_messages", MESSAGES + """
+SELECT topic, count(*) AS messages, count(key) AS keyed, count(value) AS valued FROM judged
+WHERE refusal IS NULL GROUP BY topic""")
+def delivered_messages(spark, sf_dir):
+    """All other messages of the same stream, once each."""
+    root, schema = _delivered(spark, sf_dir, "delivered")
+    sent = commits.committed(spark, f"{root}/sent", schema)
+    return sent.groupBy("topic").agg(F.count("*").alias("messages"), F.count("key").alias("keyed"),
+                                     F.count("value").alias("valued"))

@@ -83,7 +83,10 @@ def watermark(done: StreamingQuery) -> str:
 
 def statistics_sink(stats_path: str, write: Callable[[DataFrame, int], None], topic: str,
                     measures: dict[str, Column]) -> Callable[[DataFrame, int], None]:
-    """Write each batch and, from the same pass, one row of statistics about it."""
+    """Write each batch and, from the same pass, one row of statistics about it.
+
+    ``write`` has to write a repeated batch again, as `idempotent_folder` does: one
+    that leaves it out would never report the numbers that are waited for."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         seen = Observation(f"{topic}-{batch_id}")
