@@ -9,6 +9,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece as library
@@ -539,3 +540,32 @@ def test_rounds_measure_every_near_pair(spark):
     got = {r["node"]: r["root"] for r in simhash.copies(texts, shown, 3, 5, 0.8).collect()}
     alike = [own[rows[i][1]] for i in (5, 14, 15)]
     assert set(got) | {min(alike)} == set(alike) and set(got.values()) == {min(alike)}
+
+
+def test_near_fingerprints_alone_are_not_carried():
+    """Texts that share a fingerprint, but too few shingles by their sketches, leave no row for the rounds."""
+    draw = np.random.default_rng(13)
+    n = 300
+    sketch = np.concatenate([np.full((n, 1), 100), draw.integers(-2**62, 2**62, (n, simhash.SKETCH // 64))], axis=1)
+    sketch[7] = sketch[250]
+    sketch[7, 0] += 2
+    cell = pd.DataFrame({"fp": np.full(n, 5), "sketch": list(sketch), "moved": np.zeros(n, dtype=int)})
+    assert np.flatnonzero(simhash._touched(cell, 3, 0.8)).tolist() == [7, 250]
+
+
+def test_a_near_pair_counts_in_one_leaf():
+    draw = np.random.default_rng(14)
+    values = draw.integers(0, 2**63, 400).astype(np.uint64)
+    for bits in (1, 2, 3):
+        flips = np.bitwise_or.reduce(np.uint64(1) << draw.integers(0, 64, (bits, 400)).astype(np.uint64))
+        values = np.concatenate([values, values[:400] ^ flips])
+    points, medians = simhash.fit_tree(np.sort(values)[::3], 6)
+    index, leaf, moved = simhash.route(values, points, medians, 6, 3)
+    seen, shared = Counter(), 0
+    for one in np.unique(leaf):
+        own, masks = index[leaf == one], moved[leaf == one]
+        x, y = np.nonzero(np.triu(np.bitwise_count(values[own][:, None] ^ values[own]) <= 3, 1))
+        shared += len(x)
+        seen.update(tuple(sorted(p)) for p in zip(own[x[m]], own[y[m]])) if (m := masks[x] & masks[y] == 0).any() else None
+    x, y = np.nonzero(np.triu(np.bitwise_count(values[:, None] ^ values) <= 3, 1))
+    assert set(seen) == set(zip(x, y)) and set(seen.values()) == {1} and shared > len(x)

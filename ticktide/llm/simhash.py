@@ -39,7 +39,8 @@ LEAF = 4096            # fingerprints a shard should hold
 MOST_LEAVES = 4096     # bound of the tree that is sent to the tasks
 SAMPLE_PER_LEAF = 16   # so the sample has at most 65,536 fingerprints
 BLOCK = 1024           # compared in full
-PAIRS = 1 << 22        # pairs looked at together
+PAIRS = 1 << 20        # pairs looked at together
+MOST_ROOM = 1 << 22    # pairs that a cell may propose beside a spanning forest
 SKETCH = 512           # bits of the parity sketch of a text's shingles
 
 
@@ -97,17 +98,24 @@ def fit_tree(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def route(values: np.ndarray, points: np.ndarray, medians: np.ndarray, depth: int,
-          most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(index into values, leaf) of every place a fingerprint has to be."""
+          most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index into values, leaf, moved) of every place a fingerprint has to be.
+
+    ``moved`` has a bit for each level where the place was reached out of the strip.
+    Two fingerprints out of one strip meet on the outside, too; so any near pair
+    has exactly one leaf where no bit is set for both.
+    """
     index, node = np.arange(len(values)), np.zeros(len(values), dtype=np.int64)
-    for _ in range(depth):
+    moved = np.zeros(len(values), dtype=np.int64)
+    for level in range(depth):
         away, median = distances(values[index], points[node]), medians[node]
         outside = away > median
         strip = outside & (away <= median + most)
         child = 2 * node + 1 + outside
         index = np.concatenate([index, index[strip]])
         node = np.concatenate([child, 2 * node[strip] + 1])
-    return index, node
+        moved = np.concatenate([moved, moved[strip] | 1 << level])
+    return index, node, moved
 
 
 def near_pairs(values: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -158,7 +166,7 @@ def _forest(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def placed_in_cells(nodes: DataFrame, most: int, shard_rows: int, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(view, fp, carried long columns, leaf, i, j): any two rows of a view at most ``most`` bits apart share a cell.
+    """(view, fp, carried long columns, leaf, moved, i, j): any two rows of a view at most ``most`` bits apart share a cell.
 
     The last column of (fp, carried) deals the rows of a crowded leaf to its parts.
     """
@@ -179,12 +187,12 @@ def placed_in_cells(nodes: DataFrame, most: int, shard_rows: int, carry: tuple[s
             views, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             for view in np.unique(views):
                 own = [c[views == view] for c in columns]
-                index, leaf = route(own[0].view(np.uint64), *trees.get(int(view), empty), depth, most)
+                index, leaf, moved = route(own[0].view(np.uint64), *trees.get(int(view), empty), depth, most)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(index), view, dtype=np.int32)), *(pa.array(c[index]) for c in own),
-                     pa.array(leaf)], ["view", *names, "leaf"])
+                     pa.array(leaf), pa.array(moved)], ["view", *names, "leaf", "moved"])
 
-    placed = nodes.select("view", *names).mapInArrow(routed, f"view int, {longs}, leaf long")
+    placed = nodes.select("view", *names).mapInArrow(routed, f"view int, {longs}, leaf long, moved long")
     # One row per view and leaf that is too large, so at most MOST_LEAVES a view.
     parts = {(row["view"], row["leaf"]): -(-row["n"] // shard_rows)
              for row in placed.groupBy("view", "leaf").agg(F.count("*").alias("n"))
@@ -192,18 +200,18 @@ def placed_in_cells(nodes: DataFrame, most: int, shard_rows: int, carry: tuple[s
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            views, *columns, leaves = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            views, *columns, leaves, moved = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             cut = np.array([parts.get(key, 1) for key in zip(views.tolist(), leaves.tolist())], dtype=np.int64)
             own = (columns[-1].view(np.uint64) % cut.astype(np.uint64)).astype(np.int64)
             # A row of part p meets every part k in cell (min, max).
             at = np.repeat(np.arange(len(views)), cut)
             k = np.arange(len(at)) - np.repeat(np.cumsum(cut) - cut, cut)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(views[at]), *(pa.array(c[at]) for c in columns), pa.array(leaves[at]),
+                [pa.array(views[at]), *(pa.array(c[at]) for c in columns), pa.array(leaves[at]), pa.array(moved[at]),
                  pa.array(np.minimum(own[at], k)), pa.array(np.maximum(own[at], k))],
-                ["view", *names, "leaf", "i", "j"])
+                ["view", *names, "leaf", "moved", "i", "j"])
 
-    return placed.mapInArrow(cells, f"view int, {longs}, leaf long, i long, j long")
+    return placed.mapInArrow(cells, f"view int, {longs}, leaf long, moved long, i long, j long")
 
 
 def links(nodes: DataFrame, most: int = 3, shard_rows: int = 65_536) -> DataFrame:
@@ -218,7 +226,7 @@ def links(nodes: DataFrame, most: int = 3, shard_rows: int = 65_536) -> DataFram
         a, b = _forest(values, most)
         return pd.DataFrame({"view": pdf["view"].iloc[0], "a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return placed_in_cells(nodes, most, shard_rows).groupBy("view", "leaf", "i", "j").applyInPandas(
+    return placed_in_cells(nodes, most, shard_rows).drop("moved").groupBy("view", "leaf", "i", "j").applyInPandas(
         linked, "view int, a long, b long")
 
 
@@ -309,6 +317,37 @@ def shingle_similarity(pairs: DataFrame, words: int) -> DataFrame:
 CELL = ["view", "leaf", "i", "j"]
 
 
+def may_be_copies(size_x: np.ndarray, size_y: np.ndarray, bits_x: np.ndarray, bits_y: np.ndarray,
+                  similarity: float) -> np.ndarray:
+    """Whether sketches allow pairs of shingle sets to be so similar.
+
+    Sets of m and n shingles with d in only one of them: similarity (m + n - d) / (m + n + d).
+    d is no less than the difference of the sizes, nor than that of the parities.
+    """
+    least = np.maximum(np.abs(size_x - size_y), np.bitwise_count(bits_x ^ bits_y).sum(axis=1, dtype=np.int64))
+    return least * (1 + similarity) <= (size_x + size_y) * (1 - similarity) + 1e-6
+
+
+def _sketches(members: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of shingles, and parities."""
+    sketch = np.stack(members["sketch"].to_numpy()).astype(np.int64)
+    return sketch[:, 0], sketch[:, 1:].copy().view(np.uint64)
+
+
+def _touched(members: pd.DataFrame, most: int, similarity: float) -> np.ndarray:
+    """Which rows of a cell are in a pair that is near, counts here and may be copies by the sketches."""
+    (size, bits), moved = _sketches(members), members["moved"].to_numpy(np.int64)
+    open_ = np.zeros(len(members), dtype=bool)
+    for all_x, all_y in near_pairs(members["fp"].to_numpy(np.int64).view(np.uint64), most):
+        for at in range(0, len(all_x), PAIRS // 16):
+            x, y = all_x[at:at + PAIRS // 16], all_y[at:at + PAIRS // 16]
+            asked = (moved[x] & moved[y] == 0) & ~(open_[x] & open_[y])
+            x, y = x[asked], y[asked]
+            may = may_be_copies(size[x], size[y], bits[x], bits[y], similarity)
+            open_[x[may]] = open_[y[may]] = True
+    return open_
+
+
 def _plausible(members: pd.DataFrame, done: pd.DataFrame, most: int, similarity: float,
                room: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a cell that may be copies, between texts not known to be connected nor measured before.
@@ -320,8 +359,7 @@ def _plausible(members: pd.DataFrame, done: pd.DataFrame, most: int, similarity:
     root, own = np.unique(members["root"].to_numpy(np.int64), return_inverse=True)
     if len(root) < 2:
         return node[:0], node[:0]
-    sketch = np.stack(members["sketch"].to_numpy()).astype(np.int64)
-    size, bits = sketch[:, 0], sketch[:, 1:].copy().view(np.uint64)
+    (size, bits), moved = _sketches(members), members["moved"].to_numpy(np.int64)
     known = (np.searchsorted(node, done["a"].to_numpy(np.int64)) * len(node)
              + np.searchsorted(node, done["b"].to_numpy(np.int64)))
     parent = np.arange(len(root))
@@ -338,11 +376,9 @@ def _plausible(members: pd.DataFrame, done: pd.DataFrame, most: int, similarity:
         for at in range(0, len(all_x), PAIRS // 16):
             x, y = all_x[at:at + PAIRS // 16], all_y[at:at + PAIRS // 16]
             open_ = own[x] != own[y] if room > 0 else roots(own[x]) != roots(own[y])
+            open_ &= moved[x] & moved[y] == 0
             x, y = x[open_], y[open_]
-            # Sets of m and n shingles with d in only one of them: similarity (m + n - d) / (m + n + d).
-            # d is no less than the difference of the sizes, nor than that of the parities.
-            least = np.maximum(np.abs(size[x] - size[y]), np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64))
-            open_ = least * (1 + similarity) <= (size[x] + size[y]) * (1 - similarity) + 1e-6
+            open_ = may_be_copies(size[x], size[y], bits[x], bits[y], similarity)
             open_ &= ~np.isin(x * len(node) + y, known)
             x, y = x[open_], y[open_]
             if room > 0:
@@ -375,14 +411,13 @@ def copies(texts: DataFrame, shown: DataFrame, most: int, words: int, similarity
     seen = checkpointed(texts.select(F.posexplode("prints").alias("view", "fp"), F.col("text_hash").alias("node")))
 
     def touched(pdf: pd.DataFrame) -> pd.DataFrame:
-        near = np.zeros(len(pdf), dtype=bool)
-        for x, y in near_pairs(pdf["fp"].to_numpy(np.int64).view(np.uint64), most):
-            near[x] = near[y] = True
-        return pdf[near]
+        return pdf[_touched(pdf, most, similarity)]
 
+    # Near fingerprints are ever more common the more texts there are, and a deeper tree shows
+    # a pair in more leaves; pairs that may be copies, each in one leaf, are not.
     cells = placed_in_cells(seen, most, shard_rows, ("node",))
-    cells = cells.groupBy(*CELL).applyInPandas(touched, cells.schema)
-    cells = checkpointed(cells.join(texts.select(F.col("text_hash").alias("node"), "sketch"), "node"))
+    cells = cells.join(texts.select(F.col("text_hash").alias("node"), "sketch"), "node")
+    cells = checkpointed(cells.groupBy(*CELL).applyInPandas(touched, cells.schema))
     roots = spark.createDataFrame([], "node long, root long")
     proposed = spark.createDataFrame([], "view int, leaf long, i long, j long, a long, b long")
     measured = spark.createDataFrame([], "a long, b long, similarity double")
@@ -390,7 +425,7 @@ def copies(texts: DataFrame, shown: DataFrame, most: int, words: int, similarity
     while True:
         def propose(members: pd.DataFrame, done: pd.DataFrame, turn: int = turn) -> pd.DataFrame:
             a, b = _plausible(members, done, most, similarity,
-                              min(PAIRS, len(members) * 4 ** min(turn, 11)) if turn else 0)
+                              min(MOST_ROOM, len(members) * 4 ** min(turn, 11)) if turn else 0)
             return pd.DataFrame({c: members[c].iloc[0] for c in CELL} | {"a": a, "b": b}, index=range(len(a)))
 
         now = cells.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
