@@ -168,6 +168,23 @@ def test_frames_without_items_and_broken_frames(spark):
     assert [r.value for r in broken.collect()] == ['["x", {"id']
 
 
+def test_frames_of_objects_are_read_as_those_taken_apart(spark):
+    items = [{"id": "a", "price": 0.5, "tags": "x"}, {"id": {"z": 1}, "price": "0", "tags": ["p", None]}, {}, {"price": 0}]
+    read = [sorted(map(str, frames.option_items(spark.createDataFrame([(t,)], "value string")).collect()))
+            for t in (option_frame(*items), option_frame(*items, channel="a,b"), option_frame(*items, None, 7, [{}]))]
+    assert len(read[0]) == 4 and read[0] == read[1] == read[2]
+    bad = spark.createDataFrame([('["x",]',), ('["x",{}',), ('["x",{},null,7]',), ('["x",{},{"a":[1]}]',)], "value string")
+    assert set(map(tuple, frames.bad_frames(bad).select("value", "position").collect())) == {
+        ('["x",]', None), ('["x",{}', None), ('["x",{},null,7]', 2), ('["x",{},null,7]', 3)}
+
+
+def test_frames_are_read_by_the_fields_asked_for_and_keep_digits(spark):
+    df = spark.createDataFrame([('["x",{"id":"a","price":0.12345678901234567890123}]',)], "value string")
+    narrow = lambda *names: frames.option_items(df, schema=T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    assert [tuple(r) for r in narrow("id").collect()] == [("a",)]
+    assert narrow("price").first().price == "0.12345678901234567890123"
+
+
 def test_option_defaults(spark):
     row = option.published(option.normalise(from_frames(spark, option_frame({"price": "1.5"})))).first()
     assert (row.id, row.put_call, row.qty, row.side, row.bias, row.tags) == ("", "C", 0, "N", "N", ["ABOVE_ASK"])

@@ -15,17 +15,21 @@ from ticktide.sources import frames
 
 # --- frames ---------------------------------------------------------------
 
+def _only(*fields: str) -> T.StructType:
+    return T.StructType([schemas.OPTION_ITEM[name] for name in fields])
+
+
 @query("s04_frame_items", o.OPTION + """
 SELECT id FROM opt WHERE o % 97 <> 0 UNION ALL SELECT id || '-b' FROM opt WHERE o % 97 <> 0""")
 def frame_items(spark, sf_dir):
-    return frames.option_items(views.option_frames(spark, sf_dir)).select("id")
+    return frames.option_items(views.option_frames(spark, sf_dir), schema=_only("id")).select("id")
 
 
 @query("s05_priced_items", o.OPTION + """
 SELECT id, price::VARCHAR AS price FROM opt WHERE o % 97 <> 0
 UNION ALL SELECT id || '-b', '0' FROM opt WHERE o % 97 <> 0 AND n % 4 = 3""")
 def priced_items(spark, sf_dir):
-    items = frames.option_items(views.option_frames(spark, sf_dir))
+    items = frames.option_items(views.option_frames(spark, sf_dir), schema=_only("id", "price"))
     return frames.priced(items).select("id", "price")
 
 
