@@ -200,6 +200,30 @@ def test_substring_dedup_of_joined_passages(spark):
         assert got[doc_id]["text"].split() == [w for i, w in enumerate(words) if i not in hit], doc_id
 
 
+def test_substring_dedup_looks_up_repeated_windows_once(spark):
+    """A document's equal windows are one row, and every place of one that an earlier document has is cut."""
+    draw = np.random.default_rng(6)
+    prose = lambda n: " ".join("".join(draw.choice(list("abcdefghij"), draw.integers(2, 8))) for _ in range(n))
+    a, b, n1, n2 = prose(45), prose(45), prose(20), prose(20)
+    rows = [(0, f"{a} {n1}"), (1, f"{n2} {b}"), (2, f"{a} {b}"), (3, f"{n1} {a} {b} {n2} {a} {b} {n1} {b} {a}"),
+            (4, "ja " * 300), (5, "nein " + "ja " * 200), (6, "nein ja " * 150), (7, "ja " * 60 + "so " + "ja " * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, start long, size int, first long, last long")
+    near = spark.createDataFrame([], "doc_id long, found array<struct<first: long, at: long, bytes: binary>>")
+    found = substring_dedup.windows(docs, none, near, 50, 16, False).toPandas()
+    assert len(found) > 0 and not found.duplicated(["doc_id", "digest"]).any()
+    assert found[found.doc_id == 4].start.tolist() == [0] and len(found[found.doc_id == 6]) == 2
+    got = {r["doc_id"]: r for r in substring_dedup.deduplicate(docs.repartition(3)).collect()}
+    seen = {}
+    for doc_id, text in rows:
+        words, hit = text.split(), set()
+        for i in range(len(words) - 49):
+            if seen.setdefault(tuple(words[i:i + 50]), doc_id) < doc_id:
+                hit |= set(range(i, i + 50))
+        assert got[doc_id]["text"].split() == [w for i, w in enumerate(words) if i not in hit], doc_id
+    assert got[3]["n_spans"] == 2 and got[7]["text"].split() == ["so"]
+
+
 def base_statistics(text):
     words = re.findall(WORD, text)
     lines = [x for x in text.split("\n") if re.search(WORD, x)]

@@ -15,6 +15,8 @@ whole passage. So windows of ``least_words`` whole words are looked up, too, eac
 with its own first document, wherever every chunk inside the window stands in
 another document: a window that an earlier document has, too, cannot be without
 that. The windows of a passage cover it, whatever documents had its parts before.
+A window that a document repeats, as in a text of few words over and over, is looked
+up once a document; where it was found, the text's own repeats of it go, too.
 
 A shared passage meets the texts of later documents one to one: no pairs among
 later documents, and rows by digest are combined in the tasks before they move.
@@ -134,21 +136,25 @@ def candidates(shared: DataFrame, least_bytes: int = 48) -> DataFrame:
             .filter(F.col("n") >= least_bytes).drop("n"))
 
 
+def _word_windows(data: bytes, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of all windows of ``least_words`` whole words."""
+    text = np.frombuffer(data, dtype=np.uint8)
+    inner = np.concatenate([[False], ~np.isin(text, np.frombuffer(SPACES, dtype=np.uint8)), [False]])
+    edges = np.flatnonzero(inner[1:] != inner[:-1])
+    start, end = edges[::2], edges[1::2]
+    return start[:max(0, len(start) - least_words + 1)], end[least_words - 1:]
+
+
 def _open_windows(data: bytes, keys: np.ndarray, least_words: int, least_chunk: int) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) of the windows of a text that other texts may have.
 
     ``keys`` has start * 2 * MOST + size of the chunks that other documents have. Only
     chunks whose borders depend on the window's own bytes count against it.
     """
-    text = np.frombuffer(data, dtype=np.uint8)
-    inner = np.concatenate([[False], ~np.isin(text, np.frombuffer(SPACES, dtype=np.uint8)), [False]])
-    edges = np.flatnonzero(inner[1:] != inner[:-1])
-    start, end = edges[::2], edges[1::2]
-    n = max(0, len(start) - least_words + 1)
-    start, end = start[:n], end[least_words - 1:]
-    if not n:
+    start, end = _word_windows(data, least_words)
+    if not len(start):
         return start, end
-    cuts = borders(text, None)
+    cuts = borders(np.frombuffer(data, dtype=np.uint8), None)
     low, high = cuts[:-1], cuts[1:]
     plain = (low >= WINDOW) & (high - low >= least_chunk) & (high - low <= MOST)
     low, high = low[plain], high[plain]
@@ -163,7 +169,8 @@ def windows(dealt: DataFrame, shared: DataFrame, grouped: DataFrame, least_words
     """(digest, doc_id, start, size) of the windows that an earlier document, or as ``source`` a later one, may have.
 
     ``grouped`` has the stretches that chunks propose. A window inside a passage found
-    by them is cut anyway, and the document that has it first is its source.
+    by them is cut anyway, and the document that has it first is its source. Of equal
+    windows of a document there is the first.
     """
     flags = (F.col("first") < F.col("doc_id")).cast("int") + 2 * (F.col("last") > F.col("doc_id")).cast("int")
     # One number per chunk: place, size up to 2 * MOST, flags.
@@ -187,6 +194,8 @@ def windows(dealt: DataFrame, shared: DataFrame, grouped: DataFrame, least_words
                     start, end = start[open_], end[open_]
                 keys = np.fromiter((digest(data[a:b]) for a, b in zip(start.tolist(), end.tolist())),
                                    dtype=np.uint64, count=len(start))
+                keys, at = np.unique(keys, return_index=True)
+                start, end = start[at], end[at]
                 parts.append((keys.view(np.int64), np.full(len(start), doc_id, dtype=np.int64), start.astype(np.int64),
                               (end - start).astype(np.int32)))
             if parts:
@@ -232,6 +241,23 @@ def _passages(data: bytes, found: list[dict], least_words: int) -> list[tuple[in
     return sorted(spans)
 
 
+def _repeats(data: bytes, passages: list[tuple[int, int, int]], least_words: int) -> list[tuple[int, int, int]]:
+    """As `_passages`, the windows outside of these passages that equal one inside."""
+    import xxhash
+    starts, ends = _word_windows(data, least_words)
+    source, known, others = np.full(len(starts), -1), {}, []
+    for at, (low, high, _) in enumerate(passages):
+        source[(starts >= low) & (ends <= high)] = at
+    keys = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+    for key, start, end, at in zip(keys, starts.tolist(), ends.tolist(), source.tolist()):
+        if at >= 0:
+            known.setdefault(key, (data[start:end], passages[at][2]))
+        else:
+            others.append((key, start, end))
+    return [(start, end, known[key][1]) for key, start, end in others
+            if key in known and known[key][0] == data[start:end]]
+
+
 def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_chunk: int) -> DataFrame:
     """Per row: doc_id, the kept text, what was removed, and ``row``, a struct of any other columns."""
     others = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")]
@@ -267,7 +293,8 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, least_words: int, least_ch
             out = []
             for text, *found in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 data = text.encode()
-                passages = sorted(p for items in found if items for p in _passages(data, items, least_words))
+                near, more = (_passages(data, items, least_words) if items else [] for items in found)
+                passages = sorted(near + more + (_repeats(data, more, least_words) if more else []))
                 spans: list[list[int]] = []
                 for start, end, _ in passages:
                     if spans and start <= spans[-1][1]:
