@@ -577,6 +577,41 @@ def test_near_fingerprints_alone_are_not_carried():
     assert np.flatnonzero(simhash._touched(cell, 3, 0.8)).tolist() == [7, 250]
 
 
+@pytest.mark.parametrize("shard_rows", [100_000, 200])
+def test_block_search_meets_every_near_pair(spark, monkeypatch, shard_rows):
+    """One row per text, view and block, whatever their number; a near pair counts in one block of a view."""
+    monkeypatch.setattr(simhash, "LEAF", 100)
+    monkeypatch.setattr(simhash, "BLOCK", 64)
+    draw = np.random.default_rng(15)
+    texts = {}
+    for n in (400, 2000):
+        prints = draw.integers(-2**63, 2**63, (n, 2))
+        for bits in (1, 2, 3):
+            flips = np.bitwise_or.reduce(np.uint64(1) << draw.integers(0, 64, (bits, n // 8)).astype(np.uint64))
+            prints[bits * n // 8:(bits + 1) * n // 8, 0] = (prints[:n // 8, 0].view(np.uint64) ^ flips).view(np.int64)
+        texts[n] = spark.createDataFrame([(i, p.tolist(), [5] * 9) for i, p in enumerate(prints)],
+                                         "text_hash long, prints array<long>, sketch array<long>")
+        if shard_rows > n:
+            assert simhash.placed_in_blocks(texts[n], 3, shard_rows).count() == 8 * n
+    # A crowded key: many texts agree in one block.
+    prints[1000:1300, 1] = prints[1000:1300, 1] & ~0xFFFF | 7
+    prints[1300:1400, 1] = prints[1000:1100, 1] ^ (1 << 40)
+    rows = spark.createDataFrame([(i, p.tolist(), [5] * 9) for i, p in enumerate(prints)],
+                                 "text_hash long, prints array<long>, sketch array<long>")
+    seen = Counter()
+    for (view, block, *_), cell in simhash.placed_in_blocks(rows, 3, shard_rows).toPandas().groupby(simhash.CELL):
+        node, values = cell.node.to_numpy(), cell.fp.to_numpy().view(np.uint64)
+        seen.update({(view, *sorted(p)) for x, y in simhash.near_in_block(values, block, 3)
+                     for p in zip(node[x].tolist(), node[y].tolist())})
+    every = set()
+    for view in range(2):
+        own = np.ascontiguousarray(prints[:, view]).view(np.uint64)
+        x, y = np.nonzero(np.triu(np.bitwise_count(own[:, None] ^ own) <= 3, 1))
+        every |= {(view, a, b) for a, b in zip(x.tolist(), y.tolist())}
+    assert set(seen) == every and len(every) > 1000
+    assert shard_rows == 200 or set(seen.values()) == {1}
+
+
 def test_a_near_pair_counts_in_one_leaf():
     draw = np.random.default_rng(14)
     values = draw.integers(0, 2**63, 400).astype(np.uint64)

@@ -1,4 +1,4 @@
-"""SimHash near-duplicates, found by vantage-point trees.
+"""SimHash near-duplicates, found by vantage-point trees or by blocks of bits.
 
 Fingerprints: a bit is set when it is set in over half of the XXH64 values (seed
 42) of a text's word shingles. Texts with one fingerprint form one node, so
@@ -20,6 +20,11 @@ task. A shard returns a spanning forest of its links, never all pairs.
 
 The sample decides where the borders lie and how even the shards are, not which
 pairs are found: the result is that of comparing everything with everything.
+
+A deeper tree has more borders, so a row is in ever more leaves the more rows there
+are. `drop_near_copies`, whose rows carry sketches, searches by blocks of bits: of
+one block more than bits may differ, two near fingerprints agree in one block at
+least. So a text has one row per view and block, however many texts there are.
 """
 
 from __future__ import annotations
@@ -165,18 +170,111 @@ def _forest(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return (values[np.concatenate(first)], values[np.concatenate(second)]) if first else (values[:0], values[:0])
 
 
-def placed_in_cells(nodes: DataFrame, most: int, shard_rows: int, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(view, fp, carried long columns, leaf, moved, i, j): any two rows of a view at most ``most`` bits apart share a cell.
-
-    The last column of (fp, carried) deals the rows of a crowded leaf to its parts.
+def block_keys(values: np.ndarray, block: int, most: int) -> np.ndarray:
+    """The bits of one of ``most`` + 1 blocks."""
+    low, high = 64 * block // (most + 1), 64 * (block + 1) // (most + 1)
+    return values >> np.uint64(low) & np.uint64((1 << high - low) - 1)
+
+
+def near_in_block(values: np.ndarray, block: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As `near_pairs`, of the pairs that agree in this block and in none before it, with the smaller index first."""
+    if not len(values):
+        return
+
+    def counted(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        differ = values[x] ^ values[y]
+        keep = np.bitwise_count(differ) <= most
+        for earlier in range(block):
+            keep &= block_keys(differ, earlier, most) != 0
+        return x[keep], y[keep]
+
+    key = block_keys(values, block, most)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(begin, len(key)))
+    for at in np.flatnonzero(size > BLOCK):
+        own = order[begin[at]:begin[at] + size[at]]
+        for x, y in near_pairs(values[own], most):
+            yield counted(own[x], own[y])
+    # The others meet all that come behind them under their key.
+    behind = np.repeat(begin + size, size) - np.arange(len(key)) - 1
+    behind[np.repeat(size > BLOCK, size)] = 0
+    total, at = np.cumsum(behind), 0
+    while at < len(key):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")))
+        n = behind[at:to]
+        x = np.repeat(np.arange(at, to), n)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+        yield counted(order[x], order[y])
+        at = to
+
+
+def placed_in_blocks(texts: DataFrame, most: int, shard_rows: int) -> DataFrame:
+    """(view, moved, leaf, i, j, fp, node, sketch): any two texts that agree in a block of a view share a cell.
+
+    ``moved`` is the block. A leaf holds the keys of a block with one remainder. A leaf
+    with more than ``shard_rows`` rows, of a key that very many texts have, is cut into
+    parts, and every pair of parts is a cell.
     """
-    names = ["fp", *carry]
-    longs = ", ".join(f"{c} long" for c in names)
+    leaves = max(1, -(-texts.count() // (2 * LEAF)))
+
+    def views(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """(batch, view, block, values, leaf)"""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            prints = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(batch.num_rows, -1)
+            for view in range(prints.shape[1]):
+                values = np.ascontiguousarray(prints[:, view])
+                for block in range(most + 1):
+                    mixed = block_keys(values, block, most) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+                    yield batch, view, block, values, (mixed % np.uint64(leaves)).astype(np.int64)
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[int, int], np.ndarray] = {}
+        for _, view, block, _, leaf in views(batches):
+            counts[view, block] = counts.get((view, block), 0) + np.bincount(leaf, minlength=leaves)
+        for at, n in counts.items():
+            own = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(own), c, dtype=np.int32)) for c in at] + [pa.array(own), pa.array(n[own])],
+                ["view", "moved", "leaf", "n"])
+
+    given = texts.select(F.col("text_hash").alias("node"), "prints", "sketch")
+    # One row per crowded leaf, of which there are fewer than rows / shard_rows.
+    crowded: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for row in (given.select("node", "prints").mapInArrow(sizes, "view int, moved int, leaf long, n long")
+                .groupBy("view", "moved", "leaf").agg(F.sum("n").alias("n")).filter(F.col("n") > shard_rows).collect()):
+        crowded.setdefault((row["view"], row["moved"]), []).append((row["leaf"], -(-row["n"] // shard_rows)))
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, view, block, values, leaf in views(batches):
+            cut = np.ones(len(leaf), dtype=np.int64)
+            for one, parts in crowded.get((view, block), []):
+                cut[leaf == one] = parts
+            node, sketch = batch.column(0), batch.column(2)
+            own = (node.to_numpy(zero_copy_only=False).view(np.uint64) % cut.astype(np.uint64)).astype(np.int64)
+            # A row of part p meets every part k in cell (min, max).
+            at = np.repeat(np.arange(len(leaf)), cut)
+            k = np.arange(len(at)) - np.repeat(np.cumsum(cut) - cut, cut)
+            if len(at) > len(leaf):
+                node, sketch = node.take(pa.array(at)), sketch.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.full(len(at), c, dtype=np.int32)) for c in (view, block)), pa.array(leaf[at]),
+                 pa.array(np.minimum(own[at], k)), pa.array(np.maximum(own[at], k)),
+                 pa.array(values[at].view(np.int64)), node, sketch], [*CELL, "fp", "node", "sketch"])
+
+    return given.mapInArrow(
+        cells, "view int, moved int, leaf long, i long, j long, fp long, node long, sketch array<long>")
+
+
+def placed_in_cells(nodes: DataFrame, most: int, shard_rows: int) -> DataFrame:
+    """(view, fp, leaf, moved, i, j): any two rows of a view at most ``most`` bits apart share a cell."""
     count = nodes.groupBy("view").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     depth = max(0, min(MOST_LEAVES, -(-count // LEAF)) - 1).bit_length()
     step = max(1, count // (SAMPLE_PER_LEAF * 2 ** depth))
-    sample = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("view", "fp")
-    sample = (sample.distinct() if carry else sample).toPandas()
+    sample = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("view", "fp").toPandas()
     trees = {int(view): fit_tree(np.sort(part["fp"].to_numpy(np.int64).view(np.uint64)), depth)
              for view, part in sample.groupby("view")}
     # A view without a sample is small: all of it goes inside, to one shard.
@@ -184,15 +282,15 @@ def placed_in_cells(nodes: DataFrame, most: int, shard_rows: int, carry: tuple[s
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            views, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            views, values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             for view in np.unique(views):
-                own = [c[views == view] for c in columns]
-                index, leaf, moved = route(own[0].view(np.uint64), *trees.get(int(view), empty), depth, most)
+                own = values[views == view]
+                index, leaf, moved = route(own.view(np.uint64), *trees.get(int(view), empty), depth, most)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(index), view, dtype=np.int32)), *(pa.array(c[index]) for c in own),
-                     pa.array(leaf), pa.array(moved)], ["view", *names, "leaf", "moved"])
+                    [pa.array(np.full(len(index), view, dtype=np.int32)), pa.array(own[index]),
+                     pa.array(leaf), pa.array(moved)], ["view", "fp", "leaf", "moved"])
 
-    placed = nodes.select("view", *names).mapInArrow(routed, f"view int, {longs}, leaf long, moved long")
+    placed = nodes.select("view", "fp").mapInArrow(routed, "view int, fp long, leaf long, moved long")
     # One row per view and leaf that is too large, so at most MOST_LEAVES a view.
     parts = {(row["view"], row["leaf"]): -(-row["n"] // shard_rows)
              for row in placed.groupBy("view", "leaf").agg(F.count("*").alias("n"))
@@ -200,18 +298,18 @@ def placed_in_cells(nodes: DataFrame, most: int, shard_rows: int, carry: tuple[s
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            views, *columns, leaves, moved = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            views, values, leaves, moved = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             cut = np.array([parts.get(key, 1) for key in zip(views.tolist(), leaves.tolist())], dtype=np.int64)
-            own = (columns[-1].view(np.uint64) % cut.astype(np.uint64)).astype(np.int64)
+            own = (values.view(np.uint64) % cut.astype(np.uint64)).astype(np.int64)
             # A row of part p meets every part k in cell (min, max).
             at = np.repeat(np.arange(len(views)), cut)
             k = np.arange(len(at)) - np.repeat(np.cumsum(cut) - cut, cut)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(views[at]), *(pa.array(c[at]) for c in columns), pa.array(leaves[at]), pa.array(moved[at]),
+                [pa.array(views[at]), pa.array(values[at]), pa.array(leaves[at]), pa.array(moved[at]),
                  pa.array(np.minimum(own[at], k)), pa.array(np.maximum(own[at], k))],
-                ["view", *names, "leaf", "moved", "i", "j"])
+                ["view", "fp", "leaf", "moved", "i", "j"])
 
-    return placed.mapInArrow(cells, f"view int, {longs}, leaf long, moved long, i long, j long")
+    return placed.mapInArrow(cells, "view int, fp long, leaf long, moved long, i long, j long")
 
 
 def links(nodes: DataFrame, most: int = 3, shard_rows: int = 65_536) -> DataFrame:
@@ -314,7 +412,7 @@ def shingle_similarity(pairs: DataFrame, words: int) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(compute, "a long, b long, similarity double")
 
 
-CELL = ["view", "leaf", "i", "j"]
+CELL = ["view", "moved", "leaf", "i", "j"]
 
 
 def may_be_copies(size_x: np.ndarray, size_y: np.ndarray, bits_x: np.ndarray, bits_y: np.ndarray,
@@ -336,12 +434,13 @@ def _sketches(members: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def _touched(members: pd.DataFrame, most: int, similarity: float) -> np.ndarray:
     """Which rows of a cell are in a pair that is near, counts here and may be copies by the sketches."""
-    (size, bits), moved = _sketches(members), members["moved"].to_numpy(np.int64)
+    size, bits = _sketches(members)
     open_ = np.zeros(len(members), dtype=bool)
-    for all_x, all_y in near_pairs(members["fp"].to_numpy(np.int64).view(np.uint64), most):
+    values, block = members["fp"].to_numpy(np.int64).view(np.uint64), int(members["moved"].iloc[0])
+    for all_x, all_y in near_in_block(values, block, most):
         for at in range(0, len(all_x), PAIRS // 16):
             x, y = all_x[at:at + PAIRS // 16], all_y[at:at + PAIRS // 16]
-            asked = (moved[x] & moved[y] == 0) & ~(open_[x] & open_[y])
+            asked = ~(open_[x] & open_[y])
             x, y = x[asked], y[asked]
             may = may_be_copies(size[x], size[y], bits[x], bits[y], similarity)
             open_[x[may]] = open_[y[may]] = True
@@ -359,7 +458,7 @@ def _plausible(members: pd.DataFrame, done: pd.DataFrame, most: int, similarity:
     root, own = np.unique(members["root"].to_numpy(np.int64), return_inverse=True)
     if len(root) < 2:
         return node[:0], node[:0]
-    (size, bits), moved = _sketches(members), members["moved"].to_numpy(np.int64)
+    (size, bits), block = _sketches(members), int(members["moved"].iloc[0])
     known = (np.searchsorted(node, done["a"].to_numpy(np.int64)) * len(node)
              + np.searchsorted(node, done["b"].to_numpy(np.int64)))
     parent = np.arange(len(root))
@@ -372,11 +471,10 @@ def _plausible(members: pd.DataFrame, done: pd.DataFrame, most: int, similarity:
             index = parent[above]
 
     first, second = [node[:0]], [node[:0]]
-    for all_x, all_y in near_pairs(values, most):
+    for all_x, all_y in near_in_block(values, block, most):
         for at in range(0, len(all_x), PAIRS // 16):
             x, y = all_x[at:at + PAIRS // 16], all_y[at:at + PAIRS // 16]
             open_ = own[x] != own[y] if room > 0 else roots(own[x]) != roots(own[y])
-            open_ &= moved[x] & moved[y] == 0
             x, y = x[open_], y[open_]
             open_ = may_be_copies(size[x], size[y], bits[x], bits[y], similarity)
             open_ &= ~np.isin(x * len(node) + y, known)
@@ -408,18 +506,17 @@ def copies(texts: DataFrame, shown: DataFrame, most: int, words: int, similarity
     few where many texts look alike and are not.
     """
     spark = texts.sparkSession
-    seen = checkpointed(texts.select(F.posexplode("prints").alias("view", "fp"), F.col("text_hash").alias("node")))
+    texts = checkpointed(texts)
 
     def touched(pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf[_touched(pdf, most, similarity)]
 
-    # Near fingerprints are ever more common the more texts there are, and a deeper tree shows
-    # a pair in more leaves; pairs that may be copies, each in one leaf, are not.
-    cells = placed_in_cells(seen, most, shard_rows, ("node",))
-    cells = cells.join(texts.select(F.col("text_hash").alias("node"), "sketch"), "node")
+    # Near fingerprints are ever more common the more texts there are; pairs that may be
+    # copies, each in one block, are not.
+    cells = placed_in_blocks(texts, most, shard_rows)
     cells = checkpointed(cells.groupBy(*CELL).applyInPandas(touched, cells.schema))
     roots = spark.createDataFrame([], "node long, root long")
-    proposed = spark.createDataFrame([], "view int, leaf long, i long, j long, a long, b long")
+    proposed = spark.createDataFrame([], "view int, moved int, leaf long, i long, j long, a long, b long")
     measured = spark.createDataFrame([], "a long, b long, similarity double")
     turn = 0
     while True:
