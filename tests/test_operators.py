@@ -1,5 +1,6 @@
 """Operators against brute force on small and skewed inputs."""
 
+import itertools
 import json
 import random
 from bisect import bisect_right
@@ -9,7 +10,9 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from ticktide import dims, schemas
+from ticktide.functions import decimals, tags
 from ticktide.operators import bars, equity, lookups, option, quality, tables
+from ticktide.plans import views
 from ticktide.session import estimated_bytes, local_table, shared_folder
 from ticktide.sources import external, frames, landing
 
@@ -210,6 +213,39 @@ def test_millionaire_and_side_words(spark):
     assert (row.side, row.bias, row.tags) == ("A", "B", ["ETF", "FLOOR", "MILLIONAIRE"])
 
 
+def test_decimal_texts_read_short_or_wide_alike(spark):
+    texts = ["5", "5.00", "-0.12", "0.129", "-0.129", "1e-3", "-6E-3", "1.5e2", "1e12", "99999999999", "9999999999.99", " 7.1 ",
+             "7.12345", ".5", "5.", "+3", "-", "x", "", "1.2.3", "0.1234567890123456789", None]
+    rows = [(f"{i}", p, b, a) for i, (p, b, a) in enumerate(itertools.product(texts, texts, texts[:8]))]
+    items = spark.createDataFrame(rows, "id string, price string, nbbo_bid string, nbbo_ask string")
+    for field in schemas.OPTION_ITEM:
+        if field.name not in items.columns:
+            items = items.withColumn(field.name, F.lit(None).cast(field.dataType))
+    wide = {c: F.coalesce(F.col(c), F.lit("0")).try_cast("decimal(38,18)") for c in ("price", "nbbo_bid", "nbbo_ask")}
+    exact = items.select("id", *[c.alias(n) for n, c in wide.items()])
+    expected = exact.select(
+        "id", decimals.coerce_down(F.col("price"), 12, 2), decimals.coerce_down(F.col("nbbo_bid"), 14, 4),
+        decimals.coerce_down(F.col("nbbo_ask"), 14, 4), tags.outside_book(F.col("price"), F.col("nbbo_bid"), F.col("nbbo_ask")),
+        F.round(tags.bull_bear_score(F.col("price"), F.col("nbbo_bid"), F.col("nbbo_ask"), F.lit("N")), 6).try_cast("decimal(8,6)"))
+    for settle in (True, False):
+        got = option.normalise(items, settle=settle).select("id", "price", "bid_px", "ask_px", F.try_element_at("tags", F.lit(1)), "score")
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, expected.collect())))
+
+
+def test_published_option_trades_convert_each_value_once(spark, sf_dir):
+    plan = views.option_trades(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    record = plan.split("Generate")[0]
+    assert "decimal(38,18)" not in record and "as double)" not in record and "transform(" not in record
+    assert plan.count("Generate explode(array(_failed") == 1 and "round(" not in plan and "date_format" not in plan
+
+
+def test_cents_are_rounded_half_away_from_zero(one):
+    values = [0.49999999999999994, 0.5, -0.5, 2.5, -2.5, 1.4999999999999998, 4503599627370495.5, -4503599627370495.5, 84197.04 * 100]
+    for value in values:
+        row = one("v double", (value,), a=views._half_up(F.col("v")), b=F.round("v").cast("bigint"))
+        assert row["a"] == row["b"], value
+
+
 def test_latest_per_key_and_deduplication(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (2, 1, "c"), (1, 7, "b")], "k int, v int, x string")
     assert sorted(map(tuple, tables.latest_per_key(df, ["k"], "v").collect())) == [(1, 7, "b"), (2, 1, "c")]

@@ -47,6 +47,17 @@ def coerce_down(value: Column, precision: int, scale: int) -> Column:
     return truncate(value, scale).try_cast(T.DecimalType(precision, scale))
 
 
+def plain_text_down(text: Column, precision: int, scale: int) -> Column:
+    """Decimal text of at most ``scale`` places, read without a wider decimal; null for
+    any other, which `coerce_down` of the wide decimal reads.
+
+    A negative exponent hides places. A text has fewer places than characters.
+    """
+    few = (F.length(text) <= scale + 1) | F.substring(text, -(scale + 1), scale + 1).contains(".")
+    plain = ~text.contains("e-") & ~text.contains("E-") & (few | ~text.contains("."))
+    return F.when(plain, text.try_cast(T.DecimalType(precision, scale)))
+
+
 def coerce_half_even(value: Column, precision: int, scale: int) -> Column:
     """Round half even; null when there are more than ``precision`` integer digits."""
     rounded = F.bround(value, scale).try_cast(T.DecimalType(min(38, precision + scale), scale))

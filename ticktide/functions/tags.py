@@ -12,8 +12,9 @@ MILLIONAIRE_PREMIUM = 1_000_000
 
 
 def keep_set(*tags: Column) -> Column:
-    """Array of the tags that apply, in order."""
-    return F.filter(F.array(*tags), lambda tag: tag.isNotNull())
+    """Array of the tags that apply, in order. No lambda, which Spark would interpret."""
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(tag.isNotNull(), F.array(tag)).otherwise(none) for tag in tags])
 
 
 def above_ask(price: Column, ask: Column) -> Column:
@@ -26,7 +27,12 @@ def below_bid(price: Column, bid: Column) -> Column:
 
 def outside_book(price: Column, bid: Column, ask: Column) -> Column:
     """At most one of the two book tags; a price above the ask wins."""
-    return F.coalesce(above_ask(price, ask), below_bid(price, bid))
+    return placed_tag(price < bid, price > ask)
+
+
+def placed_tag(below: Column, above: Column) -> Column:
+    """The book tag from comparisons that are made already."""
+    return F.when(above, F.lit("ABOVE_ASK")).when(below, F.lit("BELOW_BID"))
 
 
 def whale(price: Column, qty: Column) -> Column:
@@ -39,10 +45,18 @@ def raw_whale(fixed_price: Column, qty: Column) -> Column:
     return F.when(notional > F.lit(WHALE_NOTIONAL), F.lit("WHALE"))
 
 
+def joined(*sources: Column) -> Column:
+    empty = F.array().cast("array<string>")
+    return F.concat(*[F.coalesce(s, empty) for s in sources])
+
+
+def upper(words: Column) -> Column:
+    return F.transform(words, F.upper)
+
+
 def raw_tags(*sources: Column) -> Column:
     """Upper-cased concatenation; order and duplicates stay."""
-    empty = F.array().cast("array<string>")
-    return F.transform(F.concat(*[F.coalesce(s, empty) for s in sources]), F.upper)
+    return upper(joined(*sources))
 
 
 def side(tags: Column) -> Column:
@@ -63,10 +77,16 @@ def without_side_and_bias(tags: Column) -> Column:
 def bull_bear_score(price: Column, bid: Column, ask: Column, bias_code: Column) -> Column:
     """-1 below the bid, 1 above the ask, else a sigmoid of the distance from
     the mid price whose sign follows the bias. Comparisons are exact."""
-    p, b, a = (c.cast("double") for c in (price, bid, ask))
+    doubles = [c.cast("double") for c in (price, bid, ask)]
+    return placed_score(price < bid, price > ask, ask == bid, *doubles, bias_code)
+
+
+def placed_score(below: Column, above: Column, locked: Column, p: Column, b: Column, a: Column,
+                 bias_code: Column) -> Column:
+    """The score from comparisons that are made already, and prices as doubles."""
     half_range = F.nullif((a - b) / 2, F.lit(0.0))
     x = (p - (b + a) / 2) / half_range
     magnitude = F.abs(F.lit(2.0) / (F.lit(1.0) + F.exp(-x)) - 1)
     signed = F.when(bias_code == "R", -magnitude).otherwise(magnitude)
-    return (F.when(price < bid, F.lit(-1.0)).when(price > ask, F.lit(1.0))
-            .when(ask == bid, F.lit(0.0)).otherwise(signed))
+    return (F.when(below, F.lit(-1.0)).when(above, F.lit(1.0))
+            .when(locked, F.lit(0.0)).otherwise(signed))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ticktide import schemas
@@ -18,6 +21,8 @@ DECIMAL_INPUTS = {
     "delta": ("delta", PLACEHOLDER), "gamma": ("gamma", PLACEHOLDER),
     "vega": ("vega", PLACEHOLDER), "theta": ("theta", PLACEHOLDER), "rho": ("rho", PLACEHOLDER),
 }
+# The prices that are compared exactly.
+COMPARED = ("price", "bid_px", "ask_px")
 # Published integer fields and their inputs; fixed values.
 INTEGER_INPUTS = {
     "qty": "size", "vol": "volume", "oi": "open_interest", "vol_ask": "ask_vol",
@@ -34,17 +39,19 @@ MISSING_EXPIRY = "1970-01-01"
 MISSING_EXPIRY_FOR_DAYS = "1800-01-01"
 
 
-def _exact(name: str, default: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(default)).try_cast("decimal(38,18)")
+def _text(name: str) -> Column:
+    source, default = DECIMAL_INPUTS[name]
+    return F.coalesce(F.col(source), F.lit(default))
 
 
 def _whole(name: str) -> Column:
-    text = F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit("0"))
-    return text.try_cast("int")
+    empty = F.coalesce(F.col(name), F.lit("")) == ""
+    return F.coalesce(F.col(name).try_cast("int"), F.when(empty, 0))
 
 
 def _expiry(default: str) -> Column:
-    return F.substring(F.coalesce(F.col("expiry"), F.lit(default)), 1, 10).try_cast("date")
+    parsed = F.substring("expiry", 1, 10).try_cast("date")
+    return F.coalesce(parsed, F.when(F.col("expiry").isNull(), F.lit(default).cast("date")))
 
 
 def trade_date(executed_ms: Column, zone: str) -> Column:
@@ -52,23 +59,44 @@ def trade_date(executed_ms: Column, zone: str) -> Column:
 
 
 def parse(items: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Text fields to typed columns, null where a text does not parse. The exact
-    prices stay beside the published ones, for the comparisons."""
+    """Text fields to typed columns, null where a text does not parse.
+
+    Decimals of no more places than the schema has, nearly all of them, are read as they
+    are published; any other as decimal(38,18), then cut. Price, bid and ask are compared
+    exactly, so all three are read wide when one of them is; the comparisons and the prices as
+    doubles stay beside the published ones.
+    """
     types = {field.name: field.dataType for field in schemas.OPTION_TRADES.fields}
+    plain = {name: decimals.plain_text_down(_text(name), types[name].precision, types[name].scale)
+             for name in DECIMAL_INPUTS}
+    missed = {name: value.isNull() for name, value in plain.items()}
+    missed |= dict.fromkeys(COMPARED, reduce(or_, [missed[name] for name in COMPARED]))
     texts = {source for source in TEXT_INPUTS.values()} | {"option_type", "tags", "report_flags"}
     wide = items.select(
-        *sorted(texts), F.coalesce(F.col("executed_at"), F.lit("0")).try_cast("bigint").alias("timestamp"),
+        *sorted(texts - {"tags", "report_flags"}),
+        F.coalesce(F.col("executed_at"), F.lit("0")).try_cast("bigint").alias("timestamp"),
         _expiry(MISSING_EXPIRY).alias("exp_date"), _expiry(MISSING_EXPIRY_FOR_DAYS).alias("_expiry"),
-        *[_exact(source, default).alias(f"_{name}")
-          for name, (source, default) in DECIMAL_INPUTS.items()],
-        *[_whole(source).alias(name) for name, source in INTEGER_INPUTS.items()])
-    typed = wide.select(
-        *sorted(texts), "timestamp", "exp_date", *INTEGER_INPUTS,
-        F.datediff("_expiry", trade_date(F.col("timestamp"), zone)).alias("dte"),
-        *[decimals.coerce_down(F.col(f"_{name}"), types[name].precision, types[name].scale).alias(name)
+        *[value.alias(name) for name, value in plain.items()],
+        tags.joined(F.col("tags"), F.col("report_flags")).alias("words"),
+        *[F.when(missed[name], _text(name).try_cast("decimal(38,18)")).alias(f"_{name}")
           for name in DECIMAL_INPUTS],
-        *[F.col(f"_{name}") for name in ("price", "bid_px", "ask_px")])
-    return typed
+        *[_whole(source).alias(name) for name, source in INTEGER_INPUTS.items()])
+    price, bid, ask = [F.col(name) for name in COMPARED]
+    wide_price, wide_bid, wide_ask = [F.col(f"_{name}") for name in COMPARED]
+    numbers = {
+        **{name: F.col(name) for name in ("timestamp", "exp_date", *INTEGER_INPUTS)},
+        "dte": F.datediff("_expiry", trade_date(F.col("timestamp"), zone)),
+        **{name: F.coalesce(name, decimals.coerce_down(
+            F.col(f"_{name}"), types[name].precision, types[name].scale)) for name in DECIMAL_INPUTS}}
+    return wide.select(
+        *sorted(texts - {"tags", "report_flags"}), *[value.alias(name) for name, value in numbers.items()],
+        reduce(or_, [numbers[name].isNull() for name in CAN_FAIL]).alias("_failed"),
+        tags.upper(F.col("words")).alias("_words"),
+        F.coalesce(price < bid, wide_price < wide_bid).alias("_below"),
+        F.coalesce(price > ask, wide_price > wide_ask).alias("_above"),
+        F.coalesce(ask == bid, wide_ask == wide_bid).alias("_locked"),
+        *[F.coalesce(F.col(name).cast("double"), F.col(f"_{name}").cast("double")).alias(f"_{name}")
+          for name in COMPARED])
 
 
 def normalise(items: DataFrame, zone: str = "UTC", settle: bool = True) -> DataFrame:
@@ -80,10 +108,11 @@ def normalise(items: DataFrame, zone: str = "UTC", settle: bool = True) -> DataF
     queries that read few fields and do not filter on ``reason``: the fields they
     leave out are then not even parsed.
     """
-    typed = quality.settled(parse(items, zone)) if settle else parse(items, zone)
-    exact = [F.col(f"_{name}") for name in ("price", "bid_px", "ask_px")]
-    words = tags.raw_tags(F.col("tags"), F.col("report_flags"))
-    marked = typed.select("*", words.alias("_words"))
+    typed = parse(items, zone)
+    if settle:
+        typed = quality.settled(typed, "_failed")
+    below, above, locked = F.col("_below"), F.col("_above"), F.col("_locked")
+    prices = [F.col(f"_{name}") for name in COMPARED]
     words, bias = F.col("_words"), tags.bias(F.col("_words"))
     # A zero price or score is documented to become the placeholder 1e-8. The
     # published scales (2 and 6) cut that back to zero, so zero is left alone.
@@ -92,17 +121,18 @@ def normalise(items: DataFrame, zone: str = "UTC", settle: bool = True) -> DataF
         "put_call": F.upper(F.substring(F.coalesce(F.col("option_type"), F.lit("C")), 1, 1)),
         "side": tags.side(words),
         "bias": bias,
-        "score": F.round(tags.bull_bear_score(*exact, bias), 6).try_cast("decimal(8,6)"),
+        # The cast rounds half up, as `round` does.
+        "score": tags.placed_score(below, above, locked, *prices, bias).try_cast("decimal(8,6)"),
         "tags": F.concat(
             tags.without_side_and_bias(words),
             tags.keep_set(
                 F.when(F.col("premium") >= tags.MILLIONAIRE_PREMIUM, F.lit("MILLIONAIRE")),
-                tags.outside_book(*exact))),
+                tags.placed_tag(below, above))),
     }
-    record = marked.select(
+    record = typed.select(
         *[derived.get(name, F.col(name)).alias(name) for name in schemas.OPTION_TRADES.fieldNames()],
-        times.event_millis(F.col("timestamp")).alias("event_ms"))
-    return quality.with_reasons(record, mapping_rules())
+        times.event_millis(F.col("timestamp")).alias("event_ms"), "_failed")
+    return quality.with_reasons(record, mapping_rules(), failed="_failed")
 
 
 def mapping_rules() -> quality.Rules:

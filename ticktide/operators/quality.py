@@ -9,24 +9,30 @@ from pyspark.sql import Column, DataFrame, functions as F
 Rules = dict[str, Column]
 
 
-def with_reasons(records: DataFrame, rules: Rules, column: str = "reason") -> DataFrame:
+def with_reasons(records: DataFrame, rules: Rules, column: str = "reason",
+                 failed: str | None = None) -> DataFrame:
     """Add the array of failed rules. ``rules`` maps a reason to the column that
-    is true when the record fails; null counts as not failed."""
-    marks = [F.when(failed, F.lit(reason)) for reason, failed in rules.items()]
-    any_failed = reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in rules.values()])
+    is true when the record fails; null counts as not failed. ``failed`` names a
+    column that says already whether any rule failed; it is dropped."""
+    marks = [F.when(broken, F.lit(reason)) for reason, broken in rules.items()]
+    any_failed = F.col(failed) if failed else reduce(
+        lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in rules.values()])
     # The array is built for failing records only; most records have no reason.
     reasons = F.when(any_failed, F.filter(F.array(*marks), lambda r: r.isNotNull())).otherwise(
         F.array().cast("array<string>"))
-    return records.withColumn(column, reasons)
+    marked = records.withColumn(column, reasons)
+    return marked.drop(failed) if failed else marked
 
 
-def settled(records: DataFrame) -> DataFrame:
-    """The records as the output of a generator, which a filter does not cross.
+def settled(records: DataFrame, mark: str) -> DataFrame:
+    """The records with ``mark`` as the output of a generator, which a filter on it
+    does not cross.
 
-    A filter on parsed values would otherwise move below the projection that
-    parses them and take a second copy of every parsing expression with it.
+    The filter would otherwise move below the projection that parses the values and
+    take a second copy of every parsing expression with it. The other columns pass
+    beside the generator, so those that a query does not read are not computed.
     """
-    return records.select(F.inline_outer(F.array(F.struct(*records.columns))))
+    return records.withColumn(mark, F.explode(F.array(mark)))
 
 
 def valid(records: DataFrame, column: str = "reason") -> DataFrame:

@@ -23,6 +23,8 @@ def _plain(name: str, dtype: T.DataType) -> Column:
         return value.cast("string").alias(name)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(value).alias(name)
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StringType):
+        return F.array_join(value, "|").alias(name)
     if isinstance(dtype, T.ArrayType):
         return F.array_join(F.transform(value, lambda e: e.cast("string")), "|").alias(name)
     if isinstance(dtype, T.BinaryType):

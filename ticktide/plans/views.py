@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ticktide import dims
 from ticktide.calendars import lookup
+from ticktide.functions import tags
 from ticktide.functions.decimals import UNDEF_PRICE
 from ticktide.operators import equity, option
 from ticktide.session import use_utc
@@ -112,6 +113,14 @@ def timed_equity_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equity_trades(spark, sf_dir).withColumn("ts", F.timestamp_millis("timestamp"))
 
 
+def _half_up(value: Column) -> Column:
+    """``round`` to a bigint, half away from zero, without its detour through text. What is
+    left of a double after its whole part is exact."""
+    whole = value.cast("bigint")
+    rest = value - whole
+    return whole + F.when(rest.between(0.5, 1), 1).when(rest.between(-1, -0.5), -1).otherwise(0)
+
+
 def _cents_text(cents) -> object:
     whole = F.call_function("div", cents, F.lit(100)).cast("string")
     return F.concat(whole, F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
@@ -119,24 +128,31 @@ def _cents_text(cents) -> object:
 
 def option_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Option trade items as the feed sends them: scalars as text."""
-    joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    big = lambda c: F.round(F.col(c) * 100).cast("bigint")
-    qty = F.col("l_quantity").cast("bigint")
-    line, order = F.col("l_linenumber").cast("bigint"), F.col("l_orderkey")
-    price = F.call_function("div", big("l_extendedprice"), qty * 100)
+    cents = lambda c: _half_up(F.col(c) * 100)
+    shipped = F.col("l_shipdate").cast("date")
+    line = F.col("l_linenumber").cast("bigint")
+    # Numbers that several texts show are columns, made once.
+    joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
+        line.alias("line"), F.col("l_quantity").cast("bigint").alias("qty"), shipped.alias("shipped"),
+        F.date_add(shipped, (line * 30).cast("int")).alias("expires"),
+        *[cents(c).alias(c) for c in ("l_extendedprice", "l_discount", "l_tax")],
+        cents("p_retailprice").alias("retail"), _half_up(F.col("p_retailprice")).alias("strike"))
+    order, line, qty = F.col("l_orderkey"), F.col("line"), F.col("qty")
+    price = F.call_function("div", F.col("l_extendedprice"), qty * 100)
     # The book is 0.10 wide at most; price above, below or inside, or a locked book.
     case = order % 9
     bid = (F.when(case == 0, price + 1).when(case == 1, price).when(case == 2, price - 9)
-           .otherwise(price - big("l_discount") - 1))
+           .otherwise(price - F.col("l_discount") - 1))
     ask = (F.when(case == 0, price + 6).when(case == 1, price).when(case == 2, price - 1)
-           .otherwise(price + big("l_tax") + 1))
-    shipped = F.col("l_shipdate").cast("date")
-    executed = F.unix_date(shipped).cast("bigint") * 86_400_000 + (order % 86_400) * 1000
+           .otherwise(price + F.col("l_tax") + 1))
+    executed = F.unix_date("shipped").cast("bigint") * 86_400_000 + (order % 86_400) * 1000
     put = F.col("l_returnflag") == "R"
-    strike = F.round(F.col("p_retailprice")).cast("bigint")
-    expiry = F.date_add(shipped, (line * 30).cast("int"))
+    strike, expiry = F.col("strike"), F.col("expires")
+    # As `yyMMdd`, without a formatter.
+    day = F.abs(F.year(expiry) % 100) * 10_000 + F.month(expiry) * 100 + F.day(expiry)
     symbol = F.concat(F.rpad(F.concat(F.lit("P"), (F.col("l_partkey") % 1000).cast("string")), 6, " "),
-                      F.date_format(expiry, "yyMMdd"), F.when(put, "P").otherwise("C"),
+                      F.lpad(day.cast("string"), 6, "0"), F.when(put, "P").otherwise("C"),
                       F.lpad((strike * 1000).cast("string"), 8, "0"))
     greek = lambda sign, number: F.concat(F.lit(sign + "0."), F.lpad((number % 100000).cast("string"), 5, "0"))
     maybe = lambda column, k: F.when((order + line) % k != 0, column)
@@ -153,9 +169,9 @@ def option_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.when(put, "put").otherwise("call").alias("option_type"),
         _cents_text(price).alias("price"), _cents_text(bid).alias("nbbo_bid"),
         _cents_text(ask).alias("nbbo_ask"),
-        _cents_text(big("p_retailprice") + (order % 21 - 10) * 100).alias("underlying_price"),
+        _cents_text(F.col("retail") + (order % 21 - 10) * 100).alias("underlying_price"),
         strike.cast("string").alias("strike"),
-        maybe(_cents_text(big("l_extendedprice") * 100), 23).alias("premium"),
+        maybe(_cents_text(F.col("l_extendedprice") * 100), 23).alias("premium"),
         maybe(greek("", order * 7 + line), 13).alias("implied_volatility"),
         maybe(_cents_text(price + line), 11).alias("theo"),
         maybe(greek("", order + line), 7).alias("delta"), greek("", order * 3).alias("gamma"),
@@ -168,12 +184,12 @@ def option_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         maybe(line.cast("string"), 3).alias("no_side_vol"), line.cast("string").alias("mid_vol"),
         (order % 4).cast("string").alias("multi_vol"),
         F.when(order % 251 == 0, "n/a").otherwise((order % 3).cast("string")).alias("stock_multi_vol"),
-        F.filter(F.array(
+        tags.keep_set(
             word(F.col("l_returnflag") == "A", "ask_side"), word(F.col("l_returnflag") == "R", "bid_side"),
             word(F.col("l_returnflag") == "N", "no_side"),
             word(F.col("l_linestatus") == "F", "bullish"),
             word((F.col("l_linestatus") == "O") & (line % 2 == 0), "bearish"),
-            word(line == 3, "sweep"), word(line == 3, "sweep")), lambda w: w.isNotNull()).alias("tags"),
+            word(line == 3, "sweep"), word(line == 3, "sweep")).alias("tags"),
         F.when(line % 3 == 0, F.array(F.lit("floor"), F.lit("cross"))).alias("report_flags"),
     )
 
